@@ -235,7 +235,7 @@ def _joined(name):
 def _encoded_exchanges(spark, sf_dir):
     texts = _rendered(spark, sf_dir)
     encoder = tokens.WordEncoder(tokens.build_vocab(texts, "prompt", VOCABULARY))
-    return tokens.encode(texts, "prompt", encoder, MAX_TOKENS, TURN), encoder
+    return instruction.tokenize_instructions(texts, "prompt", encoder, TURN, MAX_TOKENS), encoder
 
 
 _ENCODED_EXCHANGES = (
@@ -533,8 +533,9 @@ def pad_batch_indexed(spark, sf_dir):
 def _labelled(spark, sf_dir, mask_padding):
     encoded, encoder = _encoded_exchanges(spark, sf_dir)
     pad_id, _ = tokens.resolve_special_ids(None, tokens.EOS_ID)
-    tag = tokens.encode_literal(encoder, instruction.ROLE_TAG_COMPLETION)
-    return batching.collate(encoded, BATCH, pad_id, TURN, tag, mask_padding).select(
+    return instruction.batch_instructions(
+        encoded, encoder, TURN, pad_id, instruction.ROLE_TAG_COMPLETION, BATCH, mask_padding
+    ).select(
         *TURN, "batch_id", "completion_start", F.col("tag_found").cast("int").alias("tag_found"),
         _joined("labels"),
     )

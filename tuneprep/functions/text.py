@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,14 +33,19 @@ WHITESPACE_CHARS = LINE_BREAK_CHARS + BLANK_CHARS
 def normalize_text(text: Column) -> Column:
     """Strip the text, end every line with ``\\n`` and no trailing whitespace.
 
-    Interior blank lines and the indentation of later lines stay. One split, a trim per line and a
-    join: linear in the text, without look-behinds, and five times as fast as ``regexp_replace``.
+    Interior blank lines and the indentation of later lines stay. Linear in the text: a split, a
+    trim per line and a join, where a regular expression with look-behinds takes several times as
+    long. Most texts break lines with ``\\n`` only; a byte search finds that out and they are split
+    without a regular expression.
     """
-    lines = F.split(
-        F.btrim(text, F.lit(WHITESPACE_CHARS)),
-        rf"{_NOT_VISIBLE_ASCII}(?:\r\n|[{LINE_BREAK_CLASS}])",
-        -1,
+    trimmed = F.btrim(text, F.lit(WHITESPACE_CHARS))
+    other_breaks = reduce(
+        or_, [F.contains(text, F.lit(c)) for c in LINE_BREAK_CHARS if c != "\n"]
     )
+    lines = F.when(
+        other_breaks,
+        F.split(trimmed, rf"{_NOT_VISIBLE_ASCII}(?:\r\n|[{LINE_BREAK_CLASS}])", -1),
+    ).otherwise(F.split(trimmed, "\n", -1))
     return F.array_join(F.transform(lines, lambda line: F.rtrim(line, F.lit(BLANK_CHARS))), "\n")
 
 

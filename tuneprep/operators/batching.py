@@ -17,6 +17,8 @@ from tuneprep.functions.sequences import (
 from tuneprep.operators.indexing import INDEX, index_keys
 from tuneprep.runtime import column, names
 
+LENGTH = "n_tokens"
+
 
 def pad_batch(
     df: DataFrame, batch_size: int, pad_id: int, order_col, index_col: str = INDEX
@@ -26,16 +28,19 @@ def pad_batch(
     Adds ``batch_id``, ``pos_in_batch`` and ``n_tokens`` (the unpadded length). Batches are laid
     out on the narrow (order columns, length) table, so token arrays are shuffled once: by the join
     that brings the batch width back. With an index column in place they are shuffled by batch.
+    ``df`` is read twice: store the tokens first. A stored ``n_tokens`` spares the first pass the
+    arrays.
     """
     if batch_size < 1:
         raise ValueError(f"batch_size must be positive, got {batch_size}")
     order = names(order_col)
-    length = F.size("input_ids")
+    length = column(LENGTH) if LENGTH in df.columns else F.size("input_ids")
     if index_col in df.columns:
-        laid_out = _lay_out(df.withColumn("n_tokens", length), batch_size, index_col)
+        laid_out = _lay_out(df.withColumn(LENGTH, length), batch_size, index_col)
     else:
-        keys = index_keys(df, order, carry={"n_tokens": length}, index_col=index_col)
-        laid_out = df.join(_lay_out(keys, batch_size, index_col).drop(index_col), order)
+        keys = index_keys(df, order, carry={LENGTH: length}, index_col=index_col)
+        layout = _lay_out(keys, batch_size, index_col).drop(index_col)
+        laid_out = df.drop(LENGTH).join(layout, order)
     given = column("attention_mask") if "attention_mask" in df.columns else None
     return laid_out.withColumns(
         {
@@ -48,13 +53,13 @@ def pad_batch(
 
 
 def _lay_out(df: DataFrame, batch_size: int, index_col: str) -> DataFrame:
-    """Batch, place in it and width, from ``n_tokens`` and the index."""
+    """Batch, place in it and width, from the length and the index."""
     return df.withColumns(
         {
             "batch_id": F.expr(f"`{index_col}` div {batch_size}"),
             "pos_in_batch": (column(index_col) % batch_size).cast("int"),
         }
-    ).withColumn("_width", F.max("n_tokens").over(Window.partitionBy("batch_id")))
+    ).withColumn("_width", F.max(LENGTH).over(Window.partitionBy("batch_id")))
 
 
 def collate(
@@ -75,6 +80,6 @@ def collate(
     return padded.withColumn("tag_found", tag_found(F.col("completion_start"))).withColumn(
         "labels",
         completion_labels(
-            F.col("input_ids"), F.col("completion_start"), F.col("n_tokens"), mask_padding
+            F.col("input_ids"), F.col("completion_start"), F.col(LENGTH), mask_padding
         ),
     )

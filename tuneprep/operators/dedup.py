@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tuneprep.functions.hashing import content_hash
 from tuneprep.runtime import SPLIT, column, materialize, names
 
-# Broadcast at most this many repeated texts: a row is a hash, an order key and a split name, so
-# the hashed relation stays near 100 MB.
+# Broadcast at most this many repeated texts, and at most this many bytes of their order keys and
+# split names (a hash is 32 bytes): the hashed relation stays near 100 MB.
 MAX_BROADCAST_GROUPS = 500_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _HASH = "_content"
 _FIRST = "_first"
@@ -29,6 +30,15 @@ def _group_columns(df: DataFrame, within) -> list[str]:
     return [c for c in names(within or []) if c in df.columns]
 
 
+def with_content_hash(df: DataFrame, key: str) -> DataFrame:
+    """Add the hash that the functions below otherwise compute; worth storing with the rows."""
+    return df.withColumn(_HASH, content_hash(column(key)))
+
+
+def _hash(df: DataFrame, key: str) -> Column:
+    return F.col(_HASH) if _HASH in df.columns else content_hash(column(key))
+
+
 def copy_groups(df: DataFrame, key: str, order_col, within=SPLIT) -> DataFrame:
     """One row per distinct text: its hash, its first row and its number of copies.
 
@@ -38,7 +48,7 @@ def copy_groups(df: DataFrame, key: str, order_col, within=SPLIT) -> DataFrame:
     order = names(order_col)
     first = column(order[0]) if len(order) == 1 else F.struct(*[column(c) for c in order])
     return df.groupBy(
-        *[column(c) for c in _group_columns(df, within)], content_hash(column(key)).alias(_HASH)
+        *[column(c) for c in _group_columns(df, within)], _hash(df, key).alias(_HASH)
     ).agg(F.min(first).alias(_FIRST), F.count(F.lit(1)).alias(_COPIES))
 
 
@@ -51,7 +61,9 @@ def dedup_with_counts(
 ) -> Deduplicated:
     """First row in order of every distinct ``key``, and the number of dropped rows.
 
-    Texts are compared by SHA-256. One narrow pass finds the groups and stores them. Then
+    Texts are compared by SHA-256. One narrow pass finds the groups and stores them. ``df`` is read
+    once more for the result: store it first, ``with_content_hash``, if it is costly to compute;
+    the narrow pass then reads hashes and order keys alone. Given the groups,
 
     * if few texts are repeated, those groups are broadcast and each row decides alone whether it
       is a later copy: the wide rows are not shuffled at all;
@@ -63,7 +75,7 @@ def dedup_with_counts(
     groups = materialize(copy_groups(df, key, order, group), "copy-groups")
     repeated = groups.filter(F.col(_COPIES) > 1)
 
-    if repeated.limit(max_broadcast_groups + 1).count() <= max_broadcast_groups:
+    if _may_broadcast(repeated, group, max_broadcast_groups):
         rows = _drop_later_copies(df, repeated, key, order, group)
     else:
         rows = _keep_winners(df, groups, order, group)
@@ -71,7 +83,19 @@ def dedup_with_counts(
     dropped = groups.groupBy(*group).agg(
         F.sum(F.col(_COPIES) - 1).alias("dropped_duplicates")
     )
-    return Deduplicated(rows, dropped)
+    return Deduplicated(rows.drop(_HASH), dropped)
+
+
+def _may_broadcast(repeated: DataFrame, group: list[str], max_groups: int) -> bool:
+    key_bytes = F.lit(0)
+    for name in [*group, _FIRST]:
+        key_bytes = key_bytes + F.coalesce(F.octet_length(column(name).cast("string")), F.lit(0))
+    size = (
+        repeated.limit(max_groups + 1)
+        .agg(F.count(F.lit(1)).alias("groups"), F.sum(key_bytes).alias("bytes"))
+        .first()
+    )
+    return size["groups"] <= max_groups and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
 
 
 def dedup_first(
@@ -85,12 +109,21 @@ def dedup_first(
     return dedup_with_counts(df, key, order_col, within, max_broadcast_groups).rows
 
 
+def stored_dedup(df: DataFrame, key: str, order_col, within=SPLIT) -> DataFrame:
+    """``dedup_first`` of rows that are costly to compute: they are stored, with hashes, once."""
+    return dedup_first(
+        materialize(with_content_hash(df, key), "clean"), key, order_col, within
+    )
+
+
 def _drop_later_copies(df, repeated, key, order, group):
     this = column(order[0]) if len(order) == 1 else F.struct(*[column(c) for c in order])
     winners = repeated.select(
-        *[column(c).alias(f"_g_{i}") for i, c in enumerate(group)], _HASH, _FIRST
+        *[column(c).alias(f"_g_{i}") for i, c in enumerate(group)],
+        F.col(_HASH).alias("_g_hash"),
+        _FIRST,
     )
-    same = content_hash(column(key)) == F.col(_HASH)
+    same = _hash(df, key) == F.col("_g_hash")
     for i, c in enumerate(group):
         same = same & column(c).eqNullSafe(F.col(f"_g_{i}"))
     # A row falls out iff its text is repeated and its place is not the first one.

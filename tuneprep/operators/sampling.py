@@ -170,6 +170,8 @@ def train_test_split(
         raise ValueError(f"ratio must lie between 0 and 1, got {ratio}")
     if has_split(df, VALIDATION, split_col):
         return df
+    if not has_split(df, TRAIN, split_col):
+        raise ValueError("there is no train split to hold rows out of")
     warnings.warn("no validation split: every split but train is dropped", stacklevel=2)
     train = df.filter(column(split_col) == TRAIN)
     held = _first_k(

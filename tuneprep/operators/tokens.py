@@ -45,10 +45,11 @@ def build_vocab(df: DataFrame, text_col: str, size: int) -> DataFrame:
     ranked = top.select(
         "token", (F.row_number().over(by_rank) + len(SPECIAL_TOKENS) - 1).alias("token_id"), "n"
     )
-    reserved = df.sparkSession.createDataFrame(
-        [(token, i, 0) for i, token in enumerate(SPECIAL_TOKENS)],
-        "token string, token_id int, n bigint",
-    )
+    entries = [
+        F.struct(F.lit(token).alias("token"), F.lit(i).alias("token_id"), F.lit(0).cast("bigint").alias("n"))
+        for i, token in enumerate(SPECIAL_TOKENS)
+    ]
+    reserved = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
     return reserved.union(ranked)
 
 

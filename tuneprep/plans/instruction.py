@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tuneprep.operators.batching import collate
-from tuneprep.operators.dedup import dedup_first
+from tuneprep.operators.batching import LENGTH, collate
+from tuneprep.operators.dedup import stored_dedup
 from tuneprep.operators.mapping import (
     drop_missing,
     format_template,
@@ -16,7 +17,7 @@ from tuneprep.operators.mapping import (
 )
 from tuneprep.operators.sampling import limit_train, seeded_shuffle, train_test_split
 from tuneprep.operators.tokens import Encoder, encode, encode_literal
-from tuneprep.runtime import SPLIT
+from tuneprep.runtime import SPLIT, materialize
 from tuneprep.sources.prepared import pending_splits, write_prepared
 
 # Prompt templates by model family and the tag that opens the completion. The
@@ -43,7 +44,7 @@ def clean_instructions(
     """Mapped, non-empty, normalised and, if asked for, deduplicated rows."""
     mapped = map_columns(df, column_map, order_col)
     clean = normalize_columns(drop_missing(mapped, list(column_map)), list(column_map))
-    return dedup_first(clean, deduplicate, order_col) if deduplicate else clean
+    return stored_dedup(clean, deduplicate, order_col) if deduplicate else clean
 
 
 def prepare_instructions(
@@ -86,21 +87,26 @@ def assemble_instructions(
     return seeded_shuffle(rendered, seed, order_col) if shuffle else rendered
 
 
+def tokenize_instructions(
+    df: DataFrame, text_field: str, encoder: Encoder, order_col, max_len: int = DEFAULT_MAX_TOKENS
+) -> DataFrame:
+    """Stored token ids, masks and lengths: later steps read them more than once."""
+    encoded = encode(df, text_field, encoder, max_len, order_col)
+    return materialize(encoded.withColumn(LENGTH, F.size("input_ids")), "tokens")
+
+
 def batch_instructions(
-    df: DataFrame,
-    text_field: str,
+    tokens: DataFrame,
     encoder: Encoder,
     order_col,
     pad_id: int,
     completion_template: str | None = None,
-    max_len: int = DEFAULT_MAX_TOKENS,
     batch_size: int = DEFAULT_BATCH_SIZE,
     mask_padding: bool = False,
 ) -> DataFrame:
-    """Token ids, masks and labels of one split, padded batch by batch.
+    """Padded batches with labels from the stored tokens of one split.
 
     Without a completion template every token is trained on.
     """
-    tokens = encode(df, text_field, encoder, max_len, order_col)
     tag = encode_literal(encoder, completion_template) if completion_template else []
     return collate(tokens, batch_size, pad_id, order_col, tag, mask_padding)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from tuneprep.operators.dedup import dedup_first
+from tuneprep.operators.dedup import stored_dedup
 from tuneprep.operators.mapping import (
     PAIR_COLUMNS,
     drop_degenerate_pairs,
@@ -38,7 +38,7 @@ def clean_pairs(
     clean = drop_degenerate_pairs(
         normalize_columns(drop_missing(mapped, PAIR_COLUMNS), PAIR_COLUMNS)
     )
-    return dedup_first(clean, deduplicate, order_col) if deduplicate else clean
+    return stored_dedup(clean, deduplicate, order_col) if deduplicate else clean
 
 
 def prepare_pairs(
