@@ -52,6 +52,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark, sf_dir):
+    """Documents, for work that is costly per row."""
+    return tables.spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _documents(spark, sf_dir):
     """Documents as two splits."""
     return _table(spark, sf_dir, "documents").withColumn(
@@ -364,6 +369,16 @@ def load_split(spark, sf_dir):
     )
 
 
+def load_split_row_order(spark, sf_dir):
+    """The order the rows are stored in, read from the file itself."""
+    stored = tables.load_split(
+        spark, f"{sf_dir}/documents.parquet", "train", row_order=True
+    )
+    return indexing.with_index(stored, list(tables.ROW_ORDER)).select(
+        "split", "idx", "source_row", "doc_id"
+    )
+
+
 def map_columns(spark, sf_dir):
     return mapping.map_columns(
         _documents(spark, sf_dir), {"prompt": "text", "response": "answer"}, "doc_id"
@@ -371,9 +386,7 @@ def map_columns(spark, sf_dir):
 
 
 def normalize_text(spark, sf_dir):
-    spliced = _table(spark, sf_dir, "documents").select(
-        "doc_id", _spliced(F.col("text")).alias("text")
-    )
+    spliced = _texts(spark, sf_dir).withColumn("text", _spliced(F.col("text")))
     return mapping.normalize_columns(spliced, "text")
 
 
@@ -489,11 +502,11 @@ def choose_eval_split_test(spark, sf_dir):
 
 
 def build_vocab(spark, sf_dir):
-    return tokens.build_vocab(_table(spark, sf_dir, "documents"), "text", VOCABULARY)
+    return tokens.build_vocab(_texts(spark, sf_dir), "text", VOCABULARY)
 
 
 def encode(spark, sf_dir):
-    documents = _table(spark, sf_dir, "documents")
+    documents = _texts(spark, sf_dir)
     encoder = tokens.WordEncoder(tokens.build_vocab(documents, "text", VOCABULARY))
     return tokens.encode(documents, "text", encoder, MAX_TOKENS, "doc_id").select(
         "doc_id", F.size("input_ids").alias("n_tokens"), _joined("input_ids")
@@ -575,9 +588,7 @@ def sequence_logprob(spark, sf_dir):
 
 def sequence_logprob_arrays(spark, sf_dir):
     """Gathered scores and labels as one row of arrays per document."""
-    documents = _table(spark, sf_dir, "documents").select(
-        "doc_id", _words("text").alias("w")
-    )
+    documents = _texts(spark, sf_dir).select("doc_id", _words("text").alias("w"))
     arrays = documents.select(
         "doc_id",
         F.transform("w", lambda x: -F.length(x) / F.lit(8.0)).alias("logps"),
@@ -644,25 +655,20 @@ def split_common_prefix(spark, sf_dir):
 
 
 def truncate_pair(spark, sf_dir):
-    texts = _exchanges(spark, sf_dir)
-
-    def lengths(name):
-        return F.transform(_words(name), lambda w: F.length(w)).alias(f"{name}_w")
-
-    ids = texts.select(*TURN, lengths("instruction"), lengths("response")).select(
-        *TURN,
-        F.col("instruction_w").alias("prompt_ids"),
-        F.col("response_w").alias("chosen_ids"),
-        F.reverse("response_w").alias("rejected_ids"),
-    )
-    cut = pairs.truncate_pair(ids, MAX_PROMPT, MAX_PAIR)
+    texts = _shared_prefix_pairs(spark, sf_dir)
+    encoder = tokens.WordEncoder(tokens.build_vocab(texts, "chosen", VOCABULARY))
+    cut = preference.truncate_texts(texts, encoder, TURN, TURN_MARKER, MAX_PROMPT, MAX_PAIR)
     return cut.select(*TURN, *[_joined(c) for c in ("prompt_ids", "chosen_ids", "rejected_ids")])
 
 
 def prepared_round_trip(spark, sf_dir):
     """Clean, write JSON lines, read back with an explicit schema."""
     path = scratch_path(spark, "prepared")
-    documents = _documents(spark, sf_dir).withColumn("text", _spliced(F.col("text")))
+    documents = (
+        _texts(spark, sf_dir)
+        .withColumn("split", F.when(F.col("doc_id") % 10 == 0, "validation").otherwise("train"))
+        .withColumn("text", _spliced(F.col("text")))
+    )
     instruction.prepare_instructions(
         documents, {"prompt": "text"}, "doc_id", ["train", "validation"], path, "prompt"
     )
@@ -697,8 +703,32 @@ def preference_splits(spark, sf_dir):
     return preference.assemble_pairs(clean, TURN, seed=SEED, eval_ratio=EVAL_RATIO)
 
 
+def instruction_dataset(spark, sf_dir):
+    """Raw exchanges to shuffled training texts, by way of prepared JSON lines."""
+    raw = _exchanges(spark, sf_dir).withColumn("split", F.lit("train"))
+    return instruction.instruction_dataset(
+        raw, instruction.CHAT_MARKUP_TEMPLATE, TURN, ["train"], scratch_path(spark, "instructions")
+    )
+
+
+def preference_dataset(spark, sf_dir):
+    """Raw pairs with a validation split to train and validation pairs, by way of Parquet."""
+    raw = _raw_pairs(spark, sf_dir).withColumn(
+        "split", F.when(F.col("conv_id") % 4 == 0, "validation").otherwise("train")
+    )
+    return preference.preference_dataset(
+        raw,
+        TURN,
+        ["train", "validation"],
+        scratch_path(spark, "pairs"),
+        column_map=PAIR_MAP,
+        deduplicate="chosen",
+        fmt="parquet",
+    )
+
+
 _QUERIES = (
-    load_split, map_columns, normalize_text, stringify, drop_missing, drop_degenerate_pairs,
+    load_split, load_split_row_order, map_columns, normalize_text, stringify, drop_missing, drop_degenerate_pairs,
     dedup_first, dedup_first_many_groups, dedup_first_across_splits, dedup_dropped,
     prep_report, prep_report_documents, format_template,
     seeded_shuffle, seeded_shuffle_order, limit_train, limit_train_in_order,
@@ -709,6 +739,7 @@ _QUERIES = (
     precompute_reference, lookup_reference, dpo_loss, dpo_loss_reference_free, mean_dpo_loss,
     perplexity, perplexity_weighted, split_common_prompt, split_common_prefix, truncate_pair,
     prepared_round_trip, instruction_texts, instruction_splits, preference_splits,
+    instruction_dataset, preference_dataset,
 )
 
 
@@ -807,6 +838,11 @@ def oracle_sql() -> dict[str, str]:
         "load_split": """
 SELECT 'train' AS split, doc_id AS row_id, text FROM documents
 UNION ALL SELECT 'validation', item_id, text FROM benchmark""",
+        # The documents are stored in the order of their ids.
+        "load_split_row_order": """
+SELECT 'train' AS split, row_number() OVER (ORDER BY doc_id) - 1 AS idx,
+  row_number() OVER (ORDER BY doc_id) - 1 AS source_row, doc_id
+FROM documents""",
         "map_columns": f"""
 WITH {_DOCUMENTS}
 SELECT split, doc_id, text AS prompt, CAST(NULL AS VARCHAR) AS response FROM documents_s""",
@@ -957,18 +993,31 @@ SELECT conv_id, turn, prefix AS prompt, substr(chosen, length(prefix) + 1) AS ch
   substr(rejected, length(prefix) + 1) AS rejected
 FROM prefixes""",
         "truncate_pair": f"""
-WITH {_EXCHANGES},
-ids AS (
-  SELECT conv_id, turn, list_transform({_words_sql('instruction')}, lambda x: length(x)) AS p,
-    list_transform({_words_sql('response')}, lambda x: length(x)) AS c
-  FROM exchanges),
+WITH {_PREFIX_PAIRS},{_vocabulary_sql('prefix_pairs', 'chosen')},
 cut AS (
-  SELECT conv_id, turn, p[greatest(len(p) - {MAX_PROMPT} + 1, 1):len(p)] AS prompt_ids, c,
-    {MAX_PAIR} - least(len(p), {MAX_PROMPT}) AS room
-  FROM ids)
-SELECT conv_id, turn, {_list_text('prompt_ids', 'prompt_ids')},
-  {_list_text('c[1:room]', 'chosen_ids')}, {_list_text('list_reverse(c)[1:room]', 'rejected_ids')}
-FROM cut""",
+  SELECT *, CASE WHEN contains(prefix, {_MARKER_SQL})
+    THEN length(prefix) - length(list_last(string_split(prefix, {_MARKER_SQL}))) ELSE 0 END AS n
+  FROM prefixes),
+sides AS (
+  SELECT conv_id, turn, 'p' AS side, substr(chosen, 1, n) AS text FROM cut
+  UNION ALL SELECT conv_id, turn, 'c', substr(chosen, n + 1) FROM cut
+  UNION ALL SELECT conv_id, turn, 'r', substr(rejected, n + 1) FROM cut),
+words AS (
+  SELECT conv_id, turn, side, unnest(w) AS token, generate_subscripts(w, 1) AS place
+  FROM (SELECT conv_id, turn, side, {_words_sql('text')} AS w FROM sides)),
+encoded AS (
+  SELECT conv_id, turn, side, list(coalesce(token_id, {tokens.UNK_ID}) ORDER BY place) AS ids
+  FROM words LEFT JOIN vocab USING (token) GROUP BY ALL),
+ids AS (
+  SELECT conv_id, turn, coalesce(any_value(ids) FILTER (side = 'p'), []) AS p,
+    coalesce(any_value(ids) FILTER (side = 'c'), []) AS c,
+    coalesce(any_value(ids) FILTER (side = 'r'), []) AS r
+  FROM encoded GROUP BY ALL),
+lengths AS (SELECT *, {MAX_PAIR} - least(len(p), {MAX_PROMPT}) AS room FROM ids)
+SELECT conv_id, turn,
+  {_list_text(f"p[greatest(len(p) - {MAX_PROMPT} + 1, 1):len(p)]", 'prompt_ids')},
+  {_list_text('c[1:room]', 'chosen_ids')}, {_list_text('r[1:room]', 'rejected_ids')}
+FROM lengths""",
         "prepared_round_trip": f"""
 WITH {_DOCUMENTS},
 clean AS (
@@ -1004,4 +1053,28 @@ firsts AS (
   WHERE nth = 1),
 {_held_out('firsts', ['conv_id', 'turn'])}
 SELECT side AS split, conv_id, turn, chosen, rejected FROM sides""",
+        "instruction_dataset": f"""
+WITH {_EXCHANGES},
+clean AS (
+  SELECT conv_id, turn, {_normalized_sql('instruction')} AS p, {_normalized_sql('response')} AS r
+  FROM exchanges),
+firsts AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY p ORDER BY conv_id, turn) AS nth
+    FROM clean WHERE p <> '' AND r <> '')
+  WHERE nth = 1),
+{_held_out('firsts', ['conv_id', 'turn'])}
+SELECT side AS split, conv_id, turn,
+  '<|im_start|>system' || chr(10) || 'You are a helpful assistant.<|im_end|>' || chr(10)
+  || '<|im_start|>user' || chr(10) || p || '<|im_end|>' || chr(10)
+  || '<|im_start|>assistant' || chr(10) || r || '<|im_end|>' || chr(10) AS prompt
+FROM sides""",
+        "preference_dataset": f"""
+WITH {_CLEAN_PAIRS},
+tagged AS (
+  SELECT *, CASE WHEN conv_id % 4 = 0 THEN 'validation' ELSE 'train' END AS split FROM clean)
+SELECT split, conv_id, turn, chosen, rejected FROM (
+  SELECT *, row_number() OVER (PARTITION BY split, chosen ORDER BY conv_id, turn) AS nth
+  FROM tagged)
+WHERE nth = 1""",
     }

@@ -102,3 +102,41 @@ def test_loading_splits(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert runtime.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class _Session:
+    """Just enough of a session to ask for the shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class sparkContext:
+        master, applicationId = "spark://host:7077", "app"
+
+
+def test_a_cluster_needs_a_named_shared_folder(monkeypatch):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        runtime.shared_dir(_Session)
+    monkeypatch.setattr(_Session.sparkContext, "master", "local[2]")
+    assert runtime.shared_dir(_Session) == runtime.shared_dir(_Session)
+
+
+def test_stored_row_order(spark, tmp_path):
+    path = str(tmp_path / "rows.parquet")
+    rows = [(f"t{i * 37 % 100}",) for i in range(100)]
+    spark.createDataFrame(rows, "t string").coalesce(1).write.parquet(path)
+    out = tables.load_split(spark, path, "train", row_order=True)
+    assert list(tables.ROW_ORDER) == out.columns[1:3]
+    ordered = out.repartition(5).orderBy(*tables.ROW_ORDER).collect()
+    assert [r["t"] for r in ordered] == [t for (t,) in rows]
+    with pytest.raises(ValueError, match="order column"):
+        tables.load_split(spark, "x.jsonl", "train", schema="t string", row_order=True)
+
+
+def test_spread_deals_out_small_sources_only(spark, tmp_path):
+    df = spark.range(100).coalesce(1)
+    assert tables.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 50)
+    assert tables.spread(wide) is wide

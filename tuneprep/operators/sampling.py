@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tuneprep.functions.hashing import HOLDOUT, SHUFFLE, SIDE, leading_bits, order_key
 from tuneprep.operators.indexing import index_keys
-from tuneprep.runtime import SPLIT, column, names
+from tuneprep.runtime import SPLIT, column, materialize, names
 
 TRAIN, TEST, VALIDATION = "train", "test", "validation"
 
@@ -143,15 +143,23 @@ def limit_train(
     With a seed the first rows of the shuffled order are kept, a uniform sample; without one, the
     first rows in dataset order.
     """
+    return _apply(df, _within_limit(df, n, order_col, seed, split_col))
+
+
+def _within_limit(keys, n, order_col, seed, split_col=SPLIT) -> Column | None:
     if n <= 0:
-        return df
-    train = df.filter(column(split_col) == TRAIN)
+        return None
+    train = keys.filter(column(split_col) == TRAIN)
     first = (
         _first_k_in_order(train, n, order_col)
         if seed is None
         else _first_k(train, lambda total: F.lit(n).cast("bigint"), SHUFFLE, seed, order_col)
     )
-    return df if first is None else df.filter((column(split_col) != TRAIN) | first)
+    return None if first is None else (column(split_col) != TRAIN) | first
+
+
+def _apply(df: DataFrame, predicate: Column | None) -> DataFrame:
+    return df if predicate is None else df.filter(predicate)
 
 
 def has_split(df: DataFrame, name: str, split_col: str = SPLIT) -> bool:
@@ -160,25 +168,51 @@ def has_split(df: DataFrame, name: str, split_col: str = SPLIT) -> bool:
 
 
 def train_test_split(
-    df: DataFrame, ratio: float, seed: int, order_col, split_col: str = SPLIT
+    df: DataFrame,
+    ratio: float,
+    seed: int,
+    order_col,
+    split_col: str = SPLIT,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Hold out exactly ``ceil(ratio * n)`` train rows as ``test``, unless a validation split exists.
 
-    The result replaces the collection: any other split is dropped, with a warning.
+    The result replaces the collection: any other split is dropped, with a warning. ``keys`` is a
+    narrow stored copy of the order and split columns of ``df`` to find the cut on, for files that
+    cannot be read column by column.
     """
     if not 0 < ratio < 1:
         raise ValueError(f"ratio must lie between 0 and 1, got {ratio}")
-    if has_split(df, VALIDATION, split_col):
+    known = df if keys is None else keys
+    if has_split(known, VALIDATION, split_col):
         return df
-    if not has_split(df, TRAIN, split_col):
+    if not has_split(known, TRAIN, split_col):
         raise ValueError("there is no train split to hold rows out of")
     warnings.warn("no validation split: every split but train is dropped", stacklevel=2)
-    train = df.filter(column(split_col) == TRAIN)
     held = _first_k(
-        train, lambda total: F.ceil(total * F.lit(ratio)), HOLDOUT, seed, order_col
+        known.filter(column(split_col) == TRAIN),
+        lambda total: F.ceil(total * F.lit(ratio)),
+        HOLDOUT,
+        seed,
+        order_col,
     )
     side = F.lit(TEST) if held is None else F.when(held, F.lit(TEST)).otherwise(F.lit(TRAIN))
-    return train.withColumn(split_col, side)
+    return df.filter(column(split_col) == TRAIN).withColumn(split_col, side)
+
+
+def limit_and_split(
+    df: DataFrame, limit: int, ratio: float, seed: int, order_col, shuffled: bool = True
+) -> DataFrame:
+    """``limit_train``, then ``train_test_split``, over one narrow stored copy of the row keys.
+
+    Both cuts are found on the copy, so a row format such as JSON lines is scanned once for it and
+    once for the result, and not again for every pass.
+    """
+    keys = materialize(df.select(SPLIT, *[column(c) for c in names(order_col)]), "row-keys")
+    within = _within_limit(keys, limit, order_col, seed if shuffled else None)
+    return train_test_split(
+        _apply(df, within), ratio, seed, order_col, keys=_apply(keys, within)
+    )
 
 
 def hash_split(

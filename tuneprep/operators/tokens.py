@@ -108,6 +108,17 @@ def _load_tokenizer(path: str):
     return Tokenizer.from_file(path if os.path.exists(path) else SparkFiles.get(path))
 
 
+def _token_ids(df: DataFrame, encoder: Encoder):
+    ship_package(df.sparkSession)
+
+    @F.arrow_udf("array<int>")
+    def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield encoder(texts)
+
+    return token_ids
+
+
 def encode(
     df: DataFrame,
     text_col: str,
@@ -122,14 +133,7 @@ def encode(
     mask stay in the JVM.
     """
 
-    ship_package(df.sparkSession)
-
-    @F.arrow_udf("array<int>")
-    def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield encoder(texts)
-
-    ids = token_ids(column(text_col))
+    ids = _token_ids(df, encoder)(column(text_col))
     if bos_id is not None:
         ids = F.concat(F.array(F.lit(bos_id)), ids)
     return (
@@ -142,6 +146,15 @@ def encode(
     )
 
 
+def encode_columns(df: DataFrame, text_cols, encoder: Encoder, order_col) -> DataFrame:
+    """``<name>_ids`` for several text columns of a row, uncut, next to the row identity."""
+    token_ids = _token_ids(df, encoder)
+    return df.select(
+        *[column(c) for c in carried_columns(df, order_col)],
+        *[token_ids(column(name)).alias(f"{name}_ids") for name in text_cols],
+    )
+
+
 def encode_literal(encoder: Encoder, text: str) -> list[int]:
     """Ids of one driver-side string, such as the tag that opens a completion."""
     return encoder(pa.array([text], pa.string()))[0].as_py()

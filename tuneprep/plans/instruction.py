@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tuneprep.operators.batching import LENGTH, collate
 from tuneprep.operators.dedup import stored_dedup
@@ -15,10 +16,10 @@ from tuneprep.operators.mapping import (
     map_columns,
     normalize_columns,
 )
-from tuneprep.operators.sampling import limit_train, seeded_shuffle, train_test_split
+from tuneprep.operators.sampling import limit_and_split, seeded_shuffle
 from tuneprep.operators.tokens import Encoder, encode, encode_literal
-from tuneprep.runtime import SPLIT, materialize
-from tuneprep.sources.prepared import pending_splits, write_prepared
+from tuneprep.runtime import SPLIT, materialize, names
+from tuneprep.sources.prepared import pending_splits, read_prepared, write_prepared
 
 # Prompt templates by model family and the tag that opens the completion. The
 # example templates end with a line break, the completion templates do not.
@@ -32,6 +33,8 @@ CHAT_MARKUP_TEMPLATE = (
 CHAT_MARKUP_COMPLETION = "<|im_start|>assistant"
 
 # Defaults of the data configuration.
+DEFAULT_COLUMN_MAP = {"prompt": "instruction", "response": "response"}
+DEFAULT_DEDUPLICATE = "prompt"
 DEFAULT_SEED = 42
 DEFAULT_EVAL_RATIO = 0.05
 DEFAULT_MAX_TOKENS = 2048
@@ -81,12 +84,38 @@ def assemble_instructions(
 
     The cut and the split decide row by row, so the only shuffle of whole rows is the last step.
     """
-    limited = limit_train(df, limit, order_col, seed if shuffle else None)
-    split = train_test_split(limited, eval_ratio, seed, order_col)
+    split = limit_and_split(df, limit, eval_ratio, seed, order_col, shuffle)
     rendered = format_template(split, template, text_field, order_col)
     return seeded_shuffle(rendered, seed, order_col) if shuffle else rendered
 
 
+def instruction_dataset(
+    raw: DataFrame,
+    template: str,
+    order_col,
+    splits,
+    path: str,
+    column_map: Mapping[str, str] = DEFAULT_COLUMN_MAP,
+    deduplicate: str | None = DEFAULT_DEDUPLICATE,
+    text_field: str = "prompt",
+    seed: int = DEFAULT_SEED,
+    shuffle: bool = True,
+    limit: int = -1,
+    eval_ratio: float = DEFAULT_EVAL_RATIO,
+    fmt: str = "json",
+    if_exists: str = "skip",
+) -> DataFrame:
+    """Raw splits to training texts: prepare what is not written yet, read it back, assemble."""
+    prepare_instructions(raw, column_map, order_col, splits, path, deduplicate, fmt, if_exists)
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in column_map])
+    order = [raw.schema[name] for name in names(order_col)]
+    prepared = read_prepared(raw.sparkSession, path, T.StructType([*order, *texts]), fmt)
+    return assemble_instructions(
+        prepared.filter(prepared[SPLIT].isin(*splits)),
+        template, order_col, text_field, seed, shuffle, limit, eval_ratio,
+    )
+
+
 def tokenize_instructions(
     df: DataFrame, text_field: str, encoder: Encoder, order_col, max_len: int = DEFAULT_MAX_TOKENS
 ) -> DataFrame:

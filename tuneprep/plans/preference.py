@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tuneprep.operators.dedup import stored_dedup
 from tuneprep.operators.mapping import (
@@ -14,12 +15,15 @@ from tuneprep.operators.mapping import (
     map_columns,
     normalize_columns,
 )
-from tuneprep.operators.sampling import limit_train, seeded_shuffle, train_test_split
+from tuneprep.operators.pairs import split_common_prompt, truncate_pair
+from tuneprep.operators.sampling import limit_and_split, seeded_shuffle
 from tuneprep.operators.scoring import dpo_loss, lookup_reference
-from tuneprep.runtime import SPLIT
-from tuneprep.sources.prepared import pending_splits, write_prepared
+from tuneprep.operators.tokens import Encoder, encode_columns
+from tuneprep.runtime import SPLIT, names
+from tuneprep.sources.prepared import pending_splits, read_prepared, write_prepared
 
 # Defaults of the preference configuration.
+DEFAULT_COLUMN_MAP = {"chosen": "chosen", "rejected": "rejected"}
 DEFAULT_BETA = 0.1
 DEFAULT_LABEL_SMOOTHING = 0.0
 DEFAULT_MAX_PROMPT = 512
@@ -68,11 +72,48 @@ def assemble_pairs(
     eval_ratio: float = DEFAULT_EVAL_RATIO,
 ) -> DataFrame:
     """Limited and split pairs; in shuffled order if ``shuffle``."""
-    limited = limit_train(df, limit, order_col, seed if shuffle else None)
-    split = train_test_split(limited, eval_ratio, seed, order_col)
+    split = limit_and_split(df, limit, eval_ratio, seed, order_col, shuffle)
     return seeded_shuffle(split, seed, order_col) if shuffle else split
 
 
+def preference_dataset(
+    raw: DataFrame,
+    order_col,
+    splits,
+    path: str,
+    column_map: Mapping[str, str] = DEFAULT_COLUMN_MAP,
+    deduplicate: str | None = None,
+    seed: int = DEFAULT_SEED,
+    shuffle: bool = True,
+    limit: int = -1,
+    eval_ratio: float = DEFAULT_EVAL_RATIO,
+    fmt: str = "json",
+    if_exists: str = "skip",
+) -> DataFrame:
+    """Raw splits to train and eval pairs: prepare what is not written yet, read back, assemble."""
+    prepare_pairs(raw, column_map, order_col, splits, path, deduplicate, fmt, if_exists)
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in PAIR_COLUMNS])
+    order = [raw.schema[name] for name in names(order_col)]
+    prepared = read_prepared(raw.sparkSession, path, T.StructType([*order, *texts]), fmt)
+    return assemble_pairs(
+        prepared.filter(prepared[SPLIT].isin(*splits)), order_col, seed, shuffle, limit, eval_ratio
+    )
+
+
+def truncate_texts(
+    pairs: DataFrame,
+    encoder: Encoder,
+    order_col,
+    marker: str | None = None,
+    max_prompt: int = DEFAULT_MAX_PROMPT,
+    max_len: int = DEFAULT_MAX_TOKENS,
+) -> DataFrame:
+    """Pairs as token ids: common prompt split off, tokenised, cut to length."""
+    parts = split_common_prompt(pairs, marker)
+    texts = ["prompt", *PAIR_COLUMNS]
+    return truncate_pair(encode_columns(parts, texts, encoder, order_col), max_prompt, max_len)
+
+
 def score_pairs(
     pairs: DataFrame,
     cache: DataFrame | None = None,

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 SPLIT = "split"
 
+_local_dirs: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
@@ -22,11 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="tuneprep-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tuneprep-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
