@@ -41,8 +41,9 @@ def test_written_files_keep_the_shuffled_order(spark, tmp_path):
     assert order == sorted(range(1000), key=lambda i: key("shuffle", 1, i))
 
 
-@pytest.mark.parametrize("partitions", [1, 7, 64])
-@pytest.mark.parametrize("n", [1, 37, 899, 900, 5000])
+@pytest.mark.parametrize(
+    "n,partitions", [(1, 7), (37, 1), (37, 7), (37, 64), (899, 7), (900, 7), (5000, 7)]
+)
 def test_limit_is_the_head_of_the_shuffled_train_split(spark, partitions, n):
     out = sampling.limit_train(frame(spark, partitions=partitions), n, "i", seed=5).collect()
     train = sorted((i for i in range(1000) if i % 10), key=lambda i: key("shuffle", 5, i))
@@ -70,8 +71,9 @@ def test_cuts_shuffle_no_rows(spark, tmp_path):
 
 
 @pytest.mark.filterwarnings("ignore:no validation")
-@pytest.mark.parametrize("partitions", [1, 7, 64])
-@pytest.mark.parametrize("ratio", [0.05, 0.333, 0.9999])
+@pytest.mark.parametrize(
+    "ratio,partitions", [(0.05, 1), (0.05, 7), (0.05, 64), (0.333, 7), (0.9999, 7)]
+)
 def test_split_has_the_exact_size(spark, partitions, ratio):
     df = frame(spark, partitions=partitions).replace("validation", "other", "split")
     out = sampling.train_test_split(df, ratio, 42, "i").collect()

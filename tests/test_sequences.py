@@ -2,6 +2,7 @@ import os
 import random
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,12 @@ def test_encoder_on_sliced_and_empty_batches(corpus):
     assert encoder(pa.array([], pa.string())).to_pylist() == []
 
 
+def test_arrow_splits_where_python_does():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    counts = pc.list_value_length(tokens._split(pa.array([f"a{c}b" for c in every])))
+    assert counts.to_pylist() == [len(f"a{c}b".split()) for c in every]
+
+
 def test_tokenizer_file(spark, corpus, tmp_path):
     library = pytest.importorskip("tokenizers")
     model = library.models.WordLevel({"a": 0, "b": 1, "?": 2}, unk_token="?")

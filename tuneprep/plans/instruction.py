@@ -16,7 +16,7 @@ from tuneprep.operators.mapping import (
     map_columns,
     normalize_columns,
 )
-from tuneprep.operators.sampling import limit_and_split, seeded_shuffle
+from tuneprep.operators.sampling import TRAIN, has_split, limit_and_split, seeded_shuffle
 from tuneprep.operators.tokens import Encoder, encode, encode_literal
 from tuneprep.runtime import SPLIT, materialize, names
 from tuneprep.sources.prepared import pending_splits, read_prepared, write_prepared
@@ -84,6 +84,8 @@ def assemble_instructions(
 
     The cut and the split decide row by row, so the only shuffle of whole rows is the last step.
     """
+    if not has_split(df, TRAIN):
+        raise ValueError("there is no train split to assemble")
     split = limit_and_split(df, limit, eval_ratio, seed, order_col, shuffle)
     rendered = format_template(split, template, text_field, order_col)
     return seeded_shuffle(rendered, seed, order_col) if shuffle else rendered

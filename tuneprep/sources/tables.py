@@ -36,11 +36,11 @@ def load_split(
         raise ValueError(f"cannot tell the format of {path!r}: pass fmt='parquet' or fmt='json'")
     if fmt == "json" and schema is None:
         raise ValueError("a JSON source needs a schema")
+    if row_order and fmt != "parquet":
+        raise ValueError("only Parquet rows have a stored order: name an order column instead")
     reader = spark.read if schema is None else spark.read.schema(schema)
     rows = reader.format(fmt).load(path)
     if row_order:
-        if fmt != "parquet":
-            raise ValueError("only Parquet rows have a stored order: name an order column instead")
         file_col, row_col = ROW_ORDER
         rows = rows.select(
             "*",
