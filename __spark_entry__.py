@@ -7,11 +7,15 @@ the same expressions, because the texts as delivered hardly have any.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from tuneprep.functions import sequences as seq
 from tuneprep.functions.scores import shifted_sum
 from tuneprep.functions.text import LINE_BREAK_CLASS, WHITESPACE_CLASS, words
@@ -380,9 +384,10 @@ def load_split_row_order(spark, sf_dir):
 
 
 def map_columns(spark, sf_dir):
-    return mapping.map_columns(
+    mapped = mapping.map_columns(
         _documents(spark, sf_dir), {"prompt": "text", "response": "answer"}, "doc_id"
     )
+    return mapped.withColumn("response", F.coalesce("response", F.lit("(null)")))
 
 
 def normalize_text(spark, sf_dir):
@@ -845,7 +850,7 @@ SELECT 'train' AS split, row_number() OVER (ORDER BY doc_id) - 1 AS idx,
 FROM documents""",
         "map_columns": f"""
 WITH {_DOCUMENTS}
-SELECT split, doc_id, text AS prompt, CAST(NULL AS VARCHAR) AS response FROM documents_s""",
+SELECT split, doc_id, text AS prompt, '(null)' AS response FROM documents_s""",
         "normalize_text": f"""
 SELECT doc_id, {_normalized_sql(_spliced_sql('text'))} AS text FROM documents""",
         "stringify": """

@@ -140,3 +140,23 @@ def test_spread_deals_out_small_sources_only(spark, tmp_path):
     assert tables.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, 50)
     assert tables.spread(wide) is wide
+
+
+def test_a_finished_job_leaves_no_intermediate_tables(spark, tmp_path):
+    from pathlib import Path
+
+    from tuneprep.plans import instruction
+
+    area = Path(runtime.shared_dir(spark)) / "tuneprep"
+    before = set(area.glob("*"))
+    rows = [("train", i, f"q{i % 3}", "a") for i in range(9)]
+    raw = spark.createDataFrame(rows, "split string, i bigint, instruction string, response string")
+    path = str(tmp_path / "p")
+    instruction.prepare_instructions(
+        raw, instruction.DEFAULT_COLUMN_MAP, "i", ["train"], path, "prompt"
+    )
+    back = prepared.read_prepared(spark, path, "i bigint, prompt string, response string")
+    assert sorted(r["i"] for r in back.collect()) == [0, 1, 2]
+    assert set(area.glob("*")) == before
+    kept = runtime.materialize(back, "kept")
+    assert kept.count() == 3 and set(area.glob("*")) != before

@@ -18,7 +18,7 @@ from tuneprep.operators.mapping import (
 )
 from tuneprep.operators.sampling import TRAIN, has_split, limit_and_split, seeded_shuffle
 from tuneprep.operators.tokens import Encoder, encode, encode_literal
-from tuneprep.runtime import SPLIT, materialize, names
+from tuneprep.runtime import SPLIT, materialize, names, temporary_tables
 from tuneprep.sources.prepared import pending_splits, read_prepared, write_prepared
 
 # Prompt templates by model family and the tag that opens the completion. The
@@ -64,10 +64,11 @@ def prepare_instructions(
     todo = pending_splits(df.sparkSession, path, splits, if_exists)
     if not todo:
         return []
-    clean = clean_instructions(
-        df.filter(df[SPLIT].isin(*todo)), column_map, order_col, deduplicate
-    )
-    return write_prepared(clean, path, todo, fmt, if_exists)
+    with temporary_tables(df.sparkSession):
+        clean = clean_instructions(
+            df.filter(df[SPLIT].isin(*todo)), column_map, order_col, deduplicate
+        )
+        return write_prepared(clean, path, todo, fmt, if_exists)
 
 
 def assemble_instructions(

@@ -19,7 +19,7 @@ from tuneprep.operators.pairs import split_common_prompt, truncate_pair
 from tuneprep.operators.sampling import limit_and_split, seeded_shuffle
 from tuneprep.operators.scoring import dpo_loss, lookup_reference
 from tuneprep.operators.tokens import Encoder, encode_columns
-from tuneprep.runtime import SPLIT, names
+from tuneprep.runtime import SPLIT, names, temporary_tables
 from tuneprep.sources.prepared import pending_splits, read_prepared, write_prepared
 
 # Defaults of the preference configuration.
@@ -59,8 +59,9 @@ def prepare_pairs(
     todo = pending_splits(df.sparkSession, path, splits, if_exists)
     if not todo:
         return []
-    clean = clean_pairs(df.filter(df[SPLIT].isin(*todo)), column_map, order_col, deduplicate)
-    return write_prepared(clean, path, todo, fmt, if_exists)
+    with temporary_tables(df.sparkSession):
+        clean = clean_pairs(df.filter(df[SPLIT].isin(*todo)), column_map, order_col, deduplicate)
+        return write_prepared(clean, path, todo, fmt, if_exists)
 
 
 def assemble_pairs(

@@ -6,6 +6,8 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 SPLIT = "split"
 
 _local_dirs: dict[str, str] = {}
+_job_dir: ContextVar[str | None] = ContextVar("job_dir", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,14 +36,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tuneprep/{name}-{uuid.uuid4().hex}"
+    base = _job_dir.get() or f"{shared_dir(spark)}/tuneprep"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Remove the tables that ``materialize`` writes inside the block when it ends.
+
+    For jobs that have written their result by then; a lazy result still needs its tables.
+    """
+    path = scratch_path(spark, "job")
+    token = _job_dir.set(path)
+    try:
+        yield
+    finally:
+        _job_dir.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read and never a re-computation, and gives
-    Catalyst the true size of the table. The files stay until the shared folder is cleaned.
+    Catalyst the true size of the table. Outside of ``temporary_tables`` the files stay until the
+    shared folder is cleaned.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
