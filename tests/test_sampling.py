@@ -133,3 +133,18 @@ def test_index_composite_strings_and_no_op(spark):
     assert [(r["c"], r["n"]) for r in out.orderBy("idx").collect()] == sorted(rows)
     assert indexing.with_index(out, ["c", "n"]) is out
     assert indexing.with_index(df.limit(0), ["c", "n"]).count() == 0
+
+
+def test_temporary_columns_do_not_touch_those_of_the_user(spark):
+    from tuneprep.operators import dedup
+
+    rows = [(i, "train", f"k{i}", i, "same" if i < 3 else f"t{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "i int, split string, _key string, _place int, _content string")
+    for out in (
+        sampling.seeded_shuffle(df, 1, "i"),
+        sampling.shuffle_rank(df, 1, "i").drop("rank"),
+        indexing.with_index(df, "i").drop("idx"),
+    ):
+        assert sorted(tuple(r) for r in out.select(df.columns).collect()) == rows
+    kept = dedup.dedup_first(df, "_content", "i")
+    assert sorted(tuple(r) for r in kept.select(df.columns).collect()) == rows[:1] + rows[3:]

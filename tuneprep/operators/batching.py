@@ -44,12 +44,12 @@ def pad_batch(
     given = column("attention_mask") if "attention_mask" in df.columns else None
     return laid_out.withColumns(
         {
-            "input_ids": pad_right(F.col("input_ids"), F.col("_width"), pad_id),
+            "input_ids": pad_right(F.col("input_ids"), F.col("_tp_width"), pad_id),
             "attention_mask": pad_right(
-                attention_mask(F.col("input_ids"), given), F.col("_width"), 0
+                attention_mask(F.col("input_ids"), given), F.col("_tp_width"), 0
             ),
         }
-    ).drop("_width")
+    ).drop("_tp_width")
 
 
 def _lay_out(df: DataFrame, batch_size: int, index_col: str) -> DataFrame:
@@ -59,7 +59,7 @@ def _lay_out(df: DataFrame, batch_size: int, index_col: str) -> DataFrame:
             "batch_id": F.expr(f"`{index_col}` div {batch_size}"),
             "pos_in_batch": (column(index_col) % batch_size).cast("int"),
         }
-    ).withColumn("_width", F.max(LENGTH).over(Window.partitionBy("batch_id")))
+    ).withColumn("_tp_width", F.max(LENGTH).over(Window.partitionBy("batch_id")))
 
 
 def collate(

@@ -15,9 +15,9 @@ from tuneprep.runtime import SPLIT, column, materialize, names
 MAX_BROADCAST_GROUPS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_HASH = "_content"
-_FIRST = "_first"
-_COPIES = "_copies"
+_HASH = "_tp_content"
+_FIRST = "_tp_first"
+_COPIES = "_tp_copies"
 
 
 @dataclass(frozen=True)
@@ -119,26 +119,26 @@ def stored_dedup(df: DataFrame, key: str, order_col, within=SPLIT) -> DataFrame:
 def _drop_later_copies(df, repeated, key, order, group):
     this = column(order[0]) if len(order) == 1 else F.struct(*[column(c) for c in order])
     winners = repeated.select(
-        *[column(c).alias(f"_g_{i}") for i, c in enumerate(group)],
-        F.col(_HASH).alias("_g_hash"),
+        *[column(c).alias(f"_tp_g_{i}") for i, c in enumerate(group)],
+        F.col(_HASH).alias("_tp_g_hash"),
         _FIRST,
     )
-    same = _hash(df, key) == F.col("_g_hash")
+    same = _hash(df, key) == F.col("_tp_g_hash")
     for i, c in enumerate(group):
-        same = same & column(c).eqNullSafe(F.col(f"_g_{i}"))
+        same = same & column(c).eqNullSafe(F.col(f"_tp_g_{i}"))
     # A row falls out iff its text is repeated and its place is not the first one.
     return df.join(F.broadcast(winners), same & (this != F.col(_FIRST)), "left_anti")
 
 
 def _keep_winners(df, groups, order, group):
     if len(order) == 1:
-        places = [F.col(_FIRST).alias("_o_0")]
+        places = [F.col(_FIRST).alias("_tp_o_0")]
     else:
-        places = [F.col(_FIRST)[c].alias(f"_o_{i}") for i, c in enumerate(order)]
-    winners = groups.select(*[column(c).alias(f"_g_{i}") for i, c in enumerate(group)], *places)
+        places = [F.col(_FIRST)[c].alias(f"_tp_o_{i}") for i, c in enumerate(order)]
+    winners = groups.select(*[column(c).alias(f"_tp_g_{i}") for i, c in enumerate(group)], *places)
     same = F.lit(True)
     for i, c in enumerate(order):
-        same = same & (column(c) == F.col(f"_o_{i}"))
+        same = same & (column(c) == F.col(f"_tp_o_{i}"))
     for i, c in enumerate(group):
-        same = same & column(c).eqNullSafe(F.col(f"_g_{i}"))
+        same = same & column(c).eqNullSafe(F.col(f"_tp_g_{i}"))
     return df.join(winners, same, "left_semi")

@@ -35,11 +35,11 @@ def index_keys(
     placed = (
         narrow.repartitionByRange(*[column(c) for c in order])
         .sortWithinPartitions(*[column(c) for c in order])
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_MASK)))
+        .withColumn("_tp_part", F.spark_partition_id())
+        .withColumn("_tp_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_MASK)))
     )
     stored = materialize(placed, "index-keys")
-    return add_offsets(stored, "_part", "_place", index_col).select(
+    return add_offsets(stored, "_tp_part", "_tp_place", index_col).select(
         *[column(c) for c in order], *[column(c) for c in carry], column(index_col)
     )
 
@@ -53,11 +53,11 @@ def add_offsets(placed: DataFrame, part: str, place: str, index_col: str) -> Dat
     before = Window.partitionBy(F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(part)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(part, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .agg(F.count(F.lit(1)).alias("_tp_rows"))
+        .select(part, F.coalesce(F.sum("_tp_rows").over(before), F.lit(0)).alias("_tp_offset"))
     )
     return placed.join(F.broadcast(offsets), part).withColumn(
-        index_col, column(place) + F.col("_offset")
+        index_col, column(place) + F.col("_tp_offset")
     )
 
 

@@ -53,27 +53,27 @@ def prep_report(
     outcome = F.when(missing, "missing").when(degenerate, "degenerate").otherwise("kept")
     staged = df.select(
         *group,
-        outcome.alias("_outcome"),
-        *([] if dedup_key is None else [column(dedup_key).alias("_key")]),
+        outcome.alias("_tp_outcome"),
+        *([] if dedup_key is None else [column(dedup_key).alias("_tp_key")]),
     )
-    fold = [*group, F.col("_outcome")]
+    fold = [*group, F.col("_tp_outcome")]
     if dedup_key is not None:
         staged = staged.withColumn(
-            "_content",
-            F.when(F.col("_outcome") == "kept", content_hash(normalize_text(F.col("_key")))),
+            "_tp_content",
+            F.when(F.col("_tp_outcome") == "kept", content_hash(normalize_text(F.col("_tp_key")))),
         )
-        fold.append(F.col("_content"))
-    folded = staged.groupBy(*fold).agg(F.count(F.lit(1)).alias("_rows"))
+        fold.append(F.col("_tp_content"))
+    folded = staged.groupBy(*fold).agg(F.count(F.lit(1)).alias("_tp_rows"))
 
     def total(name):
-        return F.coalesce(F.sum(F.when(F.col("_outcome") == name, F.col("_rows"))), F.lit(0))
+        return F.coalesce(F.sum(F.when(F.col("_tp_outcome") == name, F.col("_tp_rows"))), F.lit(0))
 
-    kept = F.col("_outcome") == "kept"
-    copies = F.when(kept, F.col("_rows") - 1) if dedup_key is not None else F.lit(0)
+    kept = F.col("_tp_outcome") == "kept"
+    copies = F.when(kept, F.col("_tp_rows") - 1) if dedup_key is not None else F.lit(0)
     return (
         folded.groupBy(*group)
         .agg(
-            F.sum("_rows").alias("rows_in"),
+            F.sum("_tp_rows").alias("rows_in"),
             total("missing").alias("dropped_missing"),
             total("degenerate").alias("dropped_degenerate"),
             F.coalesce(F.sum(copies), F.lit(0)).cast("bigint").alias("dropped_duplicates"),

@@ -46,11 +46,11 @@ def seeded_shuffle(df: DataFrame, seed: int, order_col) -> DataFrame:
     order = names(order_col)
     slots = _shuffle_partitions(df)
     return (
-        df.withColumn("_key", order_key(SHUFFLE, seed, order))
-        .withColumn("_slot", _slot(F.col("_key"), slots))
-        .repartitionById(slots, F.col("_slot"))
-        .sortWithinPartitions("_key", *[column(c) for c in order])
-        .drop("_key", "_slot")
+        df.withColumn("_tp_key", order_key(SHUFFLE, seed, order))
+        .withColumn("_tp_slot", _slot(F.col("_tp_key"), slots))
+        .repartitionById(slots, F.col("_tp_slot"))
+        .sortWithinPartitions("_tp_key", *[column(c) for c in order])
+        .drop("_tp_key", "_tp_slot")
     )
 
 
@@ -63,28 +63,28 @@ def shuffle_rank(
     # Many more slots than tasks, so that tasks get even shares.
     slots = 16 * _shuffle_partitions(df)
     slot = _slot(order_key(SHUFFLE, seed, order_col), slots)
-    before = Window.partitionBy(*[column(c) for c in group], F.lit(0)).orderBy("_slot")
+    before = Window.partitionBy(*[column(c) for c in group], F.lit(0)).orderBy("_tp_slot")
     # One row per slot and split.
     offsets = (
-        df.groupBy(*[column(c) for c in group], slot.alias("_slot"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        df.groupBy(*[column(c) for c in group], slot.alias("_tp_slot"))
+        .agg(F.count(F.lit(1)).alias("_tp_rows"))
         .withColumn(
-            "_offset",
+            "_tp_offset",
             F.coalesce(
-                F.sum("_rows").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+                F.sum("_tp_rows").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
             ),
         )
-        .drop("_rows")
+        .drop("_tp_rows")
     )
-    in_slot = Window.partitionBy(*[column(c) for c in group], "_slot").orderBy("_key", *order)
+    in_slot = Window.partitionBy(*[column(c) for c in group], "_tp_slot").orderBy("_tp_key", *order)
     ranked = (
-        df.withColumn("_key", order_key(SHUFFLE, seed, order_col))
-        .withColumn("_slot", slot)
-        .withColumn("_place", F.row_number().over(in_slot) - 1)
+        df.withColumn("_tp_key", order_key(SHUFFLE, seed, order_col))
+        .withColumn("_tp_slot", slot)
+        .withColumn("_tp_place", F.row_number().over(in_slot) - 1)
     )
     # The window has placed the rows by the join columns: the join moves only the offsets.
-    return ranked.join(offsets, [*group, "_slot"]).select(
-        *[column(c) for c in df.columns], (F.col("_place") + F.col("_offset")).alias(rank_col)
+    return ranked.join(offsets, [*group, "_tp_slot"]).select(
+        *[column(c) for c in df.columns], (F.col("_tp_place") + F.col("_tp_offset")).alias(rank_col)
     )
 
 
@@ -93,32 +93,32 @@ def _first_k(
 ) -> Column | None:
     """Predicate true for the ``k(total)`` rows with the smallest keys; None if that is all rows."""
     order = names(order_col)
-    keys = df.select(order_key(purpose, seed, order).alias("_key"), *[column(c) for c in order])
+    keys = df.select(order_key(purpose, seed, order).alias("_tp_key"), *[column(c) for c in order])
     everything = Window.partitionBy(F.lit(0))
     # At most 65536 groups: their running sum may use one task.
     crossing = (
-        keys.groupBy(leading_bits(F.col("_key"), _DIGITS).alias("_group"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_upto", F.sum("_rows").over(everything.orderBy("_group")))
-        .withColumn("_wanted", k(F.sum("_rows").over(everything)))
-        .filter(F.col("_upto") > F.col("_wanted"))
-        .orderBy("_group")
+        keys.groupBy(leading_bits(F.col("_tp_key"), _DIGITS).alias("_tp_group"))
+        .agg(F.count(F.lit(1)).alias("_tp_rows"))
+        .withColumn("_tp_upto", F.sum("_tp_rows").over(everything.orderBy("_tp_group")))
+        .withColumn("_tp_wanted", k(F.sum("_tp_rows").over(everything)))
+        .filter(F.col("_tp_upto") > F.col("_tp_wanted"))
+        .orderBy("_tp_group")
         .first()
     )
     if crossing is None:
         return None
-    wanted_here = crossing["_wanted"] - (crossing["_upto"] - crossing["_rows"])
+    wanted_here = crossing["_tp_wanted"] - (crossing["_tp_upto"] - crossing["_tp_rows"])
     # Ranks the keys of one group only, about 1/65536 of the rows, to find the first row left out.
-    in_group = Window.partitionBy("_group").orderBy("_key", *[column(c) for c in order])
+    in_group = Window.partitionBy("_tp_group").orderBy("_tp_key", *[column(c) for c in order])
     cut = (
-        keys.withColumn("_group", leading_bits(F.col("_key"), _DIGITS))
-        .filter(F.col("_group") == crossing["_group"])
-        .withColumn("_place", F.row_number().over(in_group))
-        .filter(F.col("_place") == wanted_here + 1)
+        keys.withColumn("_tp_group", leading_bits(F.col("_tp_key"), _DIGITS))
+        .filter(F.col("_tp_group") == crossing["_tp_group"])
+        .withColumn("_tp_place", F.row_number().over(in_group))
+        .filter(F.col("_tp_place") == wanted_here + 1)
         .first()
     )
     key = order_key(purpose, seed, order)
-    return (key < cut["_key"]) | ((key == cut["_key"]) & _before(df, cut, order))
+    return (key < cut["_tp_key"]) | ((key == cut["_tp_key"]) & _before(df, cut, order))
 
 
 def _before(df: DataFrame, cut: Row, order: list[str]) -> Column:

@@ -59,31 +59,33 @@ def token_logprobs_long(logits: DataFrame, labels: DataFrame) -> DataFrame:
     fold map-side, where a maximum first and a sum second would read the logits twice.
     """
     band = F.floor(F.col("logit") / _BAND)
-    top = F.col("_top").cast("double")
+    top = F.col("_tp_top").cast("double")
     total = F.aggregate(
-        "_bands",
+        "_tp_bands",
         F.lit(0.0),
-        lambda acc, b: acc + b["_sum"] * F.exp((b["_band"] - top) * _BAND),
+        lambda acc, b: acc + b["_tp_sum"] * F.exp((b["_tp_band"] - top) * _BAND),
     )
     return (
         logits.join(shift_labels(labels), ["seq_id", "pos"])
-        .groupBy("seq_id", "pos", "label", band.alias("_band"))
+        .groupBy("seq_id", "pos", "label", band.alias("_tp_band"))
         .agg(
-            F.sum(F.exp(F.col("logit") - band * _BAND)).alias("_sum"),
-            F.max(F.when(F.col("token_id") == F.col("label"), F.col("logit"))).alias("_picked"),
+            F.sum(F.exp(F.col("logit") - band * _BAND)).alias("_tp_sum"),
+            F.max(F.when(F.col("token_id") == F.col("label"), F.col("logit"))).alias("_tp_picked"),
         )
         .groupBy("seq_id", "pos", "label")
         .agg(
-            F.max("_picked").alias("_picked"),
-            F.max("_band").alias("_top"),
+            F.max("_tp_picked").alias("_tp_picked"),
+            F.max("_tp_band").alias("_tp_top"),
             # One entry per band in use: a handful, whatever the vocabulary.
-            F.collect_list(F.struct(F.col("_band").cast("double").alias("_band"), "_sum")).alias("_bands"),
+            F.collect_list(
+                F.struct(F.col("_tp_band").cast("double").alias("_tp_band"), "_tp_sum")
+            ).alias("_tp_bands"),
         )
         .select(
             "seq_id",
             "pos",
             "label",
-            _scored(F.col("_picked") - top * _BAND - F.log(total)).alias("logp"),
+            _scored(F.col("_tp_picked") - top * _BAND - F.log(total)).alias("logp"),
         )
     )
 
@@ -135,8 +137,8 @@ def lookup_reference(pairs: DataFrame, cache: DataFrame, dataset_id: str) -> Dat
     """
     stored = cache.filter(F.col("dataset_id") == dataset_id).select(
         "idx",
-        F.col("ref_logp_chosen").alias("_chosen"),
-        F.col("ref_logp_rejected").alias("_rejected"),
+        F.col("ref_logp_chosen").alias("_tp_chosen"),
+        F.col("ref_logp_rejected").alias("_tp_rejected"),
     )
 
     def found(score):
@@ -145,8 +147,8 @@ def lookup_reference(pairs: DataFrame, cache: DataFrame, dataset_id: str) -> Dat
 
     return pairs.join(stored, "idx", "left").select(
         *[column(c) for c in pairs.columns],
-        found("_chosen").alias("ref_logp_chosen"),
-        found("_rejected").alias("ref_logp_rejected"),
+        found("_tp_chosen").alias("ref_logp_chosen"),
+        found("_tp_rejected").alias("ref_logp_rejected"),
     )
 
 
