@@ -34,6 +34,13 @@ from tuneprep.plans import instruction, preference
 from tuneprep.runtime import scratch_path
 from tuneprep.sources import prepared, tables
 
+try:
+    from tuneprep.llm import queries as llm_queries
+except ModuleNotFoundError as error:  # the subpackage may be absent; its own faults are not hidden
+    if error.name not in ("tuneprep.llm", "tuneprep.llm.queries", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 SEED = 42
 EVAL_RATIO = 0.05
 LIMIT = 300
@@ -753,10 +760,15 @@ def entry(spark: SparkSession) -> DataFrame:
     return instruction_texts(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the library proper, each of which has SQL."""
     return {query.__name__: query for query in _QUERIES}
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | (llm_queries.QUERIES if llm_queries else {})
+
+
 # --- the same results in SQL --------------------------------------------------------------------
 
 _FIRST_COPIES = """
@@ -836,6 +848,10 @@ WHERE split <> 'train' OR place <= {LIMIT}"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() | (llm_queries.ORACLES if llm_queries else {})
+
+
+def _own_sql() -> dict[str, str]:
     shuffle_key = f"md5('shuffle:{SEED}:' || doc_id), doc_id"
     token_scores = f"WITH {_scores_sql('policy', 20.0)}\n"
     looked_up = f"WITH {_LOOKED_UP}\n"
