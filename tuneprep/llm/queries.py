@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tuneprep.llm import simhash
+from tuneprep.llm import langid, mixing, secret_scan, simhash
 
-QUERIES = {"op2_simhash": simhash.op2_simhash}
+QUERIES = {"op2_simhash": simhash.op2_simhash, "op8_mixing": mixing.op8_mixing, "op9_secrets": secret_scan.op9_secrets, "op10_langid": langid.op10_langid}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_mixing": mixing.OP8_SQL}
