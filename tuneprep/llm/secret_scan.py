@@ -345,7 +345,7 @@ def _window_rows(batches):
 
 
 def fit(windows: list[tuple[bytes, bytes, list[int]]], steps: int = 40, penalty: float = 1e-4) -> Model:
-    """Maximise the conditional likelihood of the windows' tags by adaptive gradient steps."""
+    """Maximise the conditional likelihood of the windows' tags by resilient gradient steps."""
     if not any(set(tags) - {_OUTSIDE} for _, tags, _ in windows):
         return Model()
     longest = max(len(tags) for _, tags, _ in windows)
@@ -372,7 +372,7 @@ def fit(windows: list[tuple[bytes, bytes, list[int]]], steps: int = 40, penalty:
     rows = np.repeat(np.arange(len(flat)), used.sum(axis=1))
     cols = flat[used]
     w, moves = np.zeros((_SLOTS, 3)), np.zeros((3, 3))
-    gw, gm = np.full_like(w, 1e-6), np.full_like(moves, 1e-6)
+    climbs = (_Climb(w.shape), _Climb(moves.shape))
     gold = np.zeros((n, longest, 3))
     np.put_along_axis(gold, tags[:, :, None], 1.0, axis=2)
     gold *= present[:, :, None]
@@ -404,11 +404,23 @@ def fit(windows: list[tuple[bytes, bytes, list[int]]], steps: int = 40, penalty:
         grad_moves[:, _OUTSIDE] += last.sum(axis=0) / n
         grad_moves[_OUTSIDE] += (gold[:, 0] - chance[:, 0]).sum(axis=0) / n
         grad, grad_moves = grad - penalty * w, grad_moves - penalty * moves
-        gw, gm = gw + grad**2, gm + grad_moves**2
-        w, moves = w + 0.5 * grad / np.sqrt(gw), moves + 0.5 * grad_moves / np.sqrt(gm)
+        w, moves = w + climbs[0].step(grad), moves + climbs[1].step(grad_moves)
     return Model(w.astype(np.float32), moves.astype(np.float32))
 
 
+class _Climb:
+    """Resilient steps: each weight's own, longer while its gradient keeps its sign, else shorter."""
+
+    def __init__(self, shape):
+        self.size, self.before = np.full(shape, 0.1), np.zeros(shape)
+
+    def step(self, gradient: np.ndarray) -> np.ndarray:
+        agree = np.sign(gradient * self.before)
+        self.size = np.clip(self.size * np.where(agree > 0, 1.2, np.where(agree < 0, 0.5, 1)), 1e-6, 2)
+        self.before = np.where(agree < 0, 0, gradient)
+        return np.sign(self.before) * self.size
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     most = x.max(axis=axis, keepdims=True)
     return np.log(np.exp(x - most).sum(axis=axis)) + np.squeeze(most, axis)
