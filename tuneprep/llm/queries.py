@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from tuneprep.llm import langid, mixing, secret_scan, simhash
+import corpus_pipeline
+from tuneprep.llm import langid, mixing, pieces, secret_scan, simhash
 
-QUERIES = {"op2_simhash": simhash.op2_simhash, "op8_mixing": mixing.op8_mixing, "op9_secrets": secret_scan.op9_secrets, "op10_langid": langid.op10_langid}
+QUERIES = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op2_simhash": simhash.op2_simhash,
+    "op8_mixing": mixing.op8_mixing,
+    "op9_secrets": secret_scan.op9_secrets,
+    "op10_langid": langid.op10_langid,
+    "pipeline": corpus_pipeline.run,
+}
 
 ORACLES = {"op8_mixing": mixing.OP8_SQL}
