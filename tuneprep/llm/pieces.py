@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁"
 _SEGMENT = re.compile(f"{_MARK}*[^{_MARK}\n]+|{_MARK}+|\n")
 _PROBES = ("", " ", "  a  b ", "x\ty\n\nz", "é①ﬁ", "The quick brown fox, 12345!")
-_KEPT = 300_000
-_TEXT_CHUNK = 1 << 22
+_KEPT = 150_000
+_TEXT_CHUNK = 1 << 20
 _CACHE_BITS = 20
 _NEVER = np.iinfo(np.int64).max
 
@@ -167,13 +168,22 @@ class Encoder:
 
     def _suffix_array(self, codes: np.ndarray) -> np.ndarray:
         """Suffixes in the order of their first ``longest`` characters."""
-        rank, span = codes.astype(np.int64), 1
+        def ahead(rank, by):
+            out = np.zeros_like(rank)
+            out[: -by or None] = rank[by:]
+            return out
+
+        # As many characters as fit into 62 bits make the first key; then the span doubles.
+        width = len(self.alphabet).bit_length()
+        key, span = codes.astype(np.int64), 1
+        while (span + 1) * width <= 62 and span < self.longest:
+            key = (key << width) | ahead(codes, span)
+            span += 1
         while span < self.longest:
-            ahead = np.zeros_like(rank)
-            ahead[:-span or None] = rank[span:]
-            _, rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)
+            rank = np.unique(key, return_inverse=True)[1]
+            key = rank * (int(rank.max(initial=0)) + 1) + ahead(rank, span)
             span *= 2
-        return np.argsort(rank, kind="stable")
+        return np.argsort(key)
 
     def _edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, piece) of every occurrence of every piece; 0 in ``codes`` matches nothing."""
@@ -265,7 +275,7 @@ class Encoder:
         start, piece, segment = start[inside], piece[inside], segment[inside]
         end = start + self.lengths[piece]
         step = end - base[segment]
-        order = np.argsort(step, kind="stable")
+        order = np.argsort(step)
         start, piece, end, step = start[order], piece[order], end[order], step[order]
         first = start == base[segment[order]]
         last = np.full(len(codes) + 1, -1, np.int64)
@@ -287,7 +297,7 @@ class Encoder:
             position[alive] -= self.lengths[own]
             alive = alive[position[alive] > base[alive]]
         owner, own, place = (np.concatenate(x) for x in (owners, ids, places))
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(place)
         owner, own, place = owner[order], own[order], place[order]
         self._keep(segments, owner, own, points, place - 1 - owner)
 
@@ -339,7 +349,9 @@ class Encoder:
         if len(self.known) > _KEPT:
             self._reset()
         known = self.known
-        new = dict.fromkeys(s for _, segments in waiting for s in segments if s not in known)
+        new = dict.fromkeys(
+            chain.from_iterable(filterfalse(known.__contains__, segments) for _, segments in waiting)
+        )
         if new:
             self._learn(list(new))
         for i, segments in waiting:
@@ -364,6 +376,14 @@ def _parts(text: str):
     yield text[at:]
 
 
+def _id_lists(lists: pa.Array):
+    """One list of ids at a time, so a batch is never held as Python numbers."""
+    values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    missing = lists.is_null().to_numpy(zero_copy_only=False)
+    for a, b, null in zip(offsets[:-1].tolist(), offsets[1:].tolist(), missing.tolist(), strict=True):
+        yield None if null else values[a:b].tolist()
+
+
 def decode(ids: list[int], vocabulary: Vocabulary) -> str:
     """Text of a list of ids; one leading blank is that of the encoder and goes."""
     data = b"".join(map(vocabulary.decoded.__getitem__, ids))
@@ -407,7 +427,8 @@ class Pieces:
                 pa.array(offsets.astype(np.int32)), pa.array(values, pa.int32()), mask=missing
             )
 
-        return encode_pieces(text)
+        # A deterministic function would be computed again by each user of its result.
+        return encode_pieces.asNondeterministic()(text)
 
     def decode(self, ids: Column) -> Column:
         """Text of piece ids; null for null. Ids outside the vocabulary are an error."""
@@ -417,7 +438,7 @@ class Pieces:
         def decode_pieces(lists: pa.Array) -> pa.Array:
             vocabulary = shared.value
             return pa.array(
-                [None if x is None else decode(x, vocabulary) for x in lists.to_pylist()],
+                (None if x is None else decode(x, vocabulary) for x in _id_lists(lists)),
                 pa.string(),
             )
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tuneprep.llm import caps, langid, mixing, pieces, secret_scan, simhash
+from tuneprep.llm import caps, langid, mixing, mtree, pieces, secret_scan, simhash
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_simhash": simhash.op2_simhash,
+    "op5_mtree": mtree.op5_mtree,
     "op6_caps": caps.op6_caps,
     "op8_mixing": mixing.op8_mixing,
     "op9_secrets": secret_scan.op9_secrets,
@@ -15,4 +16,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op6_caps": caps.OP6_SQL, "op8_mixing": mixing.OP8_SQL}
+ORACLES = {"op5_mtree": mtree.OP5_SQL, "op6_caps": caps.OP6_SQL, "op8_mixing": mixing.OP8_SQL}
