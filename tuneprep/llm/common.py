@@ -29,6 +29,21 @@ def as_bytes(texts: pa.Array) -> list:
     return [b"" if x is None else x for x in binary.to_pylist()]
 
 
+_worker_state: dict = {}
+
+
+def worker_state(kind: str, shared, build):
+    """What a Python worker keeps between batches for one broadcast value.
+
+    Workers outlive a query, so a new value replaces whatever was kept, of any kind.
+    """
+    key = (kind, id(shared.value))
+    if key not in _worker_state:
+        _worker_state.clear()
+        _worker_state[key] = build(shared.value)
+    return _worker_state[key]
+
+
 def id_remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; 0 (held out) for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod, F.lit(0))

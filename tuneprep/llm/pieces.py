@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import fresh, table
+from tuneprep.llm.common import fresh, table, worker_state
 from tuneprep.runtime import column, ship_package
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -390,18 +390,6 @@ def decode(ids: list[int], vocabulary: Vocabulary) -> str:
     return data[data[:1] == b" " :].decode("utf-8", "replace")
 
 
-_encoders: dict[int, Encoder] = {}
-
-
-def _encoder(shared) -> Encoder:
-    """One encoder per worker and vocabulary."""
-    vocabulary = shared.value
-    if id(vocabulary) not in _encoders:
-        _encoders.clear()
-        _encoders[id(vocabulary)] = Encoder(vocabulary)
-    return _encoders[id(vocabulary)]
-
-
 class Pieces:
     """Encoding and decoding of columns with the model of a file."""
 
@@ -417,7 +405,7 @@ class Pieces:
         @F.arrow_udf("array<int>")
         def encode_pieces(texts: pa.Array) -> pa.Array:
             given = texts.to_pylist()
-            found = _encoder(shared).encode([t or "" for t in given])
+            found = worker_state("pieces", shared, Encoder).encode([t or "" for t in given])
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
             if len(found) and offsets[-1] >= 1 << 31:
                 raise ValueError("a batch has too many pieces; lower the Arrow batch size")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tuneprep.llm import caps, langid, mixing, mtree, pieces, secret_scan, simhash
+from tuneprep.llm import caps, langid, mixing, mtree, ngram_lm, pieces, secret_scan, simhash
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_simhash": simhash.op2_simhash,
+    "op4_ngram_lm": ngram_lm.op4_ngram_lm,
     "op5_mtree": mtree.op5_mtree,
     "op6_caps": caps.op6_caps,
     "op8_mixing": mixing.op8_mixing,

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import fresh, table
+from tuneprep.llm.common import fresh, table, worker_state
 from tuneprep.runtime import column, ship_package
 
 #: Fixed patterns of the base, with the group that must be long and its least length.
@@ -43,8 +43,8 @@ _TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s+/.\-]")
 _OFFSETS = (-3, -2, -1, 0, 1)
 _SLOTS = 1 << 15
 _BEGIN, _INSIDE, _OUTSIDE = range(3)
-_TYPES = 300_000
-_CHUNK = 1 << 19
+_TYPES = 150_000
+_CHUNK = 1 << 18
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -450,25 +450,13 @@ def train(
 
 # --- use ----------------------------------------------------------------------------------------
 
-_taggers: dict[int, Tagger] = {}
-
-
-def _tagger(shared) -> Tagger:
-    """One tagger per worker and model."""
-    model = shared.value
-    if id(model) not in _taggers:
-        _taggers.clear()
-        _taggers[id(model)] = Tagger(model)
-    return _taggers[id(model)]
-
-
 def scan_column(docs: DataFrame, text: Column, model: Model) -> Column:
     """Struct of counts, digest and spans for each text; a null text is empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
     def scan(texts: pa.Array) -> pa.Array:
-        tagger = _tagger(shared)
+        tagger = worker_state("secrets", shared, Tagger)
         counts, digests, lists = ([], [], []), [], []
         for item in texts:
             base, added = all_spans(item.as_py() or "", tagger)
@@ -524,7 +512,7 @@ def redact(
 
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
-        tagger = _tagger(shared)
+        tagger = worker_state("secrets", shared, Tagger)
         return pa.array(
             [None if t is None else redacted(t, tagger) for t in texts.to_pylist()], pa.string()
         )
