@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tuneprep.llm import caps, langid, mixing, mtree, ngram_lm, pieces, secret_scan, simhash
+from tuneprep.llm import caps, chat, langid, mixing, mtree, ngram_lm, pieces, secret_scan, simhash
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -11,10 +11,16 @@ QUERIES = {
     "op4_ngram_lm": ngram_lm.op4_ngram_lm,
     "op5_mtree": mtree.op5_mtree,
     "op6_caps": caps.op6_caps,
+    "op7_chat": chat.op7_chat,
     "op8_mixing": mixing.op8_mixing,
     "op9_secrets": secret_scan.op9_secrets,
     "op10_langid": langid.op10_langid,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op5_mtree": mtree.OP5_SQL, "op6_caps": caps.OP6_SQL, "op8_mixing": mixing.OP8_SQL}
+ORACLES = {
+    "op5_mtree": mtree.OP5_SQL,
+    "op6_caps": caps.OP6_SQL,
+    "op7_chat": chat.OP7_SQL,
+    "op8_mixing": mixing.OP8_SQL,
+}
