@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tuneprep.llm import caps, chat, langid, mixing, mtree, ngram_lm, pieces, secret_scan, simhash
+from tuneprep.llm import caps, chat, langid, licences, mixing, mtree, ngram_lm, pieces, secret_scan, simhash
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_simhash": simhash.op2_simhash,
+    "op3_licences": licences.op3_licences,
     "op4_ngram_lm": ngram_lm.op4_ngram_lm,
     "op5_mtree": mtree.op5_mtree,
     "op6_caps": caps.op6_caps,
