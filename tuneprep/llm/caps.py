@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import components, table
-from tuneprep.runtime import column, materialize, ship_package
+from tuneprep.llm.common import components, prepare_workers, table
+from tuneprep.runtime import column, materialize
 
 THRESHOLD = 0.95
 CODES = 12
@@ -257,7 +257,7 @@ def near_vectors(
     vectors are linked with each other, and rows may repeat. An empty table gives no rows; other
     columns are not read.
     """
-    ship_package(rows.sparkSession)
+    prepare_workers(rows.sparkSession)
     given = rows.select(
         column(id_col).alias("id"),
         # Adding zero makes both zeros one.

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import fresh, id_remainder, table
-from tuneprep.runtime import column, ship_package
+from tuneprep.llm.common import fresh, id_remainder, prepare_workers, table
+from tuneprep.runtime import column
 
 UNDETERMINED = "und"
 FOLDS = 5
@@ -184,7 +184,7 @@ def train(
     in all (one a language, should there be more languages than that). Ids decide first, on narrow
     columns, with a limit in each task before any row moves; only the texts chosen are then read.
     """
-    ship_package(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     learnable = docs.filter(
         (id_remainder(column(id_col), folds) != 0)
         & column(lang_col).isNotNull()

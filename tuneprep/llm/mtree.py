@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import table
-from tuneprep.runtime import column, materialize, ship_package
+from tuneprep.llm.common import prepare_workers, table
+from tuneprep.runtime import column, materialize
 
 K = 20
 SCALE = 64
@@ -214,7 +214,7 @@ def top_k(
     time; of queries with the same id the smallest vector counts. An empty table gives no rows, and
     other columns are not read. Products beyond 64 bits are an error.
     """
-    ship_package(rows.sparkSession)
+    prepare_workers(rows.sparkSession)
     v = column(vector_col).cast("array<double>")
     finite = F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))

@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import as_bytes, id_remainder, table
-from tuneprep.runtime import column, materialize, ship_package
+from tuneprep.llm.common import as_bytes, id_remainder, prepare_workers, table
+from tuneprep.runtime import column, materialize
 
 ORDER = 2
 STRENGTH = 100.0
@@ -272,7 +272,7 @@ def score(
     """
     if order < 1:
         raise ValueError("order must be 1 or more")
-    ship_package(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     chunks = materialize(
         docs.select(
             column(id_col).cast("long").alias("id"),

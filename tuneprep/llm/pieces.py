@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import fresh, table, worker_state
-from tuneprep.runtime import column, ship_package
+from tuneprep.llm.common import fresh, prepare_workers, table, worker_state
+from tuneprep.runtime import column
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -394,7 +394,7 @@ class Pieces:
     """Encoding and decoding of columns with the model of a file."""
 
     def __init__(self, spark, path: str = MODEL_FILE):
-        ship_package(spark)
+        prepare_workers(spark)
         self.vocabulary = load(path)
         self._shared = spark.sparkContext.broadcast(self.vocabulary)
 

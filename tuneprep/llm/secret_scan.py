@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import fresh, table, worker_state
-from tuneprep.runtime import column, ship_package
+from tuneprep.llm.common import fresh, prepare_workers, table, worker_state
+from tuneprep.runtime import column
 
 #: Fixed patterns of the base, with the group that must be long and its least length.
 KINDS = ("assign", "access", "hex")
@@ -433,7 +433,7 @@ def train(
 
     Hashes decide on narrow columns first; only the texts chosen are read whole.
     """
-    ship_package(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     hashed = F.xxhash64(column(id_col))
     with_text = docs.filter(column(text_col).isNotNull())
     chosen = with_text.select(hashed.alias("_hash")).orderBy("_hash").limit(sample_rows).distinct()

@@ -19,8 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import as_bytes, components, fresh, table
-from tuneprep.runtime import column, materialize, ship_package
+from tuneprep.llm.common import as_bytes, components, fresh, prepare_workers, table
+from tuneprep.runtime import column, materialize
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -138,7 +138,7 @@ def groups(
     0; repeated rows and repeated ids stay as they are; an empty table gives no rows. Other columns
     of ``docs`` are not read, whatever their names.
     """
-    ship_package(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     rows = materialize(
         docs.select(
             column(id_col).alias("_id"), fingerprint_column(column(text_col), shingle).alias("bits")
