@@ -35,7 +35,7 @@ ORDER = 2
 STRENGTH = 100.0
 FOLDS = 10
 BUCKETS = 128
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _END = b"\n"  # no word has white space
 _EXTRA = 0.1
@@ -52,6 +52,16 @@ def _unpack(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in 32 bits where they fit; the first byte tells."""
+    small = counts.max(initial=0) < 1 << 32
+    return bytes([small]) + _pack(counts.astype(np.uint32 if small else np.uint64))
+
+
+def _unpack_counts(data: bytes) -> np.ndarray:
+    return _unpack(data[1:], np.uint32 if data[0] else np.uint64).astype(np.int64)
+
+
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = (a ^ (b + np.uint64(0x9E3779B97F4A7C15) + (a << np.uint64(6)) + (a >> np.uint64(2))))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -191,7 +201,7 @@ def _sum_bucket(rows: pa.Table) -> pa.Table:
             "bucket": rows.column("bucket"),
             "chunk_id": rows.column("chunk_id"),
             "k": rows.column("k"),
-            "totals": pa.array([_pack(x) for x in answers], pa.binary()),
+            "totals": pa.array([_pack_counts(x) for x in answers], pa.binary()),
             "n_tokens": pa.array([x * unigram * int(totals.sum()) for x in first], pa.int64()),
             "n_types": pa.array([x * unigram * int((totals > 0).sum()) for x in first], pa.int64()),
         }
@@ -222,13 +232,12 @@ def _score(order, strength, n_tokens, n_types):
         totals = {k: [] for k in range(order)}
         for i in at.tolist():
             totals[answers.column("k")[i].as_py()].append(
-                _unpack(answers.column("totals")[i].as_py(), np.int64)
+                _unpack_counts(answers.column("totals")[i].as_py())
             )
-        grams = chunk.grams(order)
         counted = []
-        for k, own in enumerate(grams):
-            _, back = np.unique(own, return_inverse=True)
-            counted.append(np.concatenate(totals[k])[back])
+        for k, own in enumerate(chunk.grams(order)):
+            back = np.unique(own, return_inverse=True)[1]
+            counted.append(np.concatenate(totals.pop(k))[back])
         # The count of a context is that of the gram one token earlier. At the start of a text it is
         # ends only, met once in every text.
         first = np.zeros(len(chunk.tokens), bool)
