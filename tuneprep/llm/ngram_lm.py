@@ -55,7 +55,7 @@ def _unpack(data: bytes, kind) -> np.ndarray:
 def _pack_counts(counts: np.ndarray) -> bytes:
     """Counts in 32 bits where they fit; the first byte tells."""
     small = counts.max(initial=0) < 1 << 32
-    return bytes([small]) + _pack(counts.astype(np.uint32 if small else np.uint64))
+    return bytes([int(small)]) + _pack(counts.astype(np.uint32 if small else np.uint64))
 
 
 def _unpack_counts(data: bytes) -> np.ndarray:
