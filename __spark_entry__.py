@@ -49,7 +49,7 @@ MAX_TOKENS = 2048
 BATCH = 6
 MAX_PROMPT, MAX_PAIR = 16, 40
 TURN_MARKER = "\n\nAssistant: "
-DATASET = "driver"
+DATASET = "org/driver"
 TEMPLATE = instruction.ROLE_TAG_TEMPLATE
 TURN = ["conv_id", "turn"]
 
@@ -64,8 +64,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _texts(spark, sf_dir):
-    """Documents, for work that is costly per row."""
-    return tables.spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _documents(spark, sf_dir):

@@ -195,3 +195,31 @@ def test_prep_report_adds_up(spark):
     plain = metrics.prep_report(df, "chosen").orderBy("split").collect()
     assert [tuple(r) for r in plain] == [("t", 5, 1, 0, 0, 4), ("v", 3, 1, 0, 0, 2)]
     assert {tuple(r) for r in metrics.split_sizes(df).collect()} == {("t", 5), ("v", 3)}
+
+
+def test_infinite_and_undefined_logits_in_both_forms(spark):
+    inf, nan = float("inf"), float("nan")
+    arrays = [[1.0, -inf, 2.0], [-inf, -inf, -inf], [inf, 0.0, 1.0], [nan, 0.0, 1.0], [-inf, 900.0, -900.0]]
+    labels = spark.createDataFrame(
+        [(s, p, 2 if s != 4 else 1) for s in range(5) for p in (0, 1)], "seq_id long, pos int, label int"
+    )
+    dense = spark.createDataFrame([(s, 0, a) for s, a in enumerate(arrays)], "seq_id long, pos int, logits array<double>")
+    long = spark.createDataFrame(
+        [(s, 0, t, x) for s, a in enumerate(arrays) for t, x in enumerate(a)],
+        "seq_id long, pos int, token_id long, logit double",
+    )
+    for found in (scoring.token_logprobs(dense, labels), scoring.token_logprobs_long(long, labels)):
+        got = {r["seq_id"]: r["logp"] for r in found.collect()}
+        assert got[0] == pytest.approx(2 - math.log(math.exp(1) + math.exp(2)))
+        assert all(math.isnan(got[s]) for s in (1, 2, 3))
+        assert got[4] == pytest.approx(0.0)
+
+
+def test_a_data_set_id_reads_back_as_it_was(spark, tmp_path):
+    sides = spark.createDataFrame([(0, "chosen", -1.0), (0, "rejected", -2.0)], "idx long, side string, logp double")
+    path = str(tmp_path / "cache")
+    for name in ("org/pairs-v1", "a=b %"):
+        cache = scoring.precompute_reference(sides, name, path)
+    assert {r["dataset_id"] for r in cache.collect()} == {"org/pairs-v1", "a=b %"}
+    pairs = spark.createDataFrame([(0,)], "idx long")
+    assert scoring.lookup_reference(pairs, cache, "org/pairs-v1").first()["ref_logp_chosen"] == -1.0

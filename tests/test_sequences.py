@@ -137,17 +137,6 @@ def test_arrow_splits_where_python_does():
     assert counts.to_pylist() == [len(f"a{c}b".split()) for c in every]
 
 
-def test_tokenizer_file(spark, corpus, tmp_path):
-    library = pytest.importorskip("tokenizers")
-    model = library.models.WordLevel({"a": 0, "b": 1, "?": 2}, unk_token="?")
-    tokenizer = library.Tokenizer(model)
-    tokenizer.pre_tokenizer = library.pre_tokenizers.WhitespaceSplit()
-    path = os.path.join(tmp_path, "tokenizer.json")
-    tokenizer.save(path)
-    out = tokens.encode(corpus, "t", tokens.TokenizerFile(path), 10, "i").orderBy("i").collect()
-    assert [r["input_ids"] for r in out] == [tokenizer.encode(t or "").ids for t in TEXTS]
-
-
 def test_instruction_plan_end_to_end(spark, tmp_path):
     rows = [(i, "train", f"q{i % 40}  \n", f"a{i} word") for i in range(100)]
     rows += [(100, "train", " ", "x"), (101, "validation", "q1", "y")]
@@ -213,3 +202,29 @@ def test_truncate_pair(spark):
             assert tuple(r) == (prompt, list(range(c))[:room], list(range(j))[:room])
     with pytest.raises(ValueError):
         pairs.truncate_pair(df, 5, 4)
+
+
+def test_null_or_repeated_order_keys_are_an_error(spark):
+    from tuneprep.operators import batching, indexing
+
+    for keys in ([1, 1, 2], [1, None, 2]):
+        df = spark.createDataFrame([(k, [1]) for k in keys], "k int, input_ids array<int>")
+        with pytest.raises(Exception, match="unique and not null"):
+            indexing.with_index(df, "k").collect()
+        with pytest.raises(Exception, match="unique and not null"):
+            batching.pad_batch(df, 2, 0, "k").collect()
+
+
+def test_index_and_batches_are_those_of_each_split(spark):
+    from tuneprep.operators import batching, indexing
+
+    rows = [(i, "train" if i % 3 else "test", [1] * (i % 7 + 1)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, split string, input_ids array<int>").repartition(4)
+    own = {s: [r for r in rows if r[1] == s] for s in ("train", "test")}
+    got = {r["k"]: r["idx"] for r in indexing.with_index(df, "k").collect()}
+    assert got == {r[0]: n for part in own.values() for n, r in enumerate(part)}
+    for r in batching.pad_batch(df, 4, 0, "k").collect():
+        place = [x[0] for x in own[r["split"]]].index(r["k"])
+        assert (r["batch_id"], r["pos_in_batch"]) == (place // 4, place % 4)
+        batch = own[r["split"]][place // 4 * 4 : place // 4 * 4 + 4]
+        assert len(r["input_ids"]) == max(len(x[2]) for x in batch)

@@ -135,13 +135,6 @@ def test_stored_row_order(spark, tmp_path):
         tables.load_split(spark, "x.jsonl", "train", schema="t string", row_order=True)
 
 
-def test_spread_deals_out_small_sources_only(spark, tmp_path):
-    df = spark.range(100).coalesce(1)
-    assert tables.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 50)
-    assert tables.spread(wide) is wide
-
-
 def test_a_finished_job_leaves_no_intermediate_tables(spark, tmp_path):
     from pathlib import Path
 
@@ -160,3 +153,26 @@ def test_a_finished_job_leaves_no_intermediate_tables(spark, tmp_path):
     assert set(area.glob("*")) == before
     kept = runtime.materialize(back, "kept")
     assert kept.count() == 3 and set(area.glob("*")) != before
+
+
+def test_split_names_read_back_as_they_were_from_one_pass(spark, tmp_path):
+    names = ["a/b", "x=y", "50%", "two words", "train"]
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([(i, names[i % 4]) for i in range(40)], "i int, split string")
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = rows.mapInArrow(counted, rows.schema)
+    path = str(tmp_path / "out")
+    assert prepared.write_prepared(df, path, names) == names
+    assert seen.value == 40
+    out = prepared.read_prepared(spark, path, "i int")
+    assert sorted((r["i"], r["split"]) for r in out.collect()) == [(i, names[i % 4]) for i in range(40)]
+    assert prepared.write_prepared(df, path, names) == []
+    assert prepared.write_prepared(df, path, [*names, "new"]) == ["new"]
+    with pytest.raises(FileExistsError):
+        prepared.write_prepared(df, path, names, if_exists="error")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.name[0] == "_") == []

@@ -15,7 +15,7 @@ from tuneprep.functions.sequences import (
     tag_found,
 )
 from tuneprep.operators.indexing import INDEX, index_keys
-from tuneprep.runtime import column, names
+from tuneprep.runtime import SPLIT, column, names
 
 LENGTH = "n_tokens"
 
@@ -25,6 +25,9 @@ def pad_batch(
 ) -> DataFrame:
     """Group consecutive rows and right-pad ids and masks to the longest row of their batch.
 
+    Every split has batches of its own, numbered from 0. Order keys that are null or repeat within
+    a split are an error.
+
     Adds ``batch_id``, ``pos_in_batch`` and ``n_tokens`` (the unpadded length). Batches are laid
     out on the narrow (order columns, length) table, so token arrays are shuffled once: by the join
     that brings the batch width back. With an index column in place they are shuffled by batch.
@@ -34,13 +37,14 @@ def pad_batch(
     if batch_size < 1:
         raise ValueError(f"batch_size must be positive, got {batch_size}")
     order = names(order_col)
+    within = [SPLIT] if SPLIT in df.columns and SPLIT not in order else []
     length = column(LENGTH) if LENGTH in df.columns else F.size("input_ids")
     if index_col in df.columns:
-        laid_out = _lay_out(df.withColumn(LENGTH, length), batch_size, index_col)
+        laid_out = _lay_out(df.withColumn(LENGTH, length), batch_size, index_col, within)
     else:
-        keys = index_keys(df, order, carry={LENGTH: length}, index_col=index_col)
-        layout = _lay_out(keys, batch_size, index_col).drop(index_col)
-        laid_out = df.drop(LENGTH).join(layout, order)
+        keys = index_keys(df, order, {LENGTH: length}, index_col, unique=True, within=within)
+        layout = _lay_out(keys, batch_size, index_col, within).drop(index_col)
+        laid_out = df.drop(LENGTH).join(layout, [*within, *order])
     given = column("attention_mask") if "attention_mask" in df.columns else None
     return laid_out.withColumns(
         {
@@ -52,14 +56,14 @@ def pad_batch(
     ).drop("_tp_width")
 
 
-def _lay_out(df: DataFrame, batch_size: int, index_col: str) -> DataFrame:
+def _lay_out(df: DataFrame, batch_size: int, index_col: str, within: list[str]) -> DataFrame:
     """Batch, place in it and width, from the length and the index."""
     return df.withColumns(
         {
             "batch_id": F.expr(f"`{index_col}` div {batch_size}"),
             "pos_in_batch": (column(index_col) % batch_size).cast("int"),
         }
-    ).withColumn("_tp_width", F.max(LENGTH).over(Window.partitionBy("batch_id")))
+    ).withColumn("_tp_width", F.max(LENGTH).over(Window.partitionBy(*within, "batch_id")))
 
 
 def collate(

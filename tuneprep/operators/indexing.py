@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneprep.runtime import column, materialize, names
+from tuneprep.runtime import SPLIT, column, materialize, names
 
 INDEX = "idx"
 
@@ -20,30 +20,64 @@ def index_keys(
     order_col,
     carry: Mapping[str, Column] | None = None,
     index_col: str = INDEX,
+    unique: bool = False,
+    within=(),
 ) -> DataFrame:
-    """Order columns (unique, not null), carried values and the 0-based contiguous index.
+    """Order columns, carried values and the 0-based contiguous index.
 
     Only these narrow columns are range-sorted. The sorted keys are stored together with their
     partition and place, so the sampled range bounds are drawn once and the result never depends
-    on a re-computation. The index is place + rows in earlier partitions.
+    on a re-computation. The index is place + rows in earlier partitions. ``within`` (columns) gives
+    each of their groups an index of its own. With ``unique`` a key that is null or repeated is an
+    error; equal keys share a range, so they are counted where they are, without a further shuffle.
     """
-    order = names(order_col)
+    groups = names(within)
+    order = [*groups, *names(order_col)]
     carry = carry or {}
     narrow = df.select(
         *[column(c) for c in order], *[value.alias(name) for name, value in carry.items()]
     )
+    ranged = narrow.repartitionByRange(*[column(c) for c in order])
+    if unique:
+        ranged = _only_unique(ranged, order, list(carry))
     placed = (
-        narrow.repartitionByRange(*[column(c) for c in order])
-        .sortWithinPartitions(*[column(c) for c in order])
+        ranged.sortWithinPartitions(*[column(c) for c in order])
         .withColumn("_tp_part", F.spark_partition_id())
         .withColumn("_tp_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_MASK)))
     )
     stored = materialize(placed, "index-keys")
-    return add_offsets(stored, "_tp_part", "_tp_place", index_col).select(
+    indexed = add_offsets(stored, "_tp_part", "_tp_place", index_col)
+    if groups:
+        # The groups follow each other in the order, so each begins at its smallest index.
+        first = indexed.groupBy(*[column(c) for c in groups]).agg(
+            F.min(column(index_col)).alias("_tp_first")
+        )
+        indexed = indexed.join(first, groups).withColumn(
+            index_col, column(index_col) - F.col("_tp_first")
+        )
+    return indexed.select(
         *[column(c) for c in order], *[column(c) for c in carry], column(index_col)
     )
 
 
+def _only_unique(ranged: DataFrame, order: list[str], carried: list[str]) -> DataFrame:
+    """The same rows, or an error that names a key which is null or repeated."""
+    keys = [column(c) for c in order]
+    null = F.lit(False)
+    for key in keys:
+        null = null | key.isNull()
+    shown = F.concat_ws(", ", *[F.coalesce(k.cast("string"), F.lit("null")) for k in keys])
+    message = F.concat(F.lit("order columns must be unique and not null: "), shown)
+    # A value that must be looked at, so that the check is not optimised away.
+    checked = F.when(null | (F.col("_tp_same") > 1), F.raise_error(message).cast("boolean"))
+    return (
+        ranged.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_tp_same"), *[F.first(column(c)).alias(c) for c in carried])
+        .filter(F.coalesce(checked, F.lit(True)))
+        .drop("_tp_same")
+    )
+
+
 def add_offsets(placed: DataFrame, part: str, place: str, index_col: str) -> DataFrame:
     """Turn (partition, place in partition) into a global index.
 
@@ -64,10 +98,12 @@ def add_offsets(placed: DataFrame, part: str, place: str, index_col: str) -> Dat
 def with_index(df: DataFrame, order_col, index_col: str = INDEX) -> DataFrame:
     """Add the 0-based contiguous index in dataset order; no-op if the column exists.
 
-    Wide rows are shuffled once, by the equi-join with the narrow indexed keys.
+    Every split has an index of its own. Order keys that are null or repeat within a split are an
+    error. Wide rows are shuffled once, by the equi-join with the narrow indexed keys.
     """
     if index_col in df.columns:
         return df
     order = names(order_col)
-    indexed = index_keys(df, order, index_col=index_col)
-    return df.join(indexed, order).select(*[column(c) for c in [*df.columns, index_col]])
+    within = [SPLIT] if SPLIT in df.columns and SPLIT not in order else []
+    indexed = index_keys(df, order, index_col=index_col, unique=True, within=within)
+    return df.join(indexed, [*within, *order]).select(*[column(c) for c in [*df.columns, index_col]])

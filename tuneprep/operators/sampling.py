@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tuneprep.functions.hashing import HOLDOUT, SHUFFLE, SIDE, leading_bits, order_key
 from tuneprep.operators.indexing import index_keys
-from tuneprep.runtime import SPLIT, column, materialize, names
+from tuneprep.runtime import SPLIT, column, materialize, names, temporary_tables
 
 TRAIN, TEST, VALIDATION = "train", "test", "validation"
 
@@ -196,7 +196,9 @@ def train_test_split(
         seed,
         order_col,
     )
-    side = F.lit(TEST) if held is None else F.when(held, F.lit(TEST)).otherwise(F.lit(TRAIN))
+    if held is None:
+        raise ValueError(f"ratio {ratio} would hold out every train row")
+    side = F.when(held, F.lit(TEST)).otherwise(F.lit(TRAIN))
     return df.filter(column(split_col) == TRAIN).withColumn(split_col, side)
 
 
@@ -208,11 +210,12 @@ def limit_and_split(
     Both cuts are found on the copy, so a row format such as JSON lines is scanned once for it and
     once for the result, and not again for every pass.
     """
-    keys = materialize(df.select(SPLIT, *[column(c) for c in names(order_col)]), "row-keys")
-    within = _within_limit(keys, limit, order_col, seed if shuffled else None)
-    return train_test_split(
-        _apply(df, within), ratio, seed, order_col, keys=_apply(keys, within)
-    )
+    with temporary_tables(df.sparkSession):
+        keys = materialize(df.select(SPLIT, *[column(c) for c in names(order_col)]), "row-keys")
+        within = _within_limit(keys, limit, order_col, seed if shuffled else None)
+        return train_test_split(
+            _apply(df, within), ratio, seed, order_col, keys=_apply(keys, within)
+        )
 
 
 def hash_split(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tuneprep.functions.scores import log_softmax_at, pair_loss
 from tuneprep.functions.sequences import IGNORE_LABEL
 from tuneprep.runtime import column, names
-from tuneprep.sources.prepared import write_once
+from tuneprep.sources.prepared import partition_folder, write_once
 
 # Width of the exponent bands of the streaming log-sum-exp: exp() of a band stays far inside the
 # range of a double.
@@ -56,9 +56,14 @@ def token_logprobs_long(logits: DataFrame, labels: DataFrame) -> DataFrame:
 
     One pass and at most one shuffle: once the labels are joined, both aggregations reuse the
     partitioning. The log-sum-exp keeps its sums per exponent band, so they cannot overflow and
-    fold map-side, where a maximum first and a sum second would read the logits twice.
+    fold map-side, where a maximum first and a sum second would read the logits twice. An entry of
+    -inf has probability 0 and adds nothing; a position with +inf or NaN, or with nothing but -inf,
+    scores NaN, as the softmax is undefined there.
     """
-    band = F.floor(F.col("logit") / _BAND)
+    logit = F.col("logit").cast("double")
+    finite = ~F.isnan(logit) & (F.abs(logit) < F.lit(float("inf")))
+    band = F.floor(F.when(finite, logit) / _BAND)
+    undefined = F.isnan(logit) | (logit == F.lit(float("inf")))
     top = F.col("_tp_top").cast("double")
     total = F.aggregate(
         "_tp_bands",
@@ -67,25 +72,35 @@ def token_logprobs_long(logits: DataFrame, labels: DataFrame) -> DataFrame:
     )
     return (
         logits.join(shift_labels(labels), ["seq_id", "pos"])
-        .groupBy("seq_id", "pos", "label", band.alias("_tp_band"))
+        .withColumn("_tp_band", band)
+        .groupBy("seq_id", "pos", "label", "_tp_band")
         .agg(
-            F.sum(F.exp(F.col("logit") - band * _BAND)).alias("_tp_sum"),
+            F.sum(F.exp(logit - F.col("_tp_band") * _BAND)).alias("_tp_sum"),
+            F.max(undefined).alias("_tp_undefined"),
             F.max(F.when(F.col("token_id") == F.col("label"), F.col("logit"))).alias("_tp_picked"),
         )
         .groupBy("seq_id", "pos", "label")
         .agg(
             F.max("_tp_picked").alias("_tp_picked"),
             F.max("_tp_band").alias("_tp_top"),
+            F.max("_tp_undefined").alias("_tp_undefined"),
             # One entry per band in use: a handful, whatever the vocabulary.
             F.collect_list(
-                F.struct(F.col("_tp_band").cast("double").alias("_tp_band"), "_tp_sum")
+                F.when(
+                    F.col("_tp_band").isNotNull(),
+                    F.struct(F.col("_tp_band").cast("double").alias("_tp_band"), "_tp_sum"),
+                )
             ).alias("_tp_bands"),
         )
         .select(
             "seq_id",
             "pos",
             "label",
-            _scored(F.col("_tp_picked") - top * _BAND - F.log(total)).alias("logp"),
+            _scored(
+                F.when(F.col("_tp_picked").isNull(), F.lit(None))
+                .when(F.col("_tp_undefined") | top.isNull(), F.lit(float("nan")))
+                .otherwise(F.col("_tp_picked") - top * _BAND - F.log(total))
+            ).alias("logp"),
         )
     )
 
@@ -126,7 +141,8 @@ def precompute_reference(
     scores = reference_scores(token_scores, dataset_id).select(
         F.col("idx").cast("bigint"), "ref_logp_chosen", "ref_logp_rejected"
     )
-    write_once(scores, f"{path}/dataset_id={dataset_id}", "parquet", if_exists)
+    folder = partition_folder(scores.sparkSession, path, "dataset_id", dataset_id)
+    write_once(scores, folder, "parquet", if_exists)
     return token_scores.sparkSession.read.schema(REFERENCE_SCHEMA).parquet(path)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -97,34 +96,6 @@ class WordEncoder:
         return pa.ListArray.from_arrays(offsets, pc.fill_null(found, UNK_ID))
 
 
-class TokenizerFile:
-    """Subword ids from a local tokenizer file, loaded once per Python worker.
-
-    The path must be readable by every executor (a shared folder, or the name of a file shipped
-    with ``SparkContext.addFile``).
-    """
-
-    def __init__(self, path: str, add_special_tokens: bool = True):
-        self.path = path
-        self.add_special_tokens = add_special_tokens
-
-    def __call__(self, texts: pa.Array) -> pa.Array:
-        encoded = _load_tokenizer(self.path).encode_batch(
-            pc.fill_null(texts, "").to_pylist(), add_special_tokens=self.add_special_tokens
-        )
-        return pa.array([e.ids for e in encoded], pa.list_(pa.int32()))
-
-
-@lru_cache(maxsize=4)
-def _load_tokenizer(path: str):
-    import os
-
-    from pyspark import SparkFiles
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path if os.path.exists(path) else SparkFiles.get(path))
-
-
 def _token_ids(df: DataFrame, encoder: Encoder):
     ship_package(df.sparkSession)
 

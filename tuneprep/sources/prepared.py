@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,19 @@ def write_once(df: DataFrame, path: str, fmt: str, if_exists: str = "skip") -> b
     return True
 
 
+def partition_folder(spark: SparkSession, path: str, name: str, value: str) -> str:
+    """Folder of a partition value, escaped as Spark escapes it, so that it reads back as it was."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path}/{name}={escape(value)}"
+
+
 def pending_splits(
     spark: SparkSession, path: str, splits: Sequence[str], if_exists: str = "skip"
 ) -> list[str]:
     """The splits a ``write_prepared`` call would write. Ask first to leave out their preparation."""
     if if_exists != "skip":
         return list(splits)
-    return [s for s in splits if not is_complete(spark, f"{path}/{SPLIT}={s}")]
+    return [s for s in splits if not is_complete(spark, partition_folder(spark, path, SPLIT, s))]
 
 
 def write_prepared(
@@ -51,15 +58,35 @@ def write_prepared(
 ) -> list[str]:
     """Write each split to its own folder ``split=<name>`` and return the splits written.
 
-    JSON lines in UTF-8 with non-ASCII text kept raw, or Parquet. Splits are committed one by one:
-    a finished split is skipped although another is missing, whatever the arguments say by now.
+    JSON lines in UTF-8 with non-ASCII text kept raw, or Parquet. All splits to be written come from
+    one pass over ``df`` into a staging folder beside them; then each is put in its place and marked
+    as finished. A finished split is skipped although another is missing, whatever the arguments say
+    by now; what an interrupted job left behind is replaced.
     """
-    written = []
-    for split in splits:
-        part = df.filter(column(SPLIT) == split).drop(SPLIT)
-        if write_once(part, f"{path}/{SPLIT}={split}", fmt, if_exists):
-            written.append(split)
-    return written
+    if if_exists not in _MODES:
+        raise ValueError(f"if_exists must be one of {sorted(_MODES)}, got {if_exists!r}")
+    spark = df.sparkSession
+    folders = {s: partition_folder(spark, path, SPLIT, s) for s in splits}
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if if_exists == "error":
+        for split, folder in folders.items():
+            if files.exists(hadoop(folder)):
+                raise FileExistsError(f"split {split!r} already exists: {folder}")
+    todo = pending_splits(spark, path, splits, if_exists)
+    if not todo:
+        return []
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    df.filter(column(SPLIT).isin(*todo)).write.partitionBy(SPLIT).format(fmt).save(staging)
+    for split in todo:
+        made = hadoop(partition_folder(spark, staging, SPLIT, split))
+        place = hadoop(folders[split])
+        files.delete(place, True)
+        if not (files.exists(made) and files.rename(made, place)):
+            files.mkdirs(place)  # a split without rows
+        files.create(hadoop(f"{folders[split]}/_SUCCESS"), True).close()
+    files.delete(hadoop(staging), True)
+    return todo
 
 
 def read_prepared(spark: SparkSession, path: str, schema, fmt: str = "json") -> DataFrame:

@@ -65,13 +65,3 @@ def load_splits(
         for split, path in paths.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a source with fewer splits than cores out to all cores.
-
-    For costly per-row work on one small file, which would otherwise run in one task. A source of
-    any size has more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
