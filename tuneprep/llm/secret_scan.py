@@ -14,7 +14,9 @@ import hashlib
 import random
 import re
 import zlib
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -167,6 +169,48 @@ class Model:
         self.most = float((around - outside).max()) + 1e-4
 
 
+class _Run:
+    """Viterbi over a run of tokens that comes in parts; outside before it and after it.
+
+    Kept are the best scores of the three labels, in double precision as they add up over the run,
+    and one byte a token: two bits of back pointer for each label.
+    """
+
+    def __init__(self, moves: np.ndarray, start: int):
+        self.start, self.moves = start, moves.astype(np.float64).tolist()
+        self.best = tuple(0.0 if y == _OUTSIDE else -np.inf for y in range(3))
+        self.back = bytearray()
+
+    def extend(self, e: np.ndarray):
+        (m00, m01, m02), (m10, m11, m12), (m20, m21, m22) = self.moves
+        a, b, c = self.best
+        put = self.back.append
+        for e0, e1, e2 in e.tolist():
+            x, y, z = a + m00, b + m10, c + m20
+            s0, from0 = (x, 0) if x >= y and x >= z else (y, 1) if y >= z else (z, 2)
+            x, y, z = a + m01, b + m11, c + m21
+            s1, from1 = (x, 0) if x >= y and x >= z else (y, 1) if y >= z else (z, 2)
+            x, y, z = a + m02, b + m12, c + m22
+            s2, from2 = (x, 0) if x >= y and x >= z else (y, 1) if y >= z else (z, 2)
+            a, b, c = s0 + e0, s1 + e1, s2 + e2
+            put(from0 | from1 << 2 | from2 << 4)
+        self.best = (a, b, c)
+
+    def path(self) -> list[int]:
+        last = [score + to[_OUTSIDE] for score, to in zip(self.best, self.moves, strict=True)]
+        label = last.index(max(last))
+        path = bytearray()
+        for back in reversed(self.back):
+            path.append(label)
+            label = back >> 2 * label & 3
+        return list(reversed(path))
+
+    def close(self, labels):
+        for at, label in enumerate(self.path(), self.start):
+            if label != _OUTSIDE:
+                labels[at] = label
+
+
 class Tagger:
     """Decodes texts; scores per token type are kept up to a bound, then begun anew."""
 
@@ -202,17 +246,21 @@ class Tagger:
         file_score = self.model.weights[
             _at_offset(np.array(text_features(len(tokens), signs)), 5)
         ].sum(axis=0)
-        labels: dict[int, int] = {}
+        labels = bytearray([_OUTSIDE]) * len(tokens)
+        run = None
         for start in range(0, len(tokens), _CHUNK):
-            # Runs are cut at tokens that are surely outside; chunks overlap so none is halved.
-            self._decode(tokens, start, min(len(tokens), start + _CHUNK), file_score, labels)
-        if not labels:
+            run = self._decode(tokens, start, min(len(tokens), start + _CHUNK), file_score, labels, run)
+        if labels.count(_OUTSIDE) == len(labels):
             return []
         return self._positions(text, labels)
 
-    def _decode(self, tokens, start, end, file_score, labels):
-        left, right = max(0, start - _CHUNK // 8), min(len(tokens), end + _CHUNK // 8)
-        part = ["", "", "", *tokens[left:right], ""]
+    def _decode(self, tokens, start, end, file_score, labels, run=None):
+        """Label tokens start to end; takes and returns the run that is open at the border, if any.
+
+        Runs are cut at tokens that are surely outside, and labelled where they end.
+        """
+        before = ["", "", "", *tokens[max(0, start - 3) : start]][-3:]
+        part = [*before, *tokens[start:end], *(tokens[end : end + 1] or [""])]
         get = self.types.get
         ids = [get(t, -1) for t in part]
         if -1 in ids:
@@ -224,38 +272,37 @@ class Tagger:
             self._learn(new)
             ids = [get(t) for t in part]
         ids = np.array(ids)
-        n = right - left
+        n = end - start
         e = np.tile(file_score, (n, 1))
         for k, offset in enumerate(_OFFSETS):
             e += self.scores[k][ids[3 + offset : 3 + offset + n]]
         open_at = np.flatnonzero(np.maximum(e[:, 0], e[:, 1]) - e[:, 2] > -self.model.most)
-        if not len(open_at):
-            return
         cuts = np.flatnonzero(np.diff(open_at) > 1) + 1
-        for run in np.split(open_at, cuts):
-            if left + run[0] < start or left + run[0] >= end:
-                continue  # another chunk's run
-            for at, label in zip(run.tolist(), self._viterbi(e[run]), strict=True):
-                if label != _OUTSIDE:
-                    labels[left + at] = label
+        for at in np.split(open_at, cuts) if len(open_at) else ():
+            if run is not None and at[0] > 0:
+                run.close(labels)
+                run = None
+            if run is None:
+                run = _Run(self.model.moves, start + int(at[0]))
+            run.extend(e[at])
+            if at[-1] < n - 1 or end == len(tokens):
+                run.close(labels)
+                run = None
+        if run is not None and not (len(open_at) and open_at[-1] == n - 1):
+            run.close(labels)
+            run = None
+        return run
 
     def _viterbi(self, e: np.ndarray) -> list[int]:
-        moves = self.model.moves
-        best, back = moves[_OUTSIDE] + e[0], []
-        for row in e[1:]:
-            total = best[:, None] + moves
-            back.append(total.argmax(axis=0))
-            best = total.max(axis=0) + row
-        path = [int((best + moves[:, _OUTSIDE]).argmax())]
-        for row in reversed(back):
-            path.append(int(row[path[-1]]))
-        return path[::-1]
+        run = _Run(self.model.moves, 0)
+        run.extend(e)
+        return run.path()
 
     def _positions(self, text, labels) -> list[tuple[int, int]]:
         spans: list[list[int]] = []
         before = -2
         for i, m in enumerate(_TOKEN.finditer(text)):
-            label = labels.get(i, _OUTSIDE)
+            label = labels[i]
             if label == _INSIDE and before == i - 1:
                 spans[-1][1] = m.end()
             elif label != _OUTSIDE:
@@ -268,10 +315,12 @@ class Tagger:
 def all_spans(text: str, tagger: Tagger) -> tuple[list, list]:
     """(base spans, spans the CRF adds); an added span overlaps no base span."""
     base = base_spans(text)
+    starts = [s for s, _, _ in base]
+    reach = [0, *accumulate((e for _, _, e in base), max)]  # farthest end of the first finds
     added = [
         (start, len(KINDS), end)
         for start, end in tagger.spans(text)
-        if all(end <= s or e <= start for s, _, e in base)
+        if reach[bisect_left(starts, end)] <= start
     ]
     return base, added
 
