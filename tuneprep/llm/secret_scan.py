@@ -120,7 +120,7 @@ def token_features(token: str) -> tuple[int, int, int, int, int]:
         return _plain_features(token)
     lower = upper = digit = other = 0
     runs = changes = last = 0
-    for c in token[:64]:
+    for c in token:
         if c.isdigit():
             now, digit = 1, digit + 1
         elif c.isalpha():
