@@ -60,3 +60,19 @@ def test_empty_and_unlabelled_tables(spark):
     assert langid.identify(df).first().lang_pred == "und"
     one = spark.createDataFrame([(i, "some text", "en", None, None) for i in range(9)], SCHEMA)
     assert {r.lang_pred for r in langid.identify(one).collect()} == {"en"}
+
+
+def test_rows_with_letters_stay_when_nothing_can_be_learned(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    odd = [(-1, None), (-2, ""), (-3, "12 !!")]
+    for lang, ids in ((None, (1, 2, 3, None)), ("en", (held,))):
+        own = [(i, "some text", lang, "s", 0) for i in ids]
+        df = spark.createDataFrame(own + [(i, t, None, "s", 0) for i, t in odd], SCHEMA)
+        kept = langid.drop_undetermined(df)
+        assert kept.columns == df.columns
+        assert sorted(map(str, kept.collect())) == sorted(map(str, df.filter("text = 'some text'").collect()))
+
+
+def test_a_label_und_is_a_language(spark):
+    df = spark.createDataFrame([(i, "some text", "und", "s", 0) for i in range(9)], SCHEMA)
+    assert langid.drop_undetermined(df).count() == 9

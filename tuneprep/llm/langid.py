@@ -256,13 +256,26 @@ def identify(
     ).select(column(id_col), "held_out", f"{guess}.lang_pred", f"{guess}.score")
 
 
+def _has_letter(text: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def letter(texts: pa.Array) -> pa.Array:
+        return pa.array([any(map(str.isalpha, t.as_py() or "")) for t in texts], pa.bool_())
+
+    return letter(text)
+
+
 def drop_undetermined(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", **training):
-    """``docs`` without the rows that are ``und``; ``lang_col`` is the predicted language."""
+    """``docs`` without the rows whose text is null or has no letter; ``lang_col`` is the predicted language.
+
+    If no row can be learned from, the same rows go and ``lang_col`` stays as it is.
+    """
     model = train(docs, id_col, text_col, lang_col, **training)
+    if not model.families:
+        return docs.filter(_has_letter(column(text_col)))
     guess = fresh("guess")
     found = docs.withColumn(guess, predict(docs, column(text_col), model))
     return (
-        found.filter(F.col(f"{guess}.lang_pred") != UNDETERMINED)
+        found.filter(F.col(f"{guess}.score") > 0)  # a label may itself be ``und``
         .withColumn(lang_col, F.col(f"{guess}.lang_pred"))
         .drop(guess)
     )
