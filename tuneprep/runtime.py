@@ -52,8 +52,12 @@ def temporary_tables(spark: SparkSession):
         yield
     finally:
         _job_dir.reset(token)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -65,7 +69,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._tp_path = path
+    return stored
+
+
+def drop_stored(stored: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing will read again, such as an earlier round."""
+    _delete(stored.sparkSession, stored._tp_path)
 
 
 _shipped: set[str] = set()
