@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tuneprep.llm import caps, chat, langid, licences, mixing, mtree, ngram_lm, pieces, secret_scan, simhash
+from tuneprep.llm import (
+    caps,
+    centroids,
+    chat,
+    langid,
+    licences,
+    mixing,
+    mtree,
+    ngram_lm,
+    phrases,
+    pieces,
+    secret_scan,
+    simhash,
+    url_filter,
+)
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -16,6 +30,9 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_secrets": secret_scan.op9_secrets,
     "op10_langid": langid.op10_langid,
+    "op11_centroids": centroids.op11_centroids,
+    "op12_urls": url_filter.op12_urls,
+    "op13_phrases": phrases.op13_phrases,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +41,6 @@ ORACLES = {
     "op6_caps": caps.OP6_SQL,
     "op7_chat": chat.OP7_SQL,
     "op8_mixing": mixing.OP8_SQL,
+    "op11_centroids": centroids.OP11_SQL,
+    "op13_phrases": phrases.OP13_SQL,
 }
