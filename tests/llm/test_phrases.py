@@ -84,7 +84,7 @@ def test_stretches_and_blocks_lose_nothing(monkeypatch):
             yield 1
 
         shards = phrases._Shards(every, 4, take)
-        stretches = len([*shards.add("en", text), *shards.add("de", b"x y x y"), *shards.flush()])
+        stretches = len([*shards.add("en", text), *shards.add("de", b"x y x y"), *shards.finish()])
         return total, stretches
 
     whole, one = counted(10**9, 1 << 30)

@@ -148,3 +148,10 @@ def test_empty_tables_and_no_training(spark):
     assert sorted((r.page_id, r.rule, r.verdict, r.score) for r in rows) == [
         (0, None, "allow", 0.0), (1, None, "allow", 0.0), (2, "com/", "allow", 0.0)
     ]
+
+
+def test_dictionary_is_bounded(spark):
+    urls = spark.createDataFrame([("a.b", "/" + "x " * 64 + "y " * 32 + "z " * 32 + "q", None)], "host string, path string, html string")
+    assert url_filter.unigrams(urls) == {"x": 64, "y": 32, "z": 32, "q": 1, "a": 1, "b": 1}
+    assert url_filter.unigrams(urls, 3) == {"x": 64, "y": 32, "z": 32}
+    assert url_filter.unigrams(urls, 2) == {"x": 64}

@@ -155,6 +155,8 @@ class _Shards:
 
     def __init__(self, words_filter: np.ndarray, overlap: int, take):
         self.words_filter, self.overlap, self.take = words_filter, overlap, take
+        self.pending: dict[str, list[bytes]] = {}
+        self.waiting = 0
         self.reset()
 
     def reset(self):
@@ -180,13 +182,25 @@ class _Shards:
         return np.fromiter(map(known.__getitem__, block), np.int64, len(block))
 
     def add(self, lang: str, text: bytes):
-        for block in token_blocks(text):
-            numbers = self._numbers(lang, block)
-            self.parts[lang].append(numbers)
-            self.held += len(numbers)
-            if self.held >= SHARD_TOKENS:  # mid-text: its last words stay for the next stretch
-                yield from self.flush(lang)
-        self.parts[lang].append(np.zeros(1, np.int64))
+        self.pending.setdefault(lang, []).append(text)
+        self.waiting += len(text)
+        if self.waiting >= _TEXT_BLOCK:
+            yield from self._drain()
+
+    def finish(self):
+        yield from self._drain()
+        yield from self.flush()
+
+    def _drain(self):
+        """Short texts are read together, each ended by a break."""
+        pending, self.pending, self.waiting = self.pending, {}, 0
+        for lang, texts in pending.items():
+            for block in token_blocks(b"\n".join([*texts, b""])):
+                numbers = self._numbers(lang, block)
+                self.parts[lang].append(numbers)
+                self.held += len(numbers)
+                if self.held >= SHARD_TOKENS:  # maybe mid-text: the last words are seen again
+                    yield from self.flush(lang)
 
     def flush(self, unfinished: str | None = None):
         carried = []
@@ -222,7 +236,7 @@ def _pair_counter(words_filter):
         for batch in batches:
             for lang, text in _by_language(batch):
                 yield from shards.add(lang, text)
-        yield from shards.flush()
+        yield from shards.finish()
 
     return count
 
@@ -420,7 +434,7 @@ def _transducer_builder(words_filter, pairs_filter, longest: int, ranges: int):
         for batch in batches:
             for lang, text in _by_language(batch):
                 yield from shards.add(lang, text)
-        yield from shards.flush()
+        yield from shards.finish()
 
     return build
 
