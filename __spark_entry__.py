@@ -26,6 +26,7 @@ from tuneprep.operators import (
     mapping,
     metrics,
     pairs,
+    placement,
     sampling,
     scoring,
     tokens,
@@ -46,6 +47,8 @@ EVAL_RATIO = 0.05
 LIMIT = 300
 VOCABULARY = 500
 MAX_TOKENS = 2048
+#: Above the longest text: nothing is cut.
+UNCUT = 1 << 24
 BATCH = 6
 MAX_PROMPT, MAX_PAIR = 16, 40
 TURN_MARKER = "\n\nAssistant: "
@@ -233,13 +236,13 @@ vocab AS (
   UNION ALL SELECT * FROM (VALUES {reserved}) AS reserved(token, token_id, n))"""
 
 
-def _encoded_sql(source, text, key):
+def _encoded_sql(source, text, key, most=MAX_TOKENS):
     return f"""
 words AS (
   SELECT {key}, unnest(w) AS token, generate_subscripts(w, 1) AS place
   FROM (SELECT {key}, {_words_sql(text)} AS w FROM {source})),
 encoded AS (
-  SELECT {key}, list(coalesce(token_id, {tokens.UNK_ID}) ORDER BY place)[1:{MAX_TOKENS}] AS ids
+  SELECT {key}, list(coalesce(token_id, {tokens.UNK_ID}) ORDER BY place)[1:{most}] AS ids
   FROM words LEFT JOIN vocab USING (token) GROUP BY ALL)"""
 
 
@@ -384,8 +387,8 @@ def load_split_row_order(spark, sf_dir):
     stored = tables.load_split(
         spark, f"{sf_dir}/documents.parquet", "train", row_order=True
     )
-    return indexing.with_index(stored, list(tables.ROW_ORDER)).select(
-        "split", "idx", "source_row", "doc_id"
+    return placement.with_index(stored, list(tables.ROW_ORDER)).select(
+        "split", "idx", "source_row", "doc_id", "text"
     )
 
 
@@ -466,16 +469,13 @@ def seeded_shuffle(spark, sf_dir):
 
 def seeded_shuffle_order(spark, sf_dir):
     """The shuffled table itself; its physical order is read back as a rank."""
-    shuffled = sampling.seeded_shuffle(
-        _table(spark, sf_dir, "documents").select("doc_id", "lang"), SEED, "doc_id"
-    )
+    shuffled = sampling.seeded_shuffle(_table(spark, sf_dir, "documents"), SEED, "doc_id")
     placed = shuffled.select(
-        "doc_id",
-        "lang",
+        "*",
         F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
     )
-    return indexing.add_offsets(placed, "part", "place", "rank").select("doc_id", "lang", "rank")
+    return indexing.add_offsets(placed, "part", "place", "rank").drop("part", "place")
 
 
 def limit_train(spark, sf_dir):
@@ -524,6 +524,15 @@ def encode(spark, sf_dir):
     )
 
 
+def encode_whole(spark, sf_dir):
+    """Every token of every text."""
+    documents = _texts(spark, sf_dir)
+    encoder = tokens.WordEncoder(tokens.build_vocab(documents, "text", VOCABULARY))
+    return tokens.encode(documents, "text", encoder, UNCUT, "doc_id").select(
+        "doc_id", F.size("input_ids").alias("n_tokens"), _joined("input_ids")
+    )
+
+
 def attention_mask(spark, sf_dir):
     encoded, _ = _encoded_exchanges(spark, sf_dir)
     return encoded.select(*TURN, _joined("attention_mask"))
@@ -548,7 +557,7 @@ def pad_batch(spark, sf_dir):
 def pad_batch_indexed(spark, sf_dir):
     """Batches along an index column that is already there."""
     encoded, _ = _encoded_exchanges(spark, sf_dir)
-    indexed = indexing.with_index(encoded, TURN)
+    indexed = placement.with_index(encoded, TURN)
     return batching.pad_batch(indexed, BATCH, tokens.PAD_ID, TURN).select(
         *TURN, "batch_id", "pos_in_batch", _joined("input_ids"), _joined("attention_mask")
     )
@@ -574,13 +583,18 @@ def completion_labels_mask_padding(spark, sf_dir):
 
 
 def with_index(spark, sf_dir):
-    return indexing.with_index(_table(spark, sf_dir, "documents"), "doc_id").select(
+    return placement.with_index(_table(spark, sf_dir, "documents"), "doc_id").select(
         "idx", "doc_id", "text"
     )
 
 
+def with_index_shuffled(spark, sf_dir):
+    """Whole rows numbered along the shuffled order of their split."""
+    return placement.with_index(_documents(spark, sf_dir), "doc_id", seed=SEED)
+
+
 def with_index_composite(spark, sf_dir):
-    return indexing.with_index(_table(spark, sf_dir, "conversations"), TURN)
+    return placement.with_index(_table(spark, sf_dir, "conversations"), TURN)
 
 
 def token_logprobs(spark, sf_dir):
@@ -665,6 +679,17 @@ def split_common_prefix(spark, sf_dir):
     return pairs.split_common_prompt(_shared_prefix_pairs(spark, sf_dir))
 
 
+def pair_batches(spark, sf_dir):
+    """Pairs in shuffled order as batches of both sides, each side padded on its own."""
+    texts = _shared_prefix_pairs(spark, sf_dir)
+    encoder = tokens.WordEncoder(tokens.build_vocab(texts, "chosen", VOCABULARY))
+    batches = preference.batch_pairs(
+        texts, encoder, TURN, tokens.PAD_ID, BATCH, SEED, TURN_MARKER, MAX_PROMPT, MAX_PAIR
+    )
+    arrays = [f"{kind}_{side}" for kind in ("input_ids", "attention_mask", "labels") for side in ("chosen", "rejected")]
+    return batches.select(*TURN, "idx", "batch_id", "pos_in_batch", *[_joined(c) for c in arrays])
+
+
 def truncate_pair(spark, sf_dir):
     texts = _shared_prefix_pairs(spark, sf_dir)
     encoder = tokens.WordEncoder(tokens.build_vocab(texts, "chosen", VOCABULARY))
@@ -707,6 +732,23 @@ def instruction_splits(spark, sf_dir):
     )
 
 
+def instruction_batches(spark, sf_dir):
+    """Documents to padded batches along the shuffled order, whole texts and texts beside their ids."""
+    mapped = mapping.map_columns(_train_documents(spark, sf_dir), {"body": "text"}, "doc_id")
+    texts = instruction.assemble_instructions(
+        mapped, "{{doc}} {body}\n", "doc_id", seed=SEED, eval_ratio=EVAL_RATIO, place=False
+    )
+    encoder = tokens.WordEncoder(tokens.build_vocab(_texts(spark, sf_dir), "text", VOCABULARY))
+    stored = instruction.tokenize_instructions(
+        texts, "prompt", encoder, "doc_id", UNCUT, keep=["prompt"]
+    )
+    return instruction.batch_instructions(
+        stored, encoder, "doc_id", tokens.PAD_ID, batch_size=BATCH, seed=SEED
+    ).select(
+        "split", "rank", "batch_id", "pos_in_batch", "doc_id", "prompt", "n_tokens", _joined("input_ids")
+    )
+
+
 def preference_splits(spark, sf_dir):
     """Clean pairs, deduplicated by the rejected side, split."""
     raw = _raw_pairs(spark, sf_dir).withColumn("split", F.lit("train"))
@@ -744,12 +786,13 @@ _QUERIES = (
     prep_report, prep_report_documents, format_template,
     seeded_shuffle, seeded_shuffle_order, limit_train, limit_train_in_order,
     train_test_split, hash_split, choose_eval_split, choose_eval_split_test,
-    build_vocab, encode, attention_mask, completion_start, pad_batch, pad_batch_indexed,
-    completion_labels, completion_labels_mask_padding, with_index, with_index_composite,
+    build_vocab, encode, encode_whole, attention_mask, completion_start, pad_batch, pad_batch_indexed,
+    completion_labels, completion_labels_mask_padding, with_index, with_index_shuffled,
+    with_index_composite,
     token_logprobs, token_logprobs_long, sequence_logprob, sequence_logprob_arrays,
     precompute_reference, lookup_reference, dpo_loss, dpo_loss_reference_free, mean_dpo_loss,
-    perplexity, perplexity_weighted, split_common_prompt, split_common_prefix, truncate_pair,
-    prepared_round_trip, instruction_texts, instruction_splits, preference_splits,
+    perplexity, perplexity_weighted, split_common_prompt, split_common_prefix, truncate_pair, pair_batches,
+    prepared_round_trip, instruction_texts, instruction_splits, instruction_batches, preference_splits,
     instruction_dataset, preference_dataset,
 )
 
@@ -801,6 +844,18 @@ def _padded(pad_id):
     return _BATCHES.replace("<pad>)", f"{pad_id})")
 
 
+def _pair_side_sql(ids, side):
+    pad = f"range({ids}_width - len({ids}))"
+    return ",\n  ".join(
+        _list_text(f"list_concat({values}, list_transform({pad}, lambda x: {fill}))", f"{name}_{side}")
+        for name, values, fill in (
+            ("input_ids", ids, tokens.PAD_ID),
+            ("attention_mask", f"list_transform({ids}, lambda x: 1)", 0),
+            ("labels", f"list_transform({ids}, lambda x, i: CASE WHEN i <= start THEN -100 ELSE x END)", -100),
+        )
+    )
+
+
 def _list_text(expression, alias):
     return f"array_to_string(list_transform({expression}, lambda x: x::VARCHAR), ',') AS {alias}"
 
@@ -826,6 +881,32 @@ SELECT conv_id, turn, batch_id, pos_in_batch, {_list_text('input_ids', 'input_id
 FROM padded"""
 
 
+_TRUNCATED = f"""{_PREFIX_PAIRS},{_vocabulary_sql('prefix_pairs', 'chosen')},
+cut AS (
+  SELECT *, CASE WHEN contains(prefix, {_MARKER_SQL})
+    THEN length(prefix) - length(list_last(string_split(prefix, {_MARKER_SQL}))) ELSE 0 END AS n
+  FROM prefixes),
+sides AS (
+  SELECT conv_id, turn, 'p' AS side, substr(chosen, 1, n) AS text FROM cut
+  UNION ALL SELECT conv_id, turn, 'c', substr(chosen, n + 1) FROM cut
+  UNION ALL SELECT conv_id, turn, 'r', substr(rejected, n + 1) FROM cut),
+words AS (
+  SELECT conv_id, turn, side, unnest(w) AS token, generate_subscripts(w, 1) AS place
+  FROM (SELECT conv_id, turn, side, {_words_sql('text')} AS w FROM sides)),
+encoded AS (
+  SELECT conv_id, turn, side, list(coalesce(token_id, {tokens.UNK_ID}) ORDER BY place) AS ids
+  FROM words LEFT JOIN vocab USING (token) GROUP BY ALL),
+ids AS (
+  SELECT conv_id, turn, coalesce(any_value(ids) FILTER (side = 'p'), []) AS p,
+    coalesce(any_value(ids) FILTER (side = 'c'), []) AS c,
+    coalesce(any_value(ids) FILTER (side = 'r'), []) AS r
+  FROM encoded GROUP BY ALL),
+lengths AS (SELECT *, {MAX_PAIR} - least(len(p), {MAX_PROMPT}) AS room FROM ids),
+truncated AS (
+  SELECT conv_id, turn, p[greatest(len(p) - {MAX_PROMPT} + 1, 1):len(p)] AS p, c[1:room] AS c, r[1:room] AS r
+  FROM lengths)"""
+
+
 def _held_out(source, order):
     """Train rows of ``source`` with their side: the first ceil(ratio * n) in hash order are held out."""
     key = " || ':' || ".join(order)
@@ -861,7 +942,7 @@ UNION ALL SELECT 'validation', item_id, text FROM benchmark""",
         # The documents are stored in the order of their ids.
         "load_split_row_order": """
 SELECT 'train' AS split, row_number() OVER (ORDER BY doc_id) - 1 AS idx,
-  row_number() OVER (ORDER BY doc_id) - 1 AS source_row, doc_id
+  row_number() OVER (ORDER BY doc_id) - 1 AS source_row, doc_id, text
 FROM documents""",
         "map_columns": f"""
 WITH {_DOCUMENTS}
@@ -914,7 +995,7 @@ SELECT split, row_number() OVER (PARTITION BY split ORDER BY {shuffle_key}) - 1
   doc_id, text
 FROM documents_s""",
         "seeded_shuffle_order": f"""
-SELECT doc_id, lang, row_number() OVER (ORDER BY {shuffle_key}) - 1 AS rank FROM documents""",
+SELECT *, row_number() OVER (ORDER BY {shuffle_key}) - 1 AS rank FROM documents""",
         "limit_train": f"WITH {_DOCUMENTS} {_limited('documents_s', shuffle_key)}",
         "limit_train_in_order": f"WITH {_DOCUMENTS} {_limited('documents_s', 'doc_id')}",
         "train_test_split": f"""
@@ -934,6 +1015,10 @@ WITH {_TRAIN_DOCUMENTS} SELECT split, doc_id, text FROM documents_t WHERE split
         "encode": f"""
 WITH {_vocabulary_sql('documents', 'text')},{_encoded_sql('documents', 'text', 'doc_id')}
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, {_list_text('ids', 'input_ids')}
+FROM encoded""",
+        "encode_whole": f"""
+WITH {_vocabulary_sql('documents', 'text')},{_encoded_sql('documents', 'text', 'doc_id', UNCUT)}
+SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, {_list_text('ids', 'input_ids')}
 FROM encoded""",
         "attention_mask": f"""
 WITH {_ENCODED_EXCHANGES}
@@ -958,6 +1043,9 @@ FROM found""",
         "completion_labels_mask_padding": _labels_sql(mask_padding=True),
         "with_index": """
 SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, doc_id, text FROM documents""",
+        "with_index_shuffled": f"""
+WITH {_DOCUMENTS}
+SELECT *, row_number() OVER (PARTITION BY split ORDER BY {shuffle_key}) - 1 AS idx FROM documents_s""",
         "with_index_composite": """
 SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx FROM conversations""",
         "token_logprobs": token_scores
@@ -1013,31 +1101,23 @@ SELECT conv_id, turn, prefix AS prompt, substr(chosen, length(prefix) + 1) AS ch
   substr(rejected, length(prefix) + 1) AS rejected
 FROM prefixes""",
         "truncate_pair": f"""
-WITH {_PREFIX_PAIRS},{_vocabulary_sql('prefix_pairs', 'chosen')},
-cut AS (
-  SELECT *, CASE WHEN contains(prefix, {_MARKER_SQL})
-    THEN length(prefix) - length(list_last(string_split(prefix, {_MARKER_SQL}))) ELSE 0 END AS n
-  FROM prefixes),
-sides AS (
-  SELECT conv_id, turn, 'p' AS side, substr(chosen, 1, n) AS text FROM cut
-  UNION ALL SELECT conv_id, turn, 'c', substr(chosen, n + 1) FROM cut
-  UNION ALL SELECT conv_id, turn, 'r', substr(rejected, n + 1) FROM cut),
-words AS (
-  SELECT conv_id, turn, side, unnest(w) AS token, generate_subscripts(w, 1) AS place
-  FROM (SELECT conv_id, turn, side, {_words_sql('text')} AS w FROM sides)),
-encoded AS (
-  SELECT conv_id, turn, side, list(coalesce(token_id, {tokens.UNK_ID}) ORDER BY place) AS ids
-  FROM words LEFT JOIN vocab USING (token) GROUP BY ALL),
-ids AS (
-  SELECT conv_id, turn, coalesce(any_value(ids) FILTER (side = 'p'), []) AS p,
-    coalesce(any_value(ids) FILTER (side = 'c'), []) AS c,
-    coalesce(any_value(ids) FILTER (side = 'r'), []) AS r
-  FROM encoded GROUP BY ALL),
-lengths AS (SELECT *, {MAX_PAIR} - least(len(p), {MAX_PROMPT}) AS room FROM ids)
-SELECT conv_id, turn,
-  {_list_text(f"p[greatest(len(p) - {MAX_PROMPT} + 1, 1):len(p)]", 'prompt_ids')},
-  {_list_text('c[1:room]', 'chosen_ids')}, {_list_text('r[1:room]', 'rejected_ids')}
-FROM lengths""",
+WITH {_TRUNCATED}
+SELECT conv_id, turn, {_list_text('p', 'prompt_ids')}, {_list_text('c', 'chosen_ids')},
+  {_list_text('r', 'rejected_ids')}
+FROM truncated""",
+        "pair_batches": f"""
+WITH {_TRUNCATED},
+indexed AS (
+  SELECT conv_id, turn, len(p) AS start, list_concat(p, c) AS c, list_concat(p, r) AS r,
+    row_number() OVER (ORDER BY md5('shuffle:{SEED}:' || conv_id || ':' || turn), conv_id, turn) - 1 AS idx
+  FROM truncated),
+sized AS (
+  SELECT *, idx // {BATCH} AS batch_id, max(len(c)) OVER (PARTITION BY idx // {BATCH}) AS c_width,
+    max(len(r)) OVER (PARTITION BY idx // {BATCH}) AS r_width
+  FROM indexed)
+SELECT conv_id, turn, idx, batch_id, CAST(idx % {BATCH} AS INTEGER) AS pos_in_batch,
+  {_pair_side_sql('c', 'chosen')}, {_pair_side_sql('r', 'rejected')}
+FROM sized""",
         "prepared_round_trip": f"""
 WITH {_DOCUMENTS},
 clean AS (
@@ -1065,6 +1145,20 @@ limited AS (
   WHERE nth <= {LIMIT}),
 {_held_out('limited', ['doc_id'])}
 SELECT side AS split, doc_id, '{{doc}} ' || text || chr(10) AS prompt FROM sides""",
+        "instruction_batches": f"""
+WITH {_TRAIN_DOCUMENTS},{_vocabulary_sql('documents', 'text')},
+train_rows AS (SELECT doc_id, text FROM documents_t WHERE split = 'train'),
+{_held_out('train_rows', ['doc_id'])},
+rendered AS (SELECT side AS split, doc_id, '{{doc}} ' || text || chr(10) AS prompt FROM sides),
+{_encoded_sql('rendered', 'prompt', 'split, doc_id, prompt', UNCUT)},
+ranked_texts AS (
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY {shuffle_key}) - 1 AS rank FROM encoded),
+sized AS (
+  SELECT *, max(len(ids)) OVER (PARTITION BY split, rank // {BATCH}) AS width FROM ranked_texts)
+SELECT split, rank, rank // {BATCH} AS batch_id, CAST(rank % {BATCH} AS INTEGER) AS pos_in_batch, doc_id,
+  prompt, CAST(len(ids) AS INTEGER) AS n_tokens,
+  {_list_text(f"list_concat(ids, list_transform(range(width - len(ids)), lambda x: {tokens.PAD_ID}))", "input_ids")}
+FROM sized""",
         "preference_splits": f"""
 WITH {_CLEAN_PAIRS},
 firsts AS (

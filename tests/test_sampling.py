@@ -4,7 +4,7 @@ import math
 import pytest
 from conftest import executed_plan
 
-from tuneprep.operators import indexing, sampling
+from tuneprep.operators import placement, sampling
 
 
 def key(purpose, seed, *parts):
@@ -122,7 +122,7 @@ def test_eval_split(spark):
 @pytest.mark.parametrize("partitions", [1, 7, 64])
 def test_index_is_contiguous_in_order(spark, partitions):
     df = spark.createDataFrame([(i * 7919 % 1009, i % 3) for i in range(1, 900)], "k int, v int")
-    out = indexing.with_index(df.repartition(partitions), "k").orderBy("k").collect()
+    out = placement.with_index(df.repartition(partitions), "k").orderBy("k").collect()
     assert [r["idx"] for r in out] == list(range(899))
     assert [r["k"] for r in out] == sorted(i * 7919 % 1009 for i in range(1, 900))
 
@@ -130,10 +130,10 @@ def test_index_is_contiguous_in_order(spark, partitions):
 def test_index_composite_strings_and_no_op(spark):
     rows = [(c, n) for c in "zyxab" for n in (10, 2, 1)]
     df = spark.createDataFrame(rows, "c string, n int")
-    out = indexing.with_index(df, ["c", "n"])
+    out = placement.with_index(df, ["c", "n"])
     assert [(r["c"], r["n"]) for r in out.orderBy("idx").collect()] == sorted(rows)
-    assert indexing.with_index(out, ["c", "n"]) is out
-    assert indexing.with_index(df.limit(0), ["c", "n"]).count() == 0
+    assert placement.with_index(out, ["c", "n"]) is out
+    assert placement.with_index(df.limit(0), ["c", "n"]).count() == 0
 
 
 def test_temporary_columns_do_not_touch_those_of_the_user(spark):
@@ -144,7 +144,7 @@ def test_temporary_columns_do_not_touch_those_of_the_user(spark):
     for out in (
         sampling.seeded_shuffle(df, 1, "i"),
         sampling.shuffle_rank(df, 1, "i").drop("rank"),
-        indexing.with_index(df, "i").drop("idx"),
+        placement.with_index(df, "i").drop("idx"),
     ):
         assert sorted(tuple(r) for r in out.select(df.columns).collect()) == rows
     kept = dedup.dedup_first(df, "_content", "i")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tuneprep.functions import sequences as seq
-from tuneprep.operators import batching, indexing, pairs, tokens
+from tuneprep.operators import batching, placement, pairs, tokens
 from tuneprep.plans import instruction
 
 
@@ -58,7 +58,7 @@ def test_collate_like_a_plain_loop(sequences, indexed, mask_padding):
     rows, df = sequences
     df = df.repartition(5)
     if indexed:
-        df = indexing.with_index(df, "i")
+        df = placement.with_index(df, "i")
     out = batching.collate(df, 6, 4, "i", [2, 3], mask_padding).collect()
     got = {
         r["i"]: (
@@ -205,23 +205,23 @@ def test_truncate_pair(spark):
 
 
 def test_null_or_repeated_order_keys_are_an_error(spark):
-    from tuneprep.operators import batching, indexing
+    from tuneprep.operators import batching, placement
 
     for keys in ([1, 1, 2], [1, None, 2]):
         df = spark.createDataFrame([(k, [1]) for k in keys], "k int, input_ids array<int>")
         with pytest.raises(Exception, match="unique and not null"):
-            indexing.with_index(df, "k").collect()
+            placement.with_index(df, "k").collect()
         with pytest.raises(Exception, match="unique and not null"):
             batching.pad_batch(df, 2, 0, "k").collect()
 
 
 def test_index_and_batches_are_those_of_each_split(spark):
-    from tuneprep.operators import batching, indexing
+    from tuneprep.operators import batching, placement
 
     rows = [(i, "train" if i % 3 else "test", [1] * (i % 7 + 1)) for i in range(60)]
     df = spark.createDataFrame(rows, "k int, split string, input_ids array<int>").repartition(4)
     own = {s: [r for r in rows if r[1] == s] for s in ("train", "test")}
-    got = {r["k"]: r["idx"] for r in indexing.with_index(df, "k").collect()}
+    got = {r["k"]: r["idx"] for r in placement.with_index(df, "k").collect()}
     assert got == {r[0]: n for part in own.values() for n, r in enumerate(part)}
     for r in batching.pad_batch(df, 4, 0, "k").collect():
         place = [x[0] for x in own[r["split"]]].index(r["k"])

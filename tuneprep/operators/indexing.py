@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneprep.runtime import SPLIT, column, materialize, names
+from tuneprep.runtime import column, materialize, names
 
 INDEX = "idx"
 
@@ -39,33 +39,27 @@ def index_keys(
     )
     ranged = narrow.repartitionByRange(*[column(c) for c in order])
     if unique:
-        ranged = _only_unique(ranged, order, list(carry))
+        ranged = _only_unique(ranged, order, list(carry), groups)
     placed = (
         ranged.sortWithinPartitions(*[column(c) for c in order])
         .withColumn("_tp_part", F.spark_partition_id())
         .withColumn("_tp_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_MASK)))
     )
     stored = materialize(placed, "index-keys")
-    indexed = add_offsets(stored, "_tp_part", "_tp_place", index_col)
-    if groups:
-        # The groups follow each other in the order, so each begins at its smallest index.
-        first = indexed.groupBy(*[column(c) for c in groups]).agg(
-            F.min(column(index_col)).alias("_tp_first")
-        )
-        indexed = indexed.join(first, groups).withColumn(
-            index_col, column(index_col) - F.col("_tp_first")
-        )
-    return indexed.select(
+    return add_offsets(stored, "_tp_part", "_tp_place", index_col, groups).select(
         *[column(c) for c in order], *[column(c) for c in carry], column(index_col)
     )
 
 
-def _only_unique(ranged: DataFrame, order: list[str], carried: list[str]) -> DataFrame:
+def _only_unique(
+    ranged: DataFrame, order: list[str], carried: list[str], groups: list[str]
+) -> DataFrame:
     """The same rows, or an error that names a key which is null or repeated."""
     keys = [column(c) for c in order]
     null = F.lit(False)
-    for key in keys:
-        null = null | key.isNull()
+    for name in order:
+        if name not in groups:  # rows without a split are a group of their own
+            null = null | column(name).isNull()
     shown = F.concat_ws(", ", *[F.coalesce(k.cast("string"), F.lit("null")) for k in keys])
     message = F.concat(F.lit("order columns must be unique and not null: "), shown)
     # A value that must be looked at, so that the check is not optimised away.
@@ -78,32 +72,33 @@ def _only_unique(ranged: DataFrame, order: list[str], carried: list[str]) -> Dat
     )
 
 
-def add_offsets(placed: DataFrame, part: str, place: str, index_col: str) -> DataFrame:
-    """Turn (partition, place in partition) into a global index.
+def add_offsets(placed: DataFrame, part: str, place: str, index_col: str, groups=()) -> DataFrame:
+    """Turn (partition, place in partition) into a global index, or one for each of the ``groups``.
 
-    There is one offset row per partition of the sort, so that table is bounded by the number of
-    shuffle partitions: its running sum may use one task, and it may be broadcast.
+    Groups must follow each other in the order of the rows. There is one offset row per partition of
+    the sort and per group that begins inside one, so that table is bounded by the numbers of shuffle
+    partitions and of groups (splits): its running sum may use one task, and it may be broadcast. The
+    rows stay where they are, however many of them a group has.
     """
-    before = Window.partitionBy(F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    within = [column(c) for c in names(groups)]
+    segments = placed.groupBy(column(part).alias("_tp_p"), *within).agg(
+        F.count(F.lit(1)).alias("_tp_rows"), F.min(column(place)).alias("_tp_first")
+    )
+    before = (
+        Window.partitionBy(F.lit(0))
+        .orderBy("_tp_p", "_tp_first")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    start = F.coalesce(F.sum("_tp_rows").over(before), F.lit(0))
+    own = Window.partitionBy(F.lit(0), *within)
     offsets = (
-        placed.groupBy(part)
-        .agg(F.count(F.lit(1)).alias("_tp_rows"))
-        .select(part, F.coalesce(F.sum("_tp_rows").over(before), F.lit(0)).alias("_tp_offset"))
+        segments.withColumn("_tp_start", start)
+        .withColumn("_tp_offset", F.col("_tp_start") - F.min("_tp_start").over(own) - F.col("_tp_first"))
+        .select("_tp_p", *[w.alias(f"_tp_g_{i}") for i, w in enumerate(within)], "_tp_offset")
     )
-    return placed.join(F.broadcast(offsets), part).withColumn(
-        index_col, column(place) + F.col("_tp_offset")
+    same = column(part) == F.col("_tp_p")
+    for i, group in enumerate(within):
+        same = same & group.eqNullSafe(F.col(f"_tp_g_{i}"))
+    return placed.join(F.broadcast(offsets), same).select(
+        *[column(c) for c in placed.columns], (column(place) + F.col("_tp_offset")).alias(index_col)
     )
-
-
-def with_index(df: DataFrame, order_col, index_col: str = INDEX) -> DataFrame:
-    """Add the 0-based contiguous index in dataset order; no-op if the column exists.
-
-    Every split has an index of its own. Order keys that are null or repeat within a split are an
-    error. Wide rows are shuffled once, by the equi-join with the narrow indexed keys.
-    """
-    if index_col in df.columns:
-        return df
-    order = names(order_col)
-    within = [SPLIT] if SPLIT in df.columns and SPLIT not in order else []
-    indexed = index_keys(df, order, index_col=index_col, unique=True, within=within)
-    return df.join(indexed, [*within, *order]).select(*[column(c) for c in [*df.columns, index_col]])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tuneprep.functions.hashing import HOLDOUT, SHUFFLE, SIDE, leading_bits, order_key
 from tuneprep.operators.indexing import index_keys
+from tuneprep.operators.placement import hash_slot, shuffle_partitions
 from tuneprep.runtime import SPLIT, column, materialize, names, temporary_tables
 
 TRAIN, TEST, VALIDATION = "train", "test", "validation"
@@ -26,15 +27,6 @@ _DIGITS = 4
 _PLACE_DIGITS = 8
 
 
-def _slot(key: Column, slots: int) -> Column:
-    """Slot 0..slots-1 of a uniform key; slots follow each other in key order."""
-    return F.floor(leading_bits(key, _PLACE_DIGITS) * slots / (16**_PLACE_DIGITS)).cast("int")
-
-
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def seeded_shuffle(df: DataFrame, seed: int, order_col) -> DataFrame:
     """Rows in a uniformly random order fixed by the seed.
 
@@ -44,10 +36,10 @@ def seeded_shuffle(df: DataFrame, seed: int, order_col) -> DataFrame:
     of all splits are interleaved; each split's rows are in the order of its own shuffle.
     """
     order = names(order_col)
-    slots = _shuffle_partitions(df)
+    slots = shuffle_partitions(df)
     return (
         df.withColumn("_tp_key", order_key(SHUFFLE, seed, order))
-        .withColumn("_tp_slot", _slot(F.col("_tp_key"), slots))
+        .withColumn("_tp_slot", hash_slot(F.col("_tp_key"), slots))
         .repartitionById(slots, F.col("_tp_slot"))
         .sortWithinPartitions("_tp_key", *[column(c) for c in order])
         .drop("_tp_key", "_tp_slot")
@@ -61,8 +53,8 @@ def shuffle_rank(
     group = [within] if within in df.columns else []
     order = [column(c) for c in names(order_col)]
     # Many more slots than tasks, so that tasks get even shares.
-    slots = 16 * _shuffle_partitions(df)
-    slot = _slot(order_key(SHUFFLE, seed, order_col), slots)
+    slots = 16 * shuffle_partitions(df)
+    slot = hash_slot(order_key(SHUFFLE, seed, order_col), slots)
     before = Window.partitionBy(*[column(c) for c in group], F.lit(0)).orderBy("_tp_slot")
     # One row per slot and split.
     offsets = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -114,8 +114,9 @@ def encode(
     max_len: int,
     order_col,
     bos_id: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Token ids cut to ``max_len`` and a mask of ones, next to the row identity.
+    """Token ids cut to ``max_len`` and a mask of ones, next to the row identity and ``keep``.
 
     The whole text is tokenised, then cut. Texts cross to Python in Arrow batches; the cut and the
     mask stay in the JVM.
@@ -126,7 +127,7 @@ def encode(
         ids = F.concat(F.array(F.lit(bos_id)), ids)
     return (
         df.select(
-            *[column(c) for c in carried_columns(df, order_col)],
+            *[column(c) for c in [*carried_columns(df, order_col), *keep]],
             ids.alias("input_ids"),
         )
         .withColumn("input_ids", keep_first(F.col("input_ids"), max_len))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,16 +80,19 @@ def assemble_instructions(
     shuffle: bool = True,
     limit: int = -1,
     eval_ratio: float = DEFAULT_EVAL_RATIO,
+    place: bool = True,
 ) -> DataFrame:
     """Limited, rendered and split rows; in shuffled order if ``shuffle``.
 
-    The cut and the split decide row by row, so the only shuffle of whole rows is the last step.
+    The cut and the split decide row by row, so the only shuffle of whole rows is the last step. With
+    ``place`` off that step is left to ``batch_instructions``: given the same seed, it lays out the
+    tokens in the same order, and texts are not shuffled at all.
     """
     if not has_split(df, TRAIN):
         raise ValueError("there is no train split to assemble")
     split = limit_and_split(df, limit, eval_ratio, seed, order_col, shuffle)
     rendered = format_template(split, template, text_field, order_col)
-    return seeded_shuffle(rendered, seed, order_col) if shuffle else rendered
+    return seeded_shuffle(rendered, seed, order_col) if shuffle and place else rendered
 
 
 def instruction_dataset(
@@ -107,6 +110,7 @@ def instruction_dataset(
     eval_ratio: float = DEFAULT_EVAL_RATIO,
     fmt: str = "json",
     if_exists: str = "skip",
+    place: bool = True,
 ) -> DataFrame:
     """Raw splits to training texts: prepare what is not written yet, read it back, assemble."""
     prepare_instructions(raw, column_map, order_col, splits, path, deduplicate, fmt, if_exists)
@@ -115,15 +119,20 @@ def instruction_dataset(
     prepared = read_prepared(raw.sparkSession, path, T.StructType([*order, *texts]), fmt)
     return assemble_instructions(
         prepared.filter(prepared[SPLIT].isin(*splits)),
-        template, order_col, text_field, seed, shuffle, limit, eval_ratio,
+        template, order_col, text_field, seed, shuffle, limit, eval_ratio, place,
     )
 
 
 def tokenize_instructions(
-    df: DataFrame, text_field: str, encoder: Encoder, order_col, max_len: int = DEFAULT_MAX_TOKENS
+    df: DataFrame,
+    text_field: str,
+    encoder: Encoder,
+    order_col,
+    max_len: int = DEFAULT_MAX_TOKENS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Stored token ids, masks and lengths: later steps read them more than once."""
-    encoded = encode(df, text_field, encoder, max_len, order_col)
+    """Stored token ids, masks, lengths and ``keep``: later steps read them more than once."""
+    encoded = encode(df, text_field, encoder, max_len, order_col, keep=keep)
     return materialize(encoded.withColumn(LENGTH, F.size("input_ids")), "tokens")
 
 
@@ -135,10 +144,13 @@ def batch_instructions(
     completion_template: str | None = None,
     batch_size: int = DEFAULT_BATCH_SIZE,
     mask_padding: bool = False,
+    seed: int | None = None,
 ) -> DataFrame:
-    """Padded batches with labels from the stored tokens of one split.
+    """Padded batches with labels from stored tokens, split by split.
 
-    Without a completion template every token is trained on.
+    Without a completion template every token is trained on. With a ``seed`` the batches follow its
+    shuffled order, the same that ``assemble_instructions`` cuts by, and ``rank`` is the place in it;
+    without one they follow the order columns.
     """
     tag = encode_literal(encoder, completion_template) if completion_template else []
-    return collate(tokens, batch_size, pad_id, order_col, tag, mask_padding)
+    return collate(tokens, batch_size, pad_id, order_col, tag, mask_padding, seed)

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tuneprep.operators.batching import collate_pairs
 from tuneprep.operators.dedup import stored_dedup
 from tuneprep.operators.mapping import (
     PAIR_COLUMNS,
@@ -19,7 +20,7 @@ from tuneprep.operators.pairs import split_common_prompt, truncate_pair
 from tuneprep.operators.sampling import limit_and_split, seeded_shuffle
 from tuneprep.operators.scoring import dpo_loss, lookup_reference
 from tuneprep.operators.tokens import Encoder, encode_columns
-from tuneprep.runtime import SPLIT, names, temporary_tables
+from tuneprep.runtime import SPLIT, materialize, names, temporary_tables
 from tuneprep.sources.prepared import pending_splits, read_prepared, write_prepared
 
 # Defaults of the preference configuration.
@@ -30,6 +31,7 @@ DEFAULT_MAX_PROMPT = 512
 DEFAULT_MAX_TOKENS = 2048
 DEFAULT_SEED = 42
 DEFAULT_EVAL_RATIO = 0.05
+DEFAULT_BATCH_SIZE = 6
 
 
 def clean_pairs(
@@ -71,10 +73,14 @@ def assemble_pairs(
     shuffle: bool = True,
     limit: int = -1,
     eval_ratio: float = DEFAULT_EVAL_RATIO,
+    place: bool = True,
 ) -> DataFrame:
-    """Limited and split pairs; in shuffled order if ``shuffle``."""
+    """Limited and split pairs; in shuffled order if ``shuffle``.
+
+    With ``place`` off the order is left to ``batch_pairs``, which lays out the tokens by the seed.
+    """
     split = limit_and_split(df, limit, eval_ratio, seed, order_col, shuffle)
-    return seeded_shuffle(split, seed, order_col) if shuffle else split
+    return seeded_shuffle(split, seed, order_col) if shuffle and place else split
 
 
 def preference_dataset(
@@ -90,6 +96,7 @@ def preference_dataset(
     eval_ratio: float = DEFAULT_EVAL_RATIO,
     fmt: str = "json",
     if_exists: str = "skip",
+    place: bool = True,
 ) -> DataFrame:
     """Raw splits to train and eval pairs: prepare what is not written yet, read back, assemble."""
     prepare_pairs(raw, column_map, order_col, splits, path, deduplicate, fmt, if_exists)
@@ -97,8 +104,9 @@ def preference_dataset(
     order = [raw.schema[name] for name in names(order_col)]
     prepared = read_prepared(raw.sparkSession, path, T.StructType([*order, *texts]), fmt)
     return assemble_pairs(
-        prepared.filter(prepared[SPLIT].isin(*splits)), order_col, seed, shuffle, limit, eval_ratio
-    )
+        prepared.filter(prepared[SPLIT].isin(*splits)),
+        order_col, seed, shuffle, limit, eval_ratio, place,
+    )
 
 
 def truncate_texts(
@@ -115,6 +123,27 @@ def truncate_texts(
     return truncate_pair(encode_columns(parts, texts, encoder, order_col), max_prompt, max_len)
 
 
+def batch_pairs(
+    pairs: DataFrame,
+    encoder: Encoder,
+    order_col,
+    pad_id: int,
+    batch_size: int = DEFAULT_BATCH_SIZE,
+    seed: int | None = None,
+    marker: str | None = None,
+    max_prompt: int = DEFAULT_MAX_PROMPT,
+    max_len: int = DEFAULT_MAX_TOKENS,
+    mask_padding: bool = True,
+) -> DataFrame:
+    """Pairs of texts to padded batches of both sides, in the shuffled order of a ``seed`` if given.
+
+    The tokens are stored once; texts are not shuffled.
+    """
+    tokens = truncate_texts(pairs, encoder, order_col, marker, max_prompt, max_len)
+    stored = materialize(tokens, "pair-tokens")
+    return collate_pairs(stored, batch_size, pad_id, order_col, seed, mask_padding)
+
+
 def score_pairs(
     pairs: DataFrame,
     cache: DataFrame | None = None,
