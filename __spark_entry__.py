@@ -8,6 +8,7 @@ the same expressions, because the texts as delivered hardly have any.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -33,7 +34,7 @@ from tuneprep.operators import (
 )
 from tuneprep.plans import instruction, preference
 from tuneprep.runtime import scratch_path
-from tuneprep.sources import prepared, tables
+from tuneprep.sources import bucketed, prepared, tables
 
 try:
     from tuneprep.llm import queries as llm_queries
@@ -50,6 +51,7 @@ MAX_TOKENS = 2048
 #: Above the longest text: nothing is cut.
 UNCUT = 1 << 24
 BATCH = 6
+BUCKETS = 8
 MAX_PROMPT, MAX_PAIR = 16, 40
 TURN_MARKER = "\n\nAssistant: "
 DATASET = "org/driver"
@@ -352,6 +354,12 @@ _LOOKED_UP = (
 )
 
 
+_LOOKED_UP_ROWS = """
+SELECT idx, round(logp_chosen, 6) AS logp_chosen, round(logp_rejected, 6) AS logp_rejected,
+  round(ref_logp_chosen, 6) AS ref_logp_chosen, round(ref_logp_rejected, 6) AS ref_logp_rejected
+FROM looked_up"""
+
+
 def _log_sigmoid_sql(x):
     return f"(-(greatest(-({x}), 0.0) + ln(1 + exp(-abs({x})))))"
 
@@ -624,6 +632,45 @@ def sequence_logprob_arrays(spark, sf_dir):
     return arrays.select("doc_id", shifted_sum(F.col("logps"), F.col("labels")).alias("logp"))
 
 
+def _records(spark, sf_dir, scale=20.0):
+    """Each sequence as one record: an array of logits and a label for every position."""
+    logits, labels = _score_tables(spark, sf_dir, scale)
+    return (
+        logits.join(labels, ["seq_id", "pos"])
+        .groupBy("seq_id")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "logits", "label"))).alias("r"))
+        .select("seq_id", F.col("r.logits").alias("logits"), F.col("r.label").alias("labels"))
+    )
+
+
+def record_logprobs(spark, sf_dir):
+    """Token scores of records, one row a position again."""
+    records = scoring.record_logprobs(_records(spark, sf_dir))
+    following = F.slice("labels", F.lit(2), F.size("logps"))
+    rows = records.select("seq_id", F.posexplode(F.arrays_zip("logps", following.alias("next"))))
+    return _rounded(
+        rows.select("seq_id", "pos", F.col("col.next").alias("label"), F.col("col.logps").alias("logp")),
+        "logp",
+    )
+
+
+def record_sequence_logprob(spark, sf_dir):
+    return _rounded(scoring.score_records(_records(spark, sf_dir)), "logp")
+
+
+def record_pair_loss(spark, sf_dir):
+    """Records of both sides of a pair to losses: scores, then the reference-free loss."""
+    sides = _records(spark, sf_dir).withColumn("idx", F.expr("seq_id div 2"))
+    chosen, rejected = (
+        sides.filter(F.col("seq_id") % 2 == odd).select(
+            "idx", F.col("logits").alias(f"logits_{side}"), F.col("labels").alias(f"labels_{side}")
+        )
+        for odd, side in enumerate(("chosen", "rejected"))
+    )
+    scores = scoring.score_records(chosen.join(rejected, "idx"), ("chosen", "rejected"))
+    return _rounded(preference.score_pairs(scores).select("idx", "loss"), "loss")
+
+
 def precompute_reference(spark, sf_dir):
     return _rounded(_reference_cache(spark, sf_dir), "ref_logp_chosen", "ref_logp_rejected")
 
@@ -635,6 +682,22 @@ def lookup_reference(spark, sf_dir):
     )
 
 
+def bucketed_reference(spark, sf_dir):
+    """Pairs and reference scores stored by bucket of ``idx``, looked up where they are."""
+    path, run = scratch_path(spark, "buckets"), uuid.uuid4().hex[:8]
+    logits, labels = _score_tables(spark, sf_dir, REFERENCE_SCALE)
+    cache = scoring.bucketed_reference(
+        _sides(scoring.sequence_logprob(logits, labels)), DATASET, path, f"reference_{run}", BUCKETS
+    )
+    policy = bucketed.write_bucketed(
+        _policy_pairs(spark, sf_dir), f"{path}/pairs", f"pairs_{run}", "idx", BUCKETS
+    )
+    return _rounded(
+        scoring.lookup_reference(policy, cache, DATASET),
+        "logp_chosen", "logp_rejected", "ref_logp_chosen", "ref_logp_rejected",
+    )
+
+
 def dpo_loss(spark, sf_dir):
     return _rounded(
         scoring.dpo_loss(_looked_up(spark, sf_dir), label_smoothing=0.2).select("idx", "loss"),
@@ -790,7 +853,8 @@ _QUERIES = (
     completion_labels, completion_labels_mask_padding, with_index, with_index_shuffled,
     with_index_composite,
     token_logprobs, token_logprobs_long, sequence_logprob, sequence_logprob_arrays,
-    precompute_reference, lookup_reference, dpo_loss, dpo_loss_reference_free, mean_dpo_loss,
+    record_logprobs, record_sequence_logprob, record_pair_loss,
+    precompute_reference, lookup_reference, bucketed_reference, dpo_loss, dpo_loss_reference_free, mean_dpo_loss,
     perplexity, perplexity_weighted, split_common_prompt, split_common_prefix, truncate_pair, pair_batches,
     prepared_round_trip, instruction_texts, instruction_splits, instruction_batches, preference_splits,
     instruction_dataset, preference_dataset,
@@ -1061,13 +1125,19 @@ WITH lengths AS (
 SELECT doc_id, coalesce(list_sum(list_transform(range(1, len(n)),
   lambda i: CASE WHEN n[i + 1] % 3 = 0 THEN 0 ELSE -n[i] / 8.0::DOUBLE END)), 0)::DOUBLE AS logp
 FROM lengths""",
+        "record_logprobs": token_scores
+        + """SELECT seq_id, CAST(pos AS INTEGER) AS pos, label, round(logp, 6) AS logp
+FROM policy_tokens""",
+        "record_sequence_logprob": token_scores
+        + "SELECT seq_id, round(logp, 6) AS logp FROM policy",
+        "record_pair_loss": looked_up
+        + f"""SELECT idx, round({_loss_sql('0.1 * (logp_chosen - logp_rejected)', 0.0)}, 6) AS loss
+FROM policy_pairs""",
         "precompute_reference": looked_up
         + f"""SELECT '{DATASET}' AS dataset_id, idx, round(ref_logp_chosen, 6) AS ref_logp_chosen,
   round(ref_logp_rejected, 6) AS ref_logp_rejected FROM refer_pairs""",
-        "lookup_reference": looked_up
-        + """SELECT idx, round(logp_chosen, 6) AS logp_chosen, round(logp_rejected, 6) AS logp_rejected,
-  round(ref_logp_chosen, 6) AS ref_logp_chosen, round(ref_logp_rejected, 6) AS ref_logp_rejected
-FROM looked_up""",
+        "lookup_reference": looked_up + _LOOKED_UP_ROWS,
+        "bucketed_reference": looked_up + _LOOKED_UP_ROWS,
         "dpo_loss": looked_up
         + f"SELECT idx, round({_loss_sql(_MARGIN, 0.2)}, 6) AS loss FROM looked_up",
         "dpo_loss_reference_free": looked_up

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.functions.scores import log_softmax_at, pair_loss
-from tuneprep.functions.sequences import IGNORE_LABEL
+from tuneprep.functions.scores import (
+    log_softmax_at,
+    pair_loss,
+    record_logp,
+    record_logps,
+    scored,
+)
 from tuneprep.runtime import column, names
+from tuneprep.sources.bucketed import write_bucketed
 from tuneprep.sources.prepared import partition_folder, write_once
 
 # Width of the exponent bands of the streaming log-sum-exp: exp() of a band stays far inside the
@@ -22,22 +28,13 @@ def shift_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def _scored(logp: Column) -> Column:
-    """0.0 for an ignored or absent label; a label outside the vocabulary is an error."""
-    ignored = F.coalesce(F.col("label"), F.lit(IGNORE_LABEL)) == IGNORE_LABEL
-    message = F.concat(F.lit("label outside the vocabulary: "), F.col("label").cast("string"))
-    return F.when(ignored, 0.0).otherwise(
-        F.coalesce(logp, F.raise_error(message).cast("double"))
-    )
-
-
 def _score_dense(logits: DataFrame, labels: DataFrame, how: str) -> DataFrame:
     joined = logits.join(shift_labels(labels), ["seq_id", "pos"], how)
     return joined.select(
         "seq_id",
         "pos",
         "label",
-        _scored(log_softmax_at(F.col("logits"), F.col("label"))).alias("logp"),
+        scored(log_softmax_at(F.col("logits"), F.col("label")), F.col("label")).alias("logp"),
     )
 
 
@@ -96,10 +93,11 @@ def token_logprobs_long(logits: DataFrame, labels: DataFrame) -> DataFrame:
             "seq_id",
             "pos",
             "label",
-            _scored(
+            scored(
                 F.when(F.col("_tp_picked").isNull(), F.lit(None))
                 .when(F.col("_tp_undefined") | top.isNull(), F.lit(float("nan")))
-                .otherwise(F.col("_tp_picked") - top * _BAND - F.log(total))
+                .otherwise(F.col("_tp_picked") - top * _BAND - F.log(total)),
+                F.col("label"),
             ).alias("logp"),
         )
     )
@@ -110,6 +108,31 @@ def sequence_logprob(logits: DataFrame, labels: DataFrame) -> DataFrame:
     return _score_dense(logits, labels, "left").groupBy("seq_id").agg(F.sum("logp").alias("logp"))
 
 
+def record_logprobs(
+    df: DataFrame, logits: str = "logits", labels: str = "labels", out_col: str = "logps"
+) -> DataFrame:
+    """Add the token scores of records that hold their logits and labels together.
+
+    A projection: records stay where they are, nothing is joined or shuffled. See ``record_logps``.
+    """
+    return df.withColumn(out_col, record_logps(column(logits), column(labels)))
+
+
+def score_records(df: DataFrame, sides=("",), keep: bool = False) -> DataFrame:
+    """Add ``logp`` from ``logits`` and ``labels``, or ``logp_<side>`` from ``logits_<side>`` ....
+
+    With ``sides=("chosen", "rejected")`` a batch of pairs with the model's outputs becomes what
+    ``dpo_loss`` takes, without a shuffle. Logits and labels are dropped unless ``keep``.
+    """
+    ends = [f"_{side}" if side else "" for side in sides]
+    used = [f"{name}{end}" for end in ends for name in ("logits", "labels")]
+    scores = {
+        f"logp{end}": record_logp(column(f"logits{end}"), column(f"labels{end}")) for end in ends
+    }
+    out = df.withColumns(scores)
+    return out if keep else out.drop(*used)
+
+
 def reference_scores(token_scores: DataFrame, dataset_id: str) -> DataFrame:
     """Both sides' sequence scores per pair, from rows ``idx, side, logp`` (one per token or more).
 
@@ -168,6 +191,27 @@ def lookup_reference(pairs: DataFrame, cache: DataFrame, dataset_id: str) -> Dat
     )
 
 
+def bucketed_reference(
+    token_scores: DataFrame,
+    dataset_id: str,
+    path: str,
+    table: str,
+    buckets: int,
+    if_exists: str = "skip",
+) -> DataFrame:
+    """``precompute_reference`` into a table bucketed by ``idx``, for look-ups that shuffle nothing.
+
+    Pairs, or token scores to be summed again, that ``write_bucketed`` stored with the same key and
+    number of buckets meet it bucket by bucket: neither side moves, whatever its size, and the cache
+    need not fit a broadcast. Every data set has a table of its own.
+    """
+    folder = partition_folder(token_scores.sparkSession, path, "dataset_id", dataset_id)
+    scores = reference_scores(token_scores, dataset_id).select(
+        "dataset_id", F.col("idx").cast("bigint"), "ref_logp_chosen", "ref_logp_rejected"
+    )
+    return write_bucketed(scores, folder, table, "idx", buckets, if_exists)
+
+
 def dpo_loss(
     df: DataFrame,
     beta: float = 0.1,

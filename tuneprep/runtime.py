@@ -79,6 +79,39 @@ def drop_stored(stored: DataFrame) -> None:
     _delete(stored.sparkSession, stored._tp_path)
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path and file system: whatever store the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, files = _files(spark, path)
+    return files.exists(target)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small driver-side file, such as a manifest."""
+    target, files = _files(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and move it there: it is never seen half written."""
+    target, files = _files(spark, path)
+    draft, _ = _files(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft, True)
+    stream.write(text.encode())
+    stream.close()
+    if not files.rename(draft, target):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
 _shipped: set[str] = set()
 
 
