@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -776,6 +777,69 @@ def prepared_round_trip(spark, sf_dir):
     )
 
 
+def _loud(documents):
+    """Another configuration of the same documents."""
+    return documents.withColumn("text", F.concat(F.lit("again "), F.col("text")))
+
+
+def prepared_modes(spark, sf_dir):
+    """A second preparation with other texts under each mode, and what is readable afterwards."""
+    documents = _documents(spark, sf_dir).select("split", "doc_id", "text")
+    splits = ["train", "validation"]
+
+    def prepare(rows, path, own=splits, **options):
+        return instruction.prepare_instructions(rows, {"prompt": "text"}, "doc_id", own, path, **options)
+
+    found = []
+    for mode in ("skip", "overwrite", "error", "missing"):
+        path = scratch_path(spark, "prepared")
+        prepare(documents, path, ["train"] if mode == "missing" else splits)
+        try:
+            prepare(_loud(documents), path, if_exists="skip" if mode == "missing" else mode)
+        except FileExistsError:
+            if mode != "error":
+                raise
+        rows = prepared.read_prepared(spark, path, "doc_id bigint, prompt string")
+        found.append(rows.select(F.lit(mode).alias("mode"), "split", "doc_id", "prompt"))
+    return reduce(DataFrame.union, found)
+
+
+def prepared_exact_columns(spark, sf_dir):
+    """Files with the mapped columns alone."""
+    path = scratch_path(spark, "prepared")
+    documents = _documents(spark, sf_dir).select("split", "doc_id", "text", "source")
+    instruction.prepare_instructions(
+        documents, {"prompt": "text", "response": "source"}, "doc_id", ["train", "validation"], path,
+        only_mapped=True,
+    )
+    return spark.read.json(path, recursiveFileLookup=True).select("prompt", "response")
+
+
+def _counts_frame(spark, written):
+    rows = [(split, *[own[c] for c in _COUNTS]) for split, own in written.counts.items()]
+    return spark.createDataFrame(rows, "split string, " + ", ".join(f"{c} bigint" for c in _COUNTS))
+
+
+_COUNTS = ("rows_in", "dropped_missing", "dropped_degenerate", "dropped_duplicates", "rows_out")
+
+
+def prepare_counts(spark, sf_dir):
+    """What preparing pairs returns: counts of the very job that wrote them."""
+    raw = _raw_pairs(spark, sf_dir).withColumn(
+        "split", F.when(F.col("conv_id") % 4 == 0, "validation").otherwise("train")
+    )
+    return _counts_frame(spark, preference.prepare_pairs(
+        raw, PAIR_MAP, TURN, ["train", "validation"], scratch_path(spark, "counted"), "rejected"
+    ))
+
+
+def prepare_counts_documents(spark, sf_dir):
+    return _counts_frame(spark, instruction.prepare_instructions(
+        _documents(spark, sf_dir), {"prompt": "text"}, "doc_id", ["train", "validation"],
+        scratch_path(spark, "counted"), "prompt", fmt="parquet",
+    ))
+
+
 def instruction_texts(spark, sf_dir):
     """Flagship: exchanges mapped, cleaned, deduplicated by prompt and rendered."""
     clean = instruction.clean_instructions(
@@ -856,7 +920,8 @@ _QUERIES = (
     record_logprobs, record_sequence_logprob, record_pair_loss,
     precompute_reference, lookup_reference, bucketed_reference, dpo_loss, dpo_loss_reference_free, mean_dpo_loss,
     perplexity, perplexity_weighted, split_common_prompt, split_common_prefix, truncate_pair, pair_batches,
-    prepared_round_trip, instruction_texts, instruction_splits, instruction_batches, preference_splits,
+    prepared_round_trip, prepared_modes, prepared_exact_columns, prepare_counts, prepare_counts_documents,
+    instruction_texts, instruction_splits, instruction_batches, preference_splits,
     instruction_dataset, preference_dataset,
 )
 
@@ -991,6 +1056,33 @@ SELECT split, doc_id, text FROM (
 WHERE split <> 'train' OR place <= {LIMIT}"""
 
 
+_PAIR_COUNTS = f"""
+WITH {_RAW_PAIRS},
+staged AS (
+  SELECT CASE WHEN conv_id % 4 = 0 THEN 'validation' ELSE 'train' END AS split,
+    coalesce({_normalized_sql('better')}, '') AS chosen,
+    coalesce({_normalized_sql('worse')}, '') AS rejected
+  FROM raw_pairs),
+counted AS (
+  SELECT split, count(*) AS rows_in,
+    count(*) FILTER (chosen = '' OR rejected = '') AS dropped_missing,
+    count(*) FILTER (chosen <> '' AND chosen = rejected) AS dropped_degenerate,
+    count(DISTINCT rejected) FILTER (chosen <> '' AND rejected <> '' AND chosen <> rejected)
+      AS rows_out
+  FROM staged GROUP BY split)
+SELECT split, rows_in, dropped_missing, dropped_degenerate,
+  rows_in - dropped_missing - dropped_degenerate - rows_out AS dropped_duplicates, rows_out
+FROM counted"""
+
+_DOCUMENT_COUNTS = f"""
+WITH {_DOCUMENTS}
+SELECT split, count(*) AS rows_in, CAST(0 AS BIGINT) AS dropped_missing,
+  CAST(0 AS BIGINT) AS dropped_degenerate,
+  count(*) - count(DISTINCT {_normalized_sql('text')}) AS dropped_duplicates,
+  count(DISTINCT {_normalized_sql('text')}) AS rows_out
+FROM documents_s GROUP BY split"""
+
+
 def oracle_sql() -> dict[str, str]:
     return _own_sql() | (llm_queries.ORACLES if llm_queries else {})
 
@@ -1028,30 +1120,10 @@ SELECT * FROM blanked WHERE text IS NOT NULL AND {_normalized_sql('text')} <> ''
 WITH {_DOCUMENTS}
 SELECT split, CAST(count(*) - count(DISTINCT text) AS BIGINT) AS dropped_duplicates
 FROM documents_s GROUP BY split""",
-        "prep_report": f"""
-WITH {_RAW_PAIRS},
-staged AS (
-  SELECT CASE WHEN conv_id % 4 = 0 THEN 'validation' ELSE 'train' END AS split,
-    coalesce({_normalized_sql('better')}, '') AS chosen,
-    coalesce({_normalized_sql('worse')}, '') AS rejected
-  FROM raw_pairs),
-counted AS (
-  SELECT split, count(*) AS rows_in,
-    count(*) FILTER (chosen = '' OR rejected = '') AS dropped_missing,
-    count(*) FILTER (chosen <> '' AND chosen = rejected) AS dropped_degenerate,
-    count(DISTINCT rejected) FILTER (chosen <> '' AND rejected <> '' AND chosen <> rejected)
-      AS rows_out
-  FROM staged GROUP BY split)
-SELECT split, rows_in, dropped_missing, dropped_degenerate,
-  rows_in - dropped_missing - dropped_degenerate - rows_out AS dropped_duplicates, rows_out
-FROM counted""",
-        "prep_report_documents": f"""
-WITH {_DOCUMENTS}
-SELECT split, count(*) AS rows_in, CAST(0 AS BIGINT) AS dropped_missing,
-  CAST(0 AS BIGINT) AS dropped_degenerate,
-  count(*) - count(DISTINCT {_normalized_sql('text')}) AS dropped_duplicates,
-  count(DISTINCT {_normalized_sql('text')}) AS rows_out
-FROM documents_s GROUP BY split""",
+        "prep_report": _PAIR_COUNTS,
+        "prepare_counts": _PAIR_COUNTS,
+        "prep_report_documents": _DOCUMENT_COUNTS,
+        "prepare_counts_documents": _DOCUMENT_COUNTS,
         "format_template": f"WITH {_RENDERED} SELECT * FROM rendered",
         "seeded_shuffle": f"""
 WITH {_DOCUMENTS}
@@ -1195,6 +1267,15 @@ clean AS (
 SELECT split, doc_id, prompt FROM (
   SELECT *, row_number() OVER (PARTITION BY split, prompt ORDER BY doc_id) AS place FROM clean)
 WHERE place = 1""",
+        "prepared_modes": f"""
+WITH {_DOCUMENTS},
+modes AS (SELECT unnest(['skip', 'overwrite', 'error', 'missing']) AS mode)
+SELECT mode, split, doc_id, {_normalized_sql("""CASE WHEN mode = 'overwrite' OR mode = 'missing' AND split = 'validation'
+    THEN 'again ' || text ELSE text END""")} AS prompt
+FROM documents_s, modes WHERE text IS NOT NULL AND {_normalized_sql('text')} <> ''""",
+        "prepared_exact_columns": f"""
+SELECT {_normalized_sql('text')} AS prompt, {_normalized_sql('source')} AS response FROM documents
+WHERE {_normalized_sql('text')} <> '' AND {_normalized_sql('source')} <> ''""",
         "instruction_texts": f"""
 WITH {_EXCHANGES},
 clean AS (

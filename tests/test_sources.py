@@ -34,7 +34,7 @@ def test_round_trip(spark, clean, tmp_path, fmt):
 
 def test_json_lines_keep_non_ascii_raw(clean, tmp_path):
     prepared.write_prepared(clean, str(tmp_path / "p"), ["train"])
-    text = "".join(f.read_text("utf-8") for f in (tmp_path / "p/split=train").glob("part-*"))
+    text = "".join(f.read_text("utf-8") for f in (tmp_path / "p/split=train").glob("version=*/part-*"))
     assert "\u00e9\U0001f600" in text
     lines = [json.loads(line) for line in text.strip().split("\n")]
     assert sorted(line["i"] for line in lines) == [1, 2]
@@ -175,4 +175,112 @@ def test_split_names_read_back_as_they_were_from_one_pass(spark, tmp_path):
     assert prepared.write_prepared(df, path, [*names, "new"]) == ["new"]
     with pytest.raises(FileExistsError):
         prepared.write_prepared(df, path, names, if_exists="error")
-    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.name[0] == "_") == []
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.name[0] == "_") == ["_manifests"]
+
+
+def contents(spark, path):
+    return sorted(tuple(r) for r in prepared.read_prepared(spark, path, SCHEMA).select("split", "i", "prompt").collect())
+
+
+@pytest.mark.parametrize("stop_in", ["rename", "_switch", "delete"])
+def test_a_job_that_stops_leaves_the_old_or_the_new_data(spark, clean, tmp_path, monkeypatch, stop_in):
+    """Stopped before the switch nothing has changed, stopped behind it everything has."""
+    path = str(tmp_path / "p")
+    prepared.write_prepared(clean, path, SPLITS)
+    old = contents(spark, path)
+    changed = clean.withColumn("prompt", F.lit("new"))
+
+    def stop(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(prepared, stop_in, stop)
+        prepared.write_prepared(changed, path, SPLITS, if_exists="overwrite")
+    new = sorted((s, i, "new") for s, i, _ in old)
+    assert contents(spark, path) == (new if stop_in == "delete" else old)
+    assert len(prepared.vacuum(spark, path)) == {"rename": 1, "_switch": 3, "delete": 3}[stop_in]
+    assert prepared.vacuum(spark, path) == []
+    assert contents(spark, path) == (new if stop_in == "delete" else old)
+    prepared.write_prepared(changed, path, SPLITS, if_exists="overwrite")
+    assert contents(spark, path) == new
+
+
+def test_half_written_manifests_do_not_count(spark, clean, tmp_path):
+    path = str(tmp_path / "p")
+    prepared.write_prepared(clean, path, ["train"])
+    (tmp_path / "p/_manifests/000000002.json").write_text('{"splits": {"tra')
+    assert prepared.pending_splits(spark, path, SPLITS) == ["validation"]
+    assert prepared.write_prepared(clean, path, SPLITS) == ["validation"]
+    assert len(contents(spark, path)) == 3
+    assert sorted(p.name for p in (tmp_path / "p/_manifests").glob("*.json"))[-1] == "000000003.json"
+
+
+def test_writers_of_different_splits_keep_each_other(spark, clean, tmp_path, monkeypatch):
+    """Another job's manifest appears between reading the last one and adding the next."""
+    path = str(tmp_path / "p")
+    read, raced = prepared._manifest, []
+
+    def late(spark, at):
+        seen = read(spark, at)
+        if not raced:
+            raced.append(1)
+            prepared.write_prepared(clean, path, ["validation"])
+        return seen
+
+    prepared.write_prepared(clean.limit(0), path, ["other"])
+    version = prepared.prepared_splits(spark, path)
+    monkeypatch.setattr(prepared, "_manifest", late)
+    replaced = prepared._switch(spark, path, {"train": {"folder": "split=train/version=x"}})
+    assert replaced == {}
+    assert set(prepared.prepared_splits(spark, path)) == {"train", "validation", "other"} > set(version)
+
+
+def test_nothing_prepared(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        prepared.read_prepared(spark, str(tmp_path / "none"), SCHEMA)
+
+
+def test_preparation_returns_its_counts(spark, tmp_path):
+    from tuneprep.plans import instruction, preference
+
+    rows = [("train", i, f"q{i % 20} ", " " if i % 9 == 0 else "a") for i in range(90)]
+    rows += [("test", 90 + i, None if i < 3 else f"q{i}", "b") for i in range(10)]
+    raw = spark.createDataFrame(rows, "split string, i bigint, instruction string, response string")
+    path = str(tmp_path / "sft")
+    args = (raw.repartition(7), instruction.DEFAULT_COLUMN_MAP, "i", ["train", "test", "empty"], path)
+    done = instruction.prepare_instructions(*args, "prompt")
+    whole = {q for s, _, q, a in rows if s == "train" and a.strip()}
+    wanted = {
+        "train": dict(rows_in=90, dropped_missing=10, dropped_degenerate=0, dropped_duplicates=80 - len(whole), rows_out=len(whole)),
+        "test": dict(rows_in=10, dropped_missing=3, dropped_degenerate=0, dropped_duplicates=0, rows_out=7),
+        "empty": dict.fromkeys(["rows_in", "dropped_missing", "dropped_degenerate", "dropped_duplicates", "rows_out"], 0),
+    }
+    assert done == ["train", "test", "empty"] and done.counts == wanted
+    assert {s: e["counts"] for s, e in prepared.prepared_splits(spark, path).items()} == wanted
+    again = instruction.prepare_instructions(*args, "prompt")
+    assert again == [] and again.counts == {}
+
+    pairs = spark.createDataFrame(
+        [("train", i, f"c{i % 8}", f"c{i % 8}\n" if i % 4 == 0 else f"r{i}") for i in range(40)],
+        "split string, i bigint, chosen string, rejected string",
+    )
+    done = preference.prepare_pairs(pairs, preference.DEFAULT_COLUMN_MAP, "i", ["train"], str(tmp_path / "dpo"), "chosen")
+    assert done.counts["train"] == dict(rows_in=40, dropped_missing=0, dropped_degenerate=10, dropped_duplicates=24, rows_out=6)
+    done = preference.prepare_pairs(pairs, preference.DEFAULT_COLUMN_MAP, "i", ["train"], str(tmp_path / "all"))
+    assert done.counts["train"]["rows_out"] == 30 and done.counts["train"]["dropped_duplicates"] == 0
+
+
+def test_exactly_the_mapped_columns_in_dataset_order(spark, tmp_path):
+    from tuneprep.plans import instruction
+
+    rows = [("train" if i % 4 else "test", i * 37 % 200, f"q{i}", f"a{i}") for i in range(200)]
+    raw = spark.createDataFrame(rows, "split string, i bigint, instruction string, response string")
+    path = tmp_path / "p"
+    instruction.prepare_instructions(
+        raw.repartition(6), instruction.DEFAULT_COLUMN_MAP, "i", ["train", "test"], str(path), only_mapped=True
+    )
+    for split in ("train", "test"):
+        files = sorted((path / f"split={split}").glob("version=*/part-*"))
+        lines = [json.loads(x) for f in files for x in f.read_text().split("\n") if x]
+        wanted = [(q, a) for s, _, q, a in sorted(rows, key=lambda r: r[1]) if s == split]
+        assert lines == [{"prompt": q, "response": a} for q, a in wanted]

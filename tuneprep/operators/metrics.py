@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tuneprep.functions.hashing import content_hash
@@ -88,5 +90,65 @@ def prep_report(
     )
 
 
+class PrepCounts:
+    """Counts of a preparation, taken on the very plans that do the work: no pass of their own.
+
+    Each of ``rows_in``, ``cleaned`` and ``rows_out`` is observed behind the last shuffle of its job,
+    where a task counts once however often it was tried.
+    """
+
+    def __init__(self, splits: Sequence[str], split_col: str = SPLIT):
+        self.splits, self.split_col = list(splits), split_col
+        self._seen: dict[str, Observation] = {}
+
+    def _observe(self, df: DataFrame, stage: str, tests: Mapping[str, Column]) -> DataFrame:
+        own = self._seen[stage] = Observation()
+        metrics = [
+            F.count_if((column(self.split_col) == split) & F.coalesce(test, F.lit(False))).alias(f"{name}_{i}")
+            for i, split in enumerate(self.splits)
+            for name, test in tests.items()
+        ]
+        return df.observe(own, *metrics)
+
+    def rows_in(self, df: DataFrame, texts: Sequence[str]) -> DataFrame:
+        """Mapped rows, before any is dropped."""
+        whole = F.lit(True)
+        for name in texts:
+            whole = whole & F.coalesce(has_text(column(name)), F.lit(False))
+        return self._observe(df, "in", {"rows_in": F.lit(True), "dropped_missing": ~whole})
+
+    def cleaned(self, df: DataFrame, pair: Sequence[str] = ()) -> DataFrame:
+        """Normalised rows; of a pair those with equal sides are about to be dropped."""
+        if not pair:
+            return df
+        return self._observe(df, "clean", {"dropped_degenerate": column(pair[0]) == column(pair[1])})
+
+    def rows_out(self, df: DataFrame) -> DataFrame:
+        """The rows that are written."""
+        return self._observe(df, "out", {"rows_out": F.lit(True)})
+
+    def by_split(self) -> dict[str, dict[str, int]]:
+        """Rows in, dropped by reason, and written, per split; asked once everything is written."""
+        found = {name: value for own in self._seen.values() for name, value in own.get.items()}
+        out = {}
+        for i, split in enumerate(self.splits):
+            own = {
+                name: found.get(f"{name}_{i}", 0)
+                for name in ("rows_in", "dropped_missing", "dropped_degenerate", "rows_out")
+            }
+            dropped = own["dropped_missing"] + own["dropped_degenerate"]
+            own["dropped_duplicates"] = own["rows_in"] - dropped - own["rows_out"]
+            out[split] = own
+        return out
+
+
+class Written(list):
+    """The splits a preparation wrote; ``counts`` has the rows of each by outcome."""
+
+    def __init__(self, splits: Sequence[str] = (), counts: Mapping[str, dict] | None = None):
+        super().__init__(splits)
+        self.counts = dict(counts or {})
+
+
 def split_sizes(df: DataFrame, split_col: str = SPLIT) -> DataFrame:
     return df.groupBy(column(split_col)).agg(F.count(F.lit(1)).alias("n_rows"))

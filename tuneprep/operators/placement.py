@@ -220,3 +220,10 @@ def with_index(df: DataFrame, order_col, index_col: str = INDEX, seed: int | Non
     error. Whole rows are shuffled once, to the stretch of the order they belong to.
     """
     return df if index_col in df.columns else with_rank(df, order_col, seed, index_col)
+
+
+def in_order(df: DataFrame, order_col, cols) -> DataFrame:
+    """Just ``cols`` and the split; the rows, and those of the files written, follow the order columns."""
+    found, by = placed(df, order_col)
+    ordered = found.sortWithinPartitions(*[column(c) for c in by])
+    return ordered.select(*[column(c) for c in [*groups_of(df, order_col), *cols]])

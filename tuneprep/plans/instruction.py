@@ -16,6 +16,8 @@ from tuneprep.operators.mapping import (
     map_columns,
     normalize_columns,
 )
+from tuneprep.operators.metrics import PrepCounts, Written
+from tuneprep.operators.placement import in_order
 from tuneprep.operators.sampling import TRAIN, has_split, limit_and_split, seeded_shuffle
 from tuneprep.operators.tokens import Encoder, encode, encode_literal
 from tuneprep.runtime import SPLIT, materialize, names, temporary_tables
@@ -42,11 +44,18 @@ DEFAULT_BATCH_SIZE = 6
 
 
 def clean_instructions(
-    df: DataFrame, column_map: Mapping[str, str], order_col, deduplicate: str | None = None
+    df: DataFrame,
+    column_map: Mapping[str, str],
+    order_col,
+    deduplicate: str | None = None,
+    counts: PrepCounts | None = None,
 ) -> DataFrame:
     """Mapped, non-empty, normalised and, if asked for, deduplicated rows."""
+    texts = list(column_map)
     mapped = map_columns(df, column_map, order_col)
-    clean = normalize_columns(drop_missing(mapped, list(column_map)), list(column_map))
+    if counts:
+        mapped = counts.rows_in(mapped, texts)
+    clean = normalize_columns(drop_missing(mapped, texts), texts)
     return stored_dedup(clean, deduplicate, order_col) if deduplicate else clean
 
 
@@ -59,16 +68,25 @@ def prepare_instructions(
     deduplicate: str | None = None,
     fmt: str = "json",
     if_exists: str = "skip",
-) -> list[str]:
-    """Clean the splits that are not written yet and write them. Returns the splits written."""
+    only_mapped: bool = False,
+) -> Written:
+    """Clean the splits that are not written yet and write them. Returns the splits written.
+
+    Their ``counts`` (rows in, dropped by reason, out) are taken on the way and kept in the manifest.
+    Order columns are written along, as later steps need an order; with ``only_mapped`` the files
+    have exactly the mapped columns, one row after the other in dataset order.
+    """
     todo = pending_splits(df.sparkSession, path, splits, if_exists)
     if not todo:
-        return []
+        return Written()
     with temporary_tables(df.sparkSession):
-        clean = clean_instructions(
-            df.filter(df[SPLIT].isin(*todo)), column_map, order_col, deduplicate
-        )
-        return write_prepared(clean, path, todo, fmt, if_exists)
+        counts = PrepCounts(todo)
+        raw = df.filter(df[SPLIT].isin(*todo))
+        clean = clean_instructions(raw, column_map, order_col, deduplicate, counts)
+        if only_mapped:
+            clean = in_order(clean, order_col, list(column_map))
+        written = write_prepared(counts.rows_out(clean), path, todo, fmt, if_exists, counts.by_split)
+        return Written(written, counts.by_split())
 
 
 def assemble_instructions(

@@ -16,7 +16,9 @@ from tuneprep.operators.mapping import (
     map_columns,
     normalize_columns,
 )
+from tuneprep.operators.metrics import PrepCounts, Written
 from tuneprep.operators.pairs import split_common_prompt, truncate_pair
+from tuneprep.operators.placement import in_order
 from tuneprep.operators.sampling import limit_and_split, seeded_shuffle
 from tuneprep.operators.scoring import dpo_loss, lookup_reference
 from tuneprep.operators.tokens import Encoder, encode_columns
@@ -35,15 +37,22 @@ DEFAULT_BATCH_SIZE = 6
 
 
 def clean_pairs(
-    df: DataFrame, column_map: Mapping[str, str], order_col, deduplicate: str | None = None
+    df: DataFrame,
+    column_map: Mapping[str, str],
+    order_col,
+    deduplicate: str | None = None,
+    counts: PrepCounts | None = None,
 ) -> DataFrame:
     """Mapped, complete, normalised pairs whose sides differ; deduplicated by one side if asked."""
     if deduplicate is not None and deduplicate not in PAIR_COLUMNS:
         raise ValueError(f"deduplicate must be one of {PAIR_COLUMNS}, got {deduplicate!r}")
     mapped = map_columns(df, column_map, order_col, required=PAIR_COLUMNS)
-    clean = drop_degenerate_pairs(
-        normalize_columns(drop_missing(mapped, PAIR_COLUMNS), PAIR_COLUMNS)
-    )
+    if counts:
+        mapped = counts.rows_in(mapped, PAIR_COLUMNS)
+    normalized = normalize_columns(drop_missing(mapped, PAIR_COLUMNS), PAIR_COLUMNS)
+    if counts:
+        normalized = counts.cleaned(normalized, PAIR_COLUMNS)
+    clean = drop_degenerate_pairs(normalized)
     return stored_dedup(clean, deduplicate, order_col) if deduplicate else clean
 
 
@@ -56,14 +65,24 @@ def prepare_pairs(
     deduplicate: str | None = None,
     fmt: str = "json",
     if_exists: str = "skip",
-) -> list[str]:
-    """Clean the splits that are not written yet and write them. Returns the splits written."""
+    only_mapped: bool = False,
+) -> Written:
+    """Clean the splits that are not written yet and write them. Returns the splits written.
+
+    Their ``counts`` (rows in, dropped by reason, out) are taken on the way and kept in the manifest.
+    With ``only_mapped`` the files have just the two sides, one pair after the other in dataset order.
+    """
     todo = pending_splits(df.sparkSession, path, splits, if_exists)
     if not todo:
-        return []
+        return Written()
     with temporary_tables(df.sparkSession):
-        clean = clean_pairs(df.filter(df[SPLIT].isin(*todo)), column_map, order_col, deduplicate)
-        return write_prepared(clean, path, todo, fmt, if_exists)
+        counts = PrepCounts(todo)
+        raw = df.filter(df[SPLIT].isin(*todo))
+        clean = clean_pairs(raw, column_map, order_col, deduplicate, counts)
+        if only_mapped:
+            clean = in_order(clean, order_col, PAIR_COLUMNS)
+        written = write_prepared(counts.rows_out(clean), path, todo, fmt, if_exists, counts.by_split)
+        return Written(written, counts.by_split())
 
 
 def assemble_pairs(

@@ -52,12 +52,7 @@ def temporary_tables(spark: SparkSession):
         yield
     finally:
         _job_dir.reset(token)
-        _delete(spark, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -76,7 +71,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def drop_stored(stored: DataFrame) -> None:
     """Delete a table of ``materialize`` that nothing will read again, such as an earlier round."""
-    _delete(stored.sparkSession, stored._tp_path)
+    delete(stored.sparkSession, stored._tp_path)
 
 
 def _files(spark: SparkSession, path: str):
@@ -90,6 +85,46 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    target, files = _files(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, files = _files(spark, path)
+    files.delete(target, True)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a place that does not exist yet; without a source the place is an empty folder."""
+    old, files = _files(spark, source)
+    new, _ = _files(spark, target)
+    files.mkdirs(new.getParent())
+    if not files.exists(old):
+        files.mkdirs(new)
+    elif not files.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def create_small(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless the name is taken already: of several writers just one succeeds."""
+    from py4j.protocol import Py4JJavaError
+
+    target, files = _files(spark, path)
+    try:
+        stream = files.create(target, False)
+    except Py4JJavaError:
+        if files.exists(target):
+            return False
+        raise
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    return True
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     """The text of a small driver-side file, such as a manifest."""
     target, files = _files(spark, path)
