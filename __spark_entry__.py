@@ -422,6 +422,16 @@ def stringify(spark, sf_dir):
     )
 
 
+def stringify_types(spark, sf_dir):
+    """Timestamps, dates, doubles and decimals as text."""
+    events = _table(spark, sf_dir, "events").select(
+        "event_id", "ts", F.to_date("ts").alias("day"), "value", (F.col("value") / 3).alias("third"),
+        (F.col("event_id") % 1000 / 1000000000).cast("decimal(12,9)").alias("small"),
+    )
+    targets = ("ts", "day", "value", "third", "small")
+    return mapping.map_columns(events, {f"{c}_text": c for c in targets}, "event_id")
+
+
 def drop_missing(spark, sf_dir):
     return mapping.drop_missing(_blanked(spark, sf_dir), "text")
 
@@ -908,7 +918,7 @@ def preference_dataset(spark, sf_dir):
 
 
 _QUERIES = (
-    load_split, load_split_row_order, map_columns, normalize_text, stringify, drop_missing, drop_degenerate_pairs,
+    load_split, load_split_row_order, map_columns, normalize_text, stringify, stringify_types, drop_missing, drop_degenerate_pairs,
     dedup_first, dedup_first_many_groups, dedup_first_across_splits, dedup_dropped,
     prep_report, prep_report_documents, format_template,
     seeded_shuffle, seeded_shuffle_order, limit_train, limit_train_in_order,
@@ -1109,6 +1119,18 @@ SELECT doc_id, {_normalized_sql(_spliced_sql('text'))} AS text FROM documents"""
 SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'True' ELSE 'False' END AS by_user,
   CAST(turn AS VARCHAR) AS place, text AS words
 FROM conversations""",
+        "stringify_types": """
+WITH e AS (
+  SELECT event_id, ts, value, value / 3 AS third,
+    (event_id % 1000)::VARCHAR AS digits, event_id % 1000 AS billionths
+  FROM events)
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S')
+    || CASE WHEN strftime(ts, '%f') = '000000' THEN '' ELSE '.' || strftime(ts, '%f') END AS ts_text,
+  strftime(ts, '%Y-%m-%d') AS day_text, value::VARCHAR AS value_text, third::VARCHAR AS third_text,
+  CASE WHEN billionths = 0 THEN '0E-9'
+    ELSE substr(digits, 1, 1) || CASE WHEN length(digits) > 1 THEN '.' || substr(digits, 2) ELSE '' END
+      || 'E-' || (10 - length(digits)) END AS small_text
+FROM e""",
         "drop_missing": f"""
 WITH {_BLANKED}
 SELECT * FROM blanked WHERE text IS NOT NULL AND {_normalized_sql('text')} <> ''""",

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 
 import pytest
 from conftest import executed_plan
@@ -149,3 +150,28 @@ def test_temporary_columns_do_not_touch_those_of_the_user(spark):
         assert sorted(tuple(r) for r in out.select(df.columns).collect()) == rows
     kept = dedup.dedup_first(df, "_content", "i")
     assert sorted(tuple(r) for r in kept.select(df.columns).collect()) == rows[:1] + rows[3:]
+
+
+@pytest.mark.parametrize("order,cols", [(["b"], (1,)), (["a", "b"], (0, 1)), (["c"], (2,)), (["a"], (0,))])
+def test_nth_row_by_brackets(spark, monkeypatch, order, cols):
+    """Integers, strings and doubles, nulls and keys that repeat hundreds of times."""
+    monkeypatch.setattr(sampling, "_FEW", 50)
+    monkeypatch.setattr(sampling, "_PIVOTS", 16)
+    rng = random.Random(1)
+    rows = [(rng.choice([None, *range(40)]), f"s{rng.random()}", rng.random()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b string, c double").repartition(5)
+    wanted = sorted((tuple(r[i] for i in cols) for r in rows), key=lambda t: [(x is not None, x or 0) for x in t])
+    for k in (0, 77, 1500, 2999):
+        assert tuple(sampling.nth_row(df, k, order)) == wanted[k]
+    assert sampling.nth_row(df, 3000, order) is None
+
+
+def test_limit_in_order_sorts_and_stores_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sampling, "_FEW", 10)
+    stored = []
+    monkeypatch.setattr(sampling, "materialize", lambda *a: stored.append(a))
+    path = str(tmp_path / "in")
+    frame(spark).write.parquet(path)
+    out = sampling.limit_train(spark.read.parquet(path), 123, "i")
+    assert out.count() == 223 and stored == []
+    assert "Exchange" not in executed_plan(out) and "Sort" not in executed_plan(out)

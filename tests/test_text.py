@@ -74,7 +74,7 @@ def test_stringify_like_python(spark):
     assert tuple(row) == (str(1), str(True), "x", None)
 
 
-@pytest.mark.parametrize("kind", ["double", "decimal(5,2)", "date", "array<int>", "binary"])
+@pytest.mark.parametrize("kind", ["array<int>", "binary", "map<string,int>", "interval day to second"])
 def test_stringify_rejects_what_spark_writes_differently(spark, kind):
     df = spark.createDataFrame([], f"v {kind}")
     with pytest.raises(ValueError, match="'v'"):
@@ -111,3 +111,34 @@ def test_template_prunes_unused_columns(spark, tmp_path):
     from conftest import executed_plan
 
     assert "ReadSchema: struct<i:int,a:string>" in executed_plan(out)
+
+
+def test_stringify_is_str(spark):
+    import datetime
+    import decimal
+    import random
+
+    from tuneprep.operators.mapping import map_columns
+
+    rng = random.Random(3)
+    doubles = [0.0, -0.0, 1e16, 1e15, 123456789.125, 1e-4, 1e-5, 5e-324, 1.7976931348623157e308, 2e-3, 0.1 + 0.2, 2.0**-44, 1e23, float("inf"), float("-inf"), float("nan"), None]
+    doubles += [rng.uniform(-1, 1) * 10 ** rng.randrange(-30, 30) for _ in range(400)]
+    stamps = [datetime.datetime(2024, 2, 29, 23, 59, 59, us) for us in (0, 1, 500000, 120000, 999999)]
+    stamps += [datetime.datetime(1, 1, 1), datetime.datetime(1999, 12, 31, 0, 0, 0, 10), None]
+    decimals = [decimal.Decimal(x).quantize(decimal.Decimal("1e-9")) for x in ("0", "1.5", "-0.000000001", "0.000000123", "0.000001", "-0.0000009", "123456.789", "0.0000010")]
+    rows = []
+    for i, x in enumerate(doubles):
+        stamp, number = stamps[i % len(stamps)], decimals[i % len(decimals)]
+        rows.append((i, x, x, stamp, stamp and stamp.date(), number, number.quantize(decimal.Decimal("0.01"))))
+    df = spark.createDataFrame(rows, "i int, d double, f float, t timestamp_ntz, day date, n decimal(20,9), m decimal(20,2)")
+    cols = ["d", "f", "t", "day", "n", "m"]
+    got = map_columns(df, {f"{c}_text": c for c in cols}, "i").collect()
+    source = {r["i"]: r for r in df.collect()}
+    for r in got:
+        for c in cols:
+            value = source[r["i"]][c]
+            assert r[f"{c}_text"] == (None if value is None else str(value)), (c, value)
+    utc = spark.createDataFrame([(1, datetime.datetime(2020, 5, 17, 1, 2, 3, 40))], "i int, t timestamp")
+    assert map_columns(utc, {"x": "t"}, "i").first()["x"] == str(utc.first()["t"])
+    with pytest.raises(ValueError, match="cast it to string"):
+        map_columns(spark.createDataFrame([(1, [1])], "i int, a array<int>"), {"x": "a"}, "i")

@@ -6,6 +6,7 @@ import string
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,16 +64,62 @@ def has_text(text: Column) -> Column:
     return text.rlike(rf"[^{WHITESPACE_CLASS}]")
 
 
+def _float_text(value: Column) -> Column:
+    """Shortest digits that read back as the value; the JVM prints others for some."""
+
+    @F.arrow_udf("string")
+    def shortest(values: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else repr(x) for x in values.to_pylist()], pa.string())
+
+    return shortest(value)
+
+
+def _timestamp_text(value: Column) -> Column:
+    """Six digits of a fraction, or none."""
+    fraction = F.date_format(value, "SSSSSS")
+    return F.concat(
+        F.date_format(value, "yyyy-MM-dd HH:mm:ss"),
+        F.when(fraction == "000000", F.lit("")).otherwise(F.concat(F.lit("."), fraction)),
+    )
+
+
+def _decimal_text(value: Column, scale: int) -> Column:
+    """Plain digits, or an exponent where six zeros would follow the point."""
+    plain = value.cast("string")
+    if scale <= 6:
+        return plain
+    # The digits without sign, point and leading zeros; a zero keeps one.
+    digits = F.regexp_replace(F.format_string("%s", F.abs(value).cast("string")), r"[.]", "")
+    digits = F.regexp_replace(F.replace(digits, F.lit("E"), F.lit("")), r"^0+(?=\d)", "")
+    shown = F.concat(
+        F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
+        F.substring(digits, 1, 1),
+        F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 64))).otherwise(F.lit("")),
+        F.lit("E-"),
+        (F.lit(scale + 1) - F.length(digits)).cast("string"),
+    )
+    return F.when(F.length(digits) - 1 - scale < -6, shown).otherwise(plain)
+
+
 def stringify(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as text, written the way Python's ``str()`` writes the value."""
+    """Column ``name`` as text, written the way Python's ``str()`` writes the value.
+
+    Timestamps are shown in the time zone of the session, without its offset.
+    """
     kind = df.schema[name].dataType
     value = column(name)
     if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
         return value
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.NullType)):
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.NullType, T.DateType)):
         return value.cast("string")
     if isinstance(kind, T.BooleanType):
         return F.initcap(value.cast("string"))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return _timestamp_text(value)
+    if isinstance(kind, T.DecimalType):
+        return _decimal_text(value, kind.scale)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return _float_text(value)
     raise ValueError(
         f"column {name!r} is {kind.simpleString()}: Spark would not write it as Python does; "
         "cast it to string first"

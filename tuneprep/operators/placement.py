@@ -130,7 +130,7 @@ def _chosen(df: DataFrame, cols: list[str], number: str | None, wanted: list[tup
     return df.join(F.broadcast(table), same, "left_semi")
 
 
-def _stretch(cuts: Column, n: int, row: Column) -> Column:
+def stretch(cuts: Column, n: int, row: Column) -> Column:
     """``part, start`` of the last cut that is not after the row, by binary descent."""
     steps = F.array(*[F.lit(1 << bit) for bit in range(max(1, n).bit_length() - 1, -1, -1)])
 
@@ -170,7 +170,7 @@ def placed(df: DataFrame, order_col, seed: int | None = None, align: int = 1) ->
     # A scalar subquery of one row: the list reaches every task as a value, not by a join.
     listing = keyed.withColumn("_tp_cuts", known.scalar())
     parts = max(1, stored.count())
-    own = _stretch(F.col("_tp_cuts"), parts, at)
+    own = stretch(F.col("_tp_cuts"), parts, at)
     found = listing.withColumn("_tp_found", own).select(
         *[column(c) for c in keyed.columns],
         F.col("_tp_found.part").alias(PART),

@@ -12,10 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tuneprep.functions.hashing import HOLDOUT, SHUFFLE, SIDE, leading_bits, order_key
-from tuneprep.operators.indexing import index_keys
-from tuneprep.operators.placement import hash_slot, shuffle_partitions
+from tuneprep.operators.placement import hash_slot, shuffle_partitions, stretch
 from tuneprep.runtime import SPLIT, column, materialize, names, temporary_tables
 
 TRAIN, TEST, VALIDATION = "train", "test", "validation"
@@ -115,16 +115,81 @@ def _first_k(
 
 def _before(df: DataFrame, cut: Row, order: list[str]) -> Column:
     """Rows whose order columns come before those of the ``cut`` row."""
-    limit = [F.lit(cut[c]).cast(df.schema[c].dataType).alias(c) for c in order]
-    return F.struct(*[column(c) for c in order]) < F.struct(*limit)
+    keys = df.select(*[column(c) for c in order])
+    return F.struct(*[column(c) for c in order]) < _literal(keys, cut)
 
 
 def _first_k_in_order(df: DataFrame, k: int, order_col) -> Column | None:
     order = names(order_col)
-    cut = index_keys(df, order).filter(F.col("idx") == k).first()
-    if cut is None:
+    cut = nth_row(df, k, order)
+    return None if cut is None else _before(df, cut, order)
+
+
+# Rows of a bracket that are few enough to be collected, and pivots that split a larger one.
+_FEW = 4096
+_PIVOTS = 1024
+
+
+def nth_row(df: DataFrame, k: int, order_col) -> Row | None:
+    """Order columns of the row with ``k`` rows before it; None if there are not that many.
+
+    A bracket around the row is narrowed until it holds a few thousand rows: a sample of it gives
+    pivots, one aggregation counts the rows between them exactly. Every round reads the order columns
+    only and leaves about a thousandth of the rows; nothing is sorted, shuffled or stored but counts.
+    The sample decides how fast the bracket shrinks, never which row is found.
+    """
+    order = names(order_col)
+    keys = df.select(*[column(c) for c in order])
+    by = [column(c) for c in order]
+    key = F.struct(*by)
+    inside, size = keys, keys.count()
+    if k >= size:
         return None
-    return _before(df, cut, order)
+    for seed in range(64):
+        if size <= _FEW:
+            return inside.orderBy(*by).limit(k + 1).collect()[k]
+        share = min(1.0, 2 * _PIVOTS / size)
+        # Twice as many as needed on average; the limit only guards the driver.
+        sampled = inside.sample(share, seed=seed).limit(8 * _PIVOTS).collect()
+        pivots = sorted(set(sampled), key=_nulls_first)
+        pivots = pivots[:: max(1, len(pivots) // _PIVOTS)]
+        if not pivots:
+            continue
+        listed = df.sparkSession.createDataFrame(
+            [(p, i) for i, p in enumerate(pivots)],
+            T.StructType([T.StructField("_tp_at", keys.schema), T.StructField("_tp_start", T.LongType())]),
+        ).agg(F.sort_array(F.collect_list(F.struct("_tp_at", "_tp_start"))).alias("cuts"))
+        placed = inside.withColumn("_tp_cuts", listed.scalar()).select(
+            stretch(F.col("_tp_cuts"), len(pivots), key)["part"].alias("part")
+        )
+        counts = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}
+        part = -1
+        while k >= counts.get(part, 0):
+            k -= counts.get(part, 0)
+            part += 1
+        here = counts[part]
+        if part >= 0:
+            low = _literal(keys, pivots[part])
+            if here == size or here > _FEW:
+                # A key that repeats very often may be all there is: settle it by its own count.
+                same = inside.filter(key == low).count()
+                if k < same:
+                    return pivots[part]
+                inside, k, here = inside.filter(key > low), k - same, here - same
+            else:
+                inside = inside.filter(key >= low)
+        if part + 1 < len(pivots):
+            inside = inside.filter(key < _literal(keys, pivots[part + 1]))
+        size = here
+    raise RuntimeError("no bracket was found")
+
+
+def _nulls_first(row: Row) -> tuple:
+    return tuple((value is not None, value) for value in row)
+
+
+def _literal(keys: DataFrame, row: Row) -> Column:
+    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in keys.schema])
 
 
 def limit_train(
