@@ -226,7 +226,7 @@ def _words_sql(text):
     return f"regexp_extract_all({text}, '[^{WHITESPACE_CLASS}]+')"
 
 
-def _vocabulary_sql(source, text):
+def _vocabulary_sql(source, text, size=VOCABULARY):
     reserved = ", ".join(f"('{t}', {i}, 0)" for i, t in enumerate(tokens.SPECIAL_TOKENS))
     listed = ", ".join(f"'{t}'" for t in tokens.SPECIAL_TOKENS)
     return f"""
@@ -235,7 +235,7 @@ vocab AS (
   FROM (SELECT token, count(*) AS n
         FROM (SELECT unnest({_words_sql(text)}) AS token FROM {source})
         WHERE token NOT IN ({listed})
-        GROUP BY token ORDER BY n DESC, token LIMIT {VOCABULARY})
+        GROUP BY token ORDER BY n DESC, token LIMIT {size})
   UNION ALL SELECT * FROM (VALUES {reserved}) AS reserved(token, token_id, n))"""
 
 
@@ -552,6 +552,20 @@ def encode_whole(spark, sf_dir):
     )
 
 
+def full_vocab(spark, sf_dir):
+    """Every word that occurs."""
+    return tokens.full_vocab(_texts(spark, sf_dir), "text")
+
+
+def encode_all_words(spark, sf_dir):
+    """Every token of every text, looked up among all words there are."""
+    documents = _texts(spark, sf_dir)
+    vocab = tokens.full_vocab(documents, "text")
+    return tokens.encode_by_join(documents, "text", vocab, UNCUT, "doc_id").select(
+        "doc_id", F.size("input_ids").alias("n_tokens"), _joined("input_ids")
+    )
+
+
 def attention_mask(spark, sf_dir):
     encoded, _ = _encoded_exchanges(spark, sf_dir)
     return encoded.select(*TURN, _joined("attention_mask"))
@@ -923,7 +937,7 @@ _QUERIES = (
     prep_report, prep_report_documents, format_template,
     seeded_shuffle, seeded_shuffle_order, limit_train, limit_train_in_order,
     train_test_split, hash_split, choose_eval_split, choose_eval_split_test,
-    build_vocab, encode, encode_whole, attention_mask, completion_start, pad_batch, pad_batch_indexed,
+    build_vocab, full_vocab, encode, encode_whole, encode_all_words, attention_mask, completion_start, pad_batch, pad_batch_indexed,
     completion_labels, completion_labels_mask_padding, with_index, with_index_shuffled,
     with_index_composite,
     token_logprobs, token_logprobs_long, sequence_logprob, sequence_logprob_arrays,
@@ -1173,6 +1187,11 @@ WITH {_TRAIN_DOCUMENTS} SELECT split, doc_id, text FROM documents_t WHERE split
         "encode": f"""
 WITH {_vocabulary_sql('documents', 'text')},{_encoded_sql('documents', 'text', 'doc_id')}
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, {_list_text('ids', 'input_ids')}
+FROM encoded""",
+        "full_vocab": f"WITH {_vocabulary_sql('documents', 'text', 'ALL')} SELECT * FROM vocab",
+        "encode_all_words": f"""
+WITH {_vocabulary_sql('documents', 'text', 'ALL')},{_encoded_sql('documents', 'text', 'doc_id', UNCUT)}
+SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, {_list_text('ids', 'input_ids')}
 FROM encoded""",
         "encode_whole": f"""
 WITH {_vocabulary_sql('documents', 'text')},{_encoded_sql('documents', 'text', 'doc_id', UNCUT)}

@@ -228,3 +228,32 @@ def test_index_and_batches_are_those_of_each_split(spark):
         assert (r["batch_id"], r["pos_in_batch"]) == (place // 4, place % 4)
         batch = own[r["split"]][place // 4 * 4 : place // 4 * 4 + 4]
         assert len(r["input_ids"]) == max(len(x[2]) for x in batch)
+
+
+@pytest.mark.parametrize("max_len", [0, 1, 3, 1 << 20])
+@pytest.mark.parametrize("bos", [None, 2])
+def test_encoding_by_join_equals_encoding_by_worker(spark, corpus, max_len, bos):
+    """Whole vocabularies and short ones, empty and null texts, batches of two rows."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        for vocab in (tokens.full_vocab(corpus, "t"), tokens.build_vocab(corpus, "t", 2)):
+            encoder = tokens.WordEncoder(vocab)
+            wanted = tokens.encode(corpus, "t", encoder, max_len, "i", bos)
+            got = tokens.encode_by_join(corpus, "t", vocab, max_len, "i", bos)
+            assert got.columns == wanted.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+        kept = tokens.encode_by_join(corpus, "t", vocab, 5, "i", keep=["t"])
+        assert kept.columns == ["i", "t", "input_ids", "attention_mask"]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_full_vocabulary_ranks_every_token(spark, corpus):
+    whole = [tuple(r) for r in tokens.full_vocab(corpus, "t").orderBy("token_id").collect()]
+    assert whole == [tuple(r) for r in tokens.build_vocab(corpus, "t", 10_000).orderBy("token_id").collect()]
+    empty = tokens.full_vocab(corpus.limit(0), "t").collect()
+    assert [r["token"] for r in empty] == list(tokens.SPECIAL_TOKENS)
+    twice = tokens.full_vocab(corpus, "t").union(spark.createDataFrame([(whole[5][0], 99, 1)], "token string, token_id int, n bigint"))
+    with pytest.raises(Exception, match="lists a token twice"):
+        tokens.encode_by_join(corpus, "t", twice, 9, "i").collect()

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tuneprep.functions.binding import bind
 from tuneprep.functions.sequences import attention_mask, keep_first
+from tuneprep.operators.indexing import index_keys
 from tuneprep.operators.mapping import carried_columns
-from tuneprep.runtime import column, ship_package
+from tuneprep.runtime import column, materialize, ship_package
 
 # Reserved ids 0..3, in this order.
 SPECIAL_TOKENS = ("<pad>", "<unk>", "<bos>", "<eos>")
 PAD_ID, UNK_ID, BOS_ID, EOS_ID = range(4)
 
-# A vocabulary travels to every worker, so its size is limited and checked.
+# A vocabulary that travels to every worker is limited and checked; larger ones are joined.
 MAX_VOCABULARY = 1_000_000
 
 Encoder = Callable[[pa.Array], pa.Array]
@@ -36,6 +40,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _token_counts(df: DataFrame, text_col: str) -> DataFrame:
+    return (
+        df.select(column(text_col))
+        .mapInArrow(_count_words, "token string, n bigint")
+        .filter(~F.col("token").isin("", *SPECIAL_TOKENS))
+        .groupBy("token")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
+def _with_reserved(ranked: DataFrame) -> DataFrame:
+    entries = [
+        F.struct(F.lit(token).alias("token"), F.lit(i).alias("token_id"), F.lit(0).cast("bigint").alias("n"))
+        for i, token in enumerate(SPECIAL_TOKENS)
+    ]
+    reserved = ranked.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
+    return reserved.union(ranked)
+
+
 def build_vocab(df: DataFrame, text_col: str, size: int) -> DataFrame:
     """``token, token_id, n`` of the ``size`` most frequent tokens, after the reserved ones.
 
@@ -46,26 +69,28 @@ def build_vocab(df: DataFrame, text_col: str, size: int) -> DataFrame:
     if not 0 < size <= MAX_VOCABULARY:
         raise ValueError(f"size must be in 1..{MAX_VOCABULARY}, got {size}")
     ship_package(df.sparkSession)
-    top = (
-        df.select(column(text_col))
-        .mapInArrow(_count_words, "token string, n bigint")
-        .filter(~F.col("token").isin("", *SPECIAL_TOKENS))
-        .groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "token")
-        .limit(size)
-    )
+    top = _token_counts(df, text_col).orderBy(F.desc("n"), "token").limit(size)
     # At most ``size`` rows are left to number.
     by_rank = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "token")
     ranked = top.select(
         "token", (F.row_number().over(by_rank) + len(SPECIAL_TOKENS) - 1).alias("token_id"), "n"
     )
-    entries = [
-        F.struct(F.lit(token).alias("token"), F.lit(i).alias("token_id"), F.lit(0).cast("bigint").alias("n"))
-        for i, token in enumerate(SPECIAL_TOKENS)
-    ]
-    reserved = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
-    return reserved.union(ranked)
+    return _with_reserved(ranked)
+
+
+def full_vocab(df: DataFrame, text_col: str) -> DataFrame:
+    """``build_vocab`` of every token that occurs, however many there are, stored.
+
+    The ranks come from a distributed sort of the counts, not from one task. For ``encode_by_join``.
+    """
+    ship_package(df.sparkSession)
+    counts = _token_counts(df, text_col).withColumn("_tp_less", -F.col("n"))
+    ranked = index_keys(counts, ["_tp_less", "token"], index_col="token_id").select(
+        "token",
+        (F.col("token_id") + len(SPECIAL_TOKENS)).cast("int").alias("token_id"),
+        (-F.col("_tp_less")).alias("n"),
+    )
+    return _with_reserved(ranked)
 
 
 class WordEncoder:
@@ -135,6 +160,96 @@ def encode(
     )
 
 
+def _packer(identity: list[str], most: int):
+    """Rows of an Arrow batch as numbers within it, and one row with the batch's distinct words."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = _split(batch.column(batch.num_columns - 1))
+            flat = pc.list_flatten(words)
+            first = pc.list_element(words, 0)
+            counts = pc.if_else(pc.equal(first, ""), 0, pc.list_value_length(words))
+            coded = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
+            offsets = pa.concat_arrays(
+                [pa.array([0], pa.int32()), pc.cumulative_sum(pc.cast(counts, pa.int32()))]
+            )
+            local = pc.list_slice(pa.ListArray.from_arrays(offsets, coded.indices), 0, most)
+            n, listed = batch.num_rows, pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string()))
+            columns = [
+                pa.concat_arrays([column_, pa.nulls(1, column_.type)])
+                for column_ in batch.columns[: len(identity)]
+            ]
+            columns += [
+                pa.array([uuid.uuid4().hex] * (n + 1), pa.string()),
+                pa.concat_arrays([local.cast(pa.list_(pa.int32())), pa.nulls(1, pa.list_(pa.int32()))]),
+                pa.concat_arrays([pa.nulls(n, listed.type), listed]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [*identity, "_tp_batch", "_tp_local", "_tp_words"])
+
+    return pack
+
+
+def encode_by_join(
+    df: DataFrame,
+    text_col: str,
+    vocab: DataFrame,
+    max_len: int,
+    order_col,
+    bos_id: int | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``encode`` with a vocabulary of any size: it is looked up by a join, not sent to the workers.
+
+    One pass over the texts numbers the words of each Arrow batch and stores the numbers next to one
+    list of distinct words per batch. The words of all lists are joined with the vocabulary on the
+    word, where a frequent word has one row for each batch and not for each time it occurs. The ids
+    go back to their batch and are put in place of its numbers. What is shuffled is distinct words
+    and, once, the cut token arrays. Unknown words are ``<unk>``; a word that the vocabulary lists
+    twice is an error.
+    """
+    ship_package(df.sparkSession)
+    identity = [*carried_columns(df, order_col), *keep]
+    room = max(0, max_len - (0 if bos_id is None else 1))
+    source = df.select(*[column(c) for c in identity], column(text_col).cast("string").alias("_tp_text"))
+    schema = T.StructType(
+        [T.StructField(f.name, f.dataType) for f in source.schema if f.name != "_tp_text"]
+        + [
+            T.StructField("_tp_batch", T.StringType()),
+            T.StructField("_tp_local", T.ArrayType(T.IntegerType())),
+            T.StructField("_tp_words", T.ArrayType(T.StringType())),
+        ]
+    )
+    packed = materialize(source.mapInArrow(_packer(identity, max(1, room)), schema), "packed-words")
+    asked = packed.filter(F.col("_tp_words").isNotNull()).select(
+        "_tp_batch", F.posexplode("_tp_words").alias("_tp_at", "token")
+    )
+    found = asked.join(vocab.select("token", "token_id"), "token", "left").select(
+        "_tp_batch", F.struct("_tp_at", F.coalesce("token_id", F.lit(UNK_ID)).cast("int").alias("id")).alias("hit")
+    )
+    # As many entries as a batch has distinct words.
+    listed = found.groupBy("_tp_batch").agg(
+        F.sort_array(F.collect_list("hit")).alias("hits"), F.max("hit._tp_at").alias("last")
+    )
+    once = F.when(F.size("hits") == F.col("last") + 1, F.col("hits.id")).otherwise(
+        F.raise_error(F.lit("the vocabulary lists a token twice")).cast("array<int>")
+    )
+    answers = listed.select("_tp_batch", once.alias("_tp_ids"))
+    rows = packed.filter(F.col("_tp_local").isNotNull()).join(answers, "_tp_batch", "left")
+    ids = bind(
+        {"local": F.col("_tp_local"), "ids": F.col("_tp_ids")},
+        lambda get: F.transform(get("local"), lambda i: F.get(get("ids"), i)),
+    )
+    if room == 0:
+        ids = F.array().cast("array<int>")
+    if bos_id is not None:
+        ids = F.concat(F.array(F.lit(bos_id)), ids)
+    return rows.select(
+        *[column(c) for c in identity], keep_first(ids, max_len).alias("input_ids")
+    ).withColumn("attention_mask", attention_mask(F.col("input_ids")))
+
+
 def encode_columns(df: DataFrame, text_cols, encoder: Encoder, order_col) -> DataFrame:
     """``<name>_ids`` for several text columns of a row, uncut, next to the row identity."""
     token_ids = _token_ids(df, encoder)
