@@ -76,3 +76,14 @@ def test_rows_with_letters_stay_when_nothing_can_be_learned(spark):
 def test_a_label_und_is_a_language(spark):
     df = spark.createDataFrame([(i, "some text", "und", "s", 0) for i in range(9)], SCHEMA)
     assert langid.drop_undetermined(df).count() == 9
+
+
+def test_repeated_ids_give_the_same_model_twice(spark):
+    """More rows than the sample holds, under few ids."""
+    own = [(i % 9, text, lang, None, None) for i, text, lang, *_ in rows(300)]
+    models = [
+        langid.train(spark.createDataFrame(own, SCHEMA).repartition(n), sample_rows=50) for n in (1, 6)
+    ]
+    first, second = models
+    assert first.families == second.families and (first.mean == second.mean).all()
+    assert all((first.pair_weights[f] == second.pair_weights[f]).all() for f in first.pair_weights)

@@ -22,6 +22,7 @@ from tuneprep.runtime import column
 
 UNDETERMINED = "und"
 FOLDS = 5
+_SHARES = 64
 SAMPLE_ROWS = 3000
 SLOTS = 1 << 13
 
@@ -153,19 +154,21 @@ def fit(rows: list[tuple[str, np.ndarray]], families: Mapping[str, tuple] = FAMI
 
 def _sample_features(batches):
     for batch in batches:
-        langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        found = [(lang, features(t)) for lang, t in zip(langs, texts, strict=True)]
-        found = [(lang, x) for lang, x in found if x is not None]
+        columns = [c.to_pylist() for c in batch.columns]
+        found = [(place, lang, features(t)) for place, lang, t in zip(*columns, strict=True)]
+        found = [row for row in found if row[2] is not None]
+        drawn, found = [row[0] for row in found], [row[1:] for row in found]
         places = [np.flatnonzero(x).astype("<u2") for _, x in found]
         yield pa.RecordBatch.from_arrays(
             [
+                pa.array(drawn, pa.int64()),
                 pa.array([lang for lang, _ in found], pa.string()),
                 pa.array([p.tobytes() for p in places], pa.binary()),
                 pa.array(
                     [x[p].tobytes() for (_, x), p in zip(found, places, strict=True)], pa.binary()
                 ),
             ],
-            ["lang", "places", "amounts"],
+            ["drawn", "lang", "places", "amounts"],
         )
 
 
@@ -195,18 +198,29 @@ def train(
     if not languages:
         return Model()
     quota = max(1, sample_rows // languages)
-    by_hash = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
+    # The first of each salted share, then the first of those: no task ranks a whole language.
+    by_hash = [F.xxhash64("_id"), F.col("_id")]
+    share = F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(_SHARES))
     chosen = (
-        narrow.withColumn("_place", F.row_number().over(by_hash))
+        narrow.withColumn("_share", share)
+        .withColumn("_place", F.row_number().over(Window.partitionBy("_lang", "_share").orderBy(*by_hash)))
+        .filter(F.col("_place") <= quota)
+        .withColumn("_place", F.row_number().over(Window.partitionBy("_lang").orderBy(*by_hash)))
         .filter(F.col("_place") <= quota)
         .select("_id")
         .distinct()
     )
     sample = (
         learnable.join(F.broadcast(chosen), column(id_col) == F.col("_id"), "left_semi")
-        .select(column(lang_col).alias("lang"), column(text_col).alias("text"))
-        .mapInArrow(_sample_features, "lang string, places binary, amounts binary")
+        .select(
+            F.xxhash64(column(id_col), column(text_col)).alias("drawn"),
+            column(lang_col).alias("lang"),
+            column(text_col).alias("text"),
+        )
+        .mapInArrow(_sample_features, "drawn long, lang string, places binary, amounts binary")
+        .orderBy("drawn", "lang")  # repeated ids may be more rows than the bound
         .limit(max(sample_rows, languages))
+        .drop("drawn")
     )
     rows = []
     for row in sorted(sample.collect()):

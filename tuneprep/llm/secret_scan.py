@@ -11,6 +11,7 @@ out any label but outside whatever the neighbours are, Viterbi's path is known a
 from __future__ import annotations
 
 import hashlib
+import heapq
 import random
 import re
 import zlib
@@ -20,6 +21,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 _CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
+#: Bounds of the labelled sample that the model is fitted on: documents, and windows in all.
 SAMPLE_ROWS = 2000
+SAMPLE_WINDOWS = 3000
 WINDOW = 16
 REDACTED = "[SECRET]"
 
@@ -339,8 +343,33 @@ def _drawn_secret(rng: random.Random) -> str:
     return rng.choice(("", "", "sk_", "ghp_", "xox-")) + value[:-1] + str(rng.randint(0, 9))
 
 
-def _windows(text: str, rng: random.Random):
-    """Training windows of a text: (tokens with 3 before and 1 after, labels, text features)."""
+def _look_alike(rng: random.Random) -> str:
+    """What has digits and marks as secrets have, and is none: an address, version, date, path, UUID."""
+    number = lambda top: str(rng.randrange(top))
+    word = lambda: "".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(3, 8)))
+    kind = rng.randrange(8)
+    if kind == 0:
+        return ".".join(number(256) for _ in range(4))
+    if kind == 1:
+        return "v" * rng.randint(0, 1) + ".".join(number(40) for _ in range(rng.randint(2, 4)))
+    if kind == 2:
+        return f"{rng.randint(1990, 2040)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"
+    if kind == 3:
+        return f"{rng.randrange(24):02d}:{rng.randrange(60):02d}:{rng.randrange(60):02d}.{number(1000)}"
+    if kind == 4:
+        return "/".join(["", *[word() + number(10) * rng.randint(0, 1) for _ in range(rng.randint(2, 6))]])
+    if kind == 5:
+        return "-".join("".join(rng.choices("0123456789abcdef", k=k)) for k in (8, 4, 4, 4, 12))
+    if kind == 6:
+        return f"+{number(99)}-{number(999)}-{rng.randrange(10**6, 10**8)}"
+    return f"https://www.{word()}.com/{word()}/{number(10**6)}?page={number(50)}"
+
+
+def _windows(text: str, rng: random.Random, most: int):
+    """Training windows of a text: (tokens with 3 before and 1 after, labels, text features).
+
+    One for each find; of more than ``most``, those with the smallest hash of their place.
+    """
     spans = _secret_parts(text)
     matches = list(_TOKEN.finditer(text))
     if not matches:
@@ -359,38 +388,51 @@ def _windows(text: str, rng: random.Random):
         low = max(0, at - WINDOW)
         own, tags = tokens[low : at + WINDOW], labels[low : at + WINDOW]
         yield own, tags, whole
-        if rng.random() < 0.5:
-            cue = rng.choice(("key", "password", "secret", "token", "auth", "pwd", "credential", "bearer"))
-            secret = _TOKEN.findall(_drawn_secret(rng))
-            put = [cue, rng.choice("=:"), *([rng.choice("\"'")] * rng.randint(0, 1))]
+        cue = rng.choice(("key", "password", "secret", "token", "auth", "pwd", "credential", "bearer"))
+        put = [cue, rng.choice("=:"), *([rng.choice("\"'")] * rng.randint(0, 1))]
+        for before, value, secret in (
+            (put, _drawn_secret(rng), True),
+            ([], _drawn_secret(rng), True),
+            ([], _look_alike(rng), False),
+            ([], _look_alike(rng), False),
+        ):
+            if rng.random() < 0.5:
+                continue
+            found = _TOKEN.findall(value)
+            marks = [_BEGIN] + [_INSIDE] * (len(found) - 1) if secret else [_OUTSIDE] * len(found)
             k = rng.randint(0, len(own))
             yield (
-                own[:k] + put + secret + own[k:],
-                tags[:k]
-                + [_OUTSIDE] * len(put)
-                + [_BEGIN]
-                + [_INSIDE] * (len(secret) - 1)
-                + tags[k:],
+                own[:k] + before + found + own[k:],
+                tags[:k] + [_OUTSIDE] * len(before) + marks + tags[k:],
                 whole,
             )
-    for at in centres[:20]:
+    if len(centres) > most:
+        centres = heapq.nsmallest(most, centres, key=lambda at: zlib.crc32(b"%d" % at))
+    for at in centres:
         low = max(0, at - WINDOW)
         yield tokens[low : at + WINDOW], labels[low : at + WINDOW], whole
 
 
-def _window_rows(batches):
-    for batch in batches:
-        rows = []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            rng = random.Random(int(key))
-            for tokens, tags, whole in _windows(text, rng):
-                slots = np.array([token_features(t) for t in tokens], "<i8")
-                rows.append((key, slots.tobytes(), bytes(tags), list(whole)))
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
-            ["key", "slots", "tags", "whole"],
-        )
+def _window_rows(most: int):
+    """``place, key, slots, tags, whole``: windows, and the hash by which a sample of them is drawn."""
+
+    def windows(batches):
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rng = random.Random(int(key))
+                own = xxhash.xxh64_intdigest(text, int(key) & (1 << 64) - 1)
+                for i, (tokens, tags, whole) in enumerate(_windows(text, rng, most)):
+                    slots = np.array([token_features(t) for t in tokens], "<i8")
+                    place = xxhash.xxh64_intdigest(b"%d:%d" % (own, i)) >> 1
+                    rows.append((place, key, slots.tobytes(), bytes(tags), list(whole)))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                ["place", "key", "slots", "tags", "whole"],
+            )
+
+    return windows
 
 
 def fit(windows: list[tuple[bytes, bytes, list[int]]], steps: int = 40, penalty: float = 1e-4) -> Model:
@@ -476,11 +518,17 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def train(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sample_rows: int = SAMPLE_ROWS,
+    sample_windows: int = SAMPLE_WINDOWS,
 ) -> Model:
-    """Fit on the ``sample_rows`` documents with the smallest hash of id; without finds, no model.
+    """Fit on windows of the documents with the ``sample_rows`` smallest hashes of id; without finds, no model.
 
-    Hashes decide on narrow columns first; only the texts chosen are read whole.
+    Hashes decide on narrow columns first. The texts chosen stay where they are: windows are cut from
+    them there, and the ``sample_windows`` with the smallest hash of (id, text, place) are collected,
+    the same at each run, also if ids repeat.
     """
     prepare_workers(docs.sparkSession)
     hashed = F.xxhash64(column(id_col))
@@ -489,8 +537,11 @@ def train(
     rows = (
         with_text.select(hashed.alias("_hash"), column(text_col).alias("_text"))
         .join(F.broadcast(chosen), "_hash", "left_semi")
-        .limit(sample_rows)
-        .mapInArrow(_window_rows, "key long, slots binary, tags binary, whole array<long>")
+        .mapInArrow(
+            _window_rows(sample_windows), "place long, key long, slots binary, tags binary, whole array<long>"
+        )
+        .orderBy("place", "key")
+        .limit(sample_windows)
         .collect()
     )
     ordered = sorted((r.key, bytes(r.slots), bytes(r.tags), list(r.whole)) for r in rows)
