@@ -14,13 +14,12 @@ def brute(rows, k=20, every=20):
         for i, v in rows
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v)
     ]
-    queries = {}
-    for i, v in ok:
-        if i % every == 0:
-            queries[i] = min(v, queries.get(i, v))
     out = []
-    for q, v in queries.items():
-        scores = [(-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in ok if i != q and len(w) == len(v)]
+    for row, (q, v) in enumerate(ok):  # every row is a query, and a candidate of all others
+        if q % every:
+            continue
+        others = [(i, w) for other, (i, w) in enumerate(ok) if other != row and len(w) == len(v)]
+        scores = [(-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in others]
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k])]
     return sorted(out)
 
@@ -61,3 +60,10 @@ def test_search_of_a_tree_of_many_pages(scale):
 
 def test_empty_table(spark):
     assert mtree.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(20, [1.0, 0.0]), (20, [2.0, 0.0]), (21, [1.0, 1.0])]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
+    got = sorted(map(tuple, mtree.top_k(df).collect()))
+    assert got == brute(rows) and len(got) == 4

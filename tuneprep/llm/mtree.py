@@ -102,8 +102,12 @@ class _Best:
         self.waiting, self.size = [], 0
 
 
-def search(x, ids, queries, query_ids, k: int = K):
-    """(query row, score, id) of the ``k`` best rows of ``x`` for each query, its own id left out."""
+def search(x, ids, queries, own_numbers, k: int = K, numbers=None):
+    """(query row, score, id) of the ``k`` best rows of ``x`` for each query, its own row left out.
+
+    That is the row whose number (of ``numbers``, else of ``ids``) is the query's own.
+    """
+    numbers = ids if numbers is None else numbers
     most = max(1, int(np.abs(x).max(initial=0))) * max(1, int(np.abs(queries).max(initial=0))) * x.shape[1]
     exact = most < _EXACT
     xs, qs = (x.astype(np.float64), queries.astype(np.float64))
@@ -145,7 +149,7 @@ def search(x, ids, queries, query_ids, k: int = K):
             if np.abs(scores).max() >= 1 << 63:
                 raise OverflowError("an inner product exceeds 64 bits")
             scores = scores.astype(np.int64)
-        own = ids[rows][None, :] == query_ids[active][:, None]
+        own = numbers[rows][None, :] == own_numbers[active][:, None]
         bar = best.bar[active][:, None]
         if len(rows) > k + 1:  # beyond the k + 1 best of a page, none is among the k best
             bar = np.maximum(bar, np.partition(scores, len(rows) - k - 1, axis=1)[:, [-k - 1]])
@@ -165,15 +169,15 @@ def _matrix(lists) -> np.ndarray:
 
 def _search_cell(k):
     def run(key, part: pa.Table, block: pa.Table) -> pa.Table:
-        query = score = ids = np.zeros(0, np.int64)
+        query = score = ids = query_ids = np.zeros(0, np.int64)
         if part.num_rows and block.num_rows:
-            query_ids = block.column("query_id").to_numpy()
-            query, score, ids = search(
+            own = block.column("query_row").to_numpy()
+            at, score, ids = search(
                 _matrix(part.column("v")), part.column("id").to_numpy(),
-                _matrix(block.column("v")), query_ids, k,
+                _matrix(block.column("v")), own, k, part.column("row").to_numpy(),
             )
-            query = query_ids[query]
-        return pa.table({"query_id": query, "vec_id": ids, "score": score})
+            query, query_ids = own[at], block.column("query_id").to_numpy()[at]
+        return pa.table({"query_row": query, "query_id": query_ids, "vec_id": ids, "score": score})
 
     return run
 
@@ -208,11 +212,11 @@ def top_k(
     """``query_id, rank, vec_id, score``: the ``k`` largest integer inner products of each query.
 
     Components become floor(scale * x). Queries are the rows whose id is divisible by
-    ``query_every``; candidates are the rows with another id and a vector of the same length (all,
-    if fewer than ``k``); ties go to the smaller id. Rows without id take no part, nor do vectors
-    that are null, empty, or hold a null or a non-finite number. A repeated row is a candidate each
-    time; of queries with the same id the smallest vector counts. An empty table gives no rows, and
-    other columns are not read. Products beyond 64 bits are an error.
+    ``query_every``, each a query of its own though its id may repeat; candidates are all rows but the
+    query's own with a vector of the same length (all, if fewer than ``k``); ties go to the smaller
+    id. Rows without id take no part, nor do vectors that are null, empty, or hold a null or a
+    non-finite number. An empty table gives no rows, and other columns are not read. Products beyond
+    64 bits are an error.
     """
     prepare_workers(rows.sparkSession)
     v = column(vector_col).cast("array<double>")
@@ -225,7 +229,8 @@ def top_k(
             column(id_col).cast("long").alias("id"),
             F.transform(v, lambda x: F.floor(x * scale).cast("long")).alias("v"),
         )
-        .withColumn("dim", F.size("v")),
+        .withColumn("dim", F.size("v"))
+        .withColumn("row", F.monotonically_increasing_id()),  # stored, so it stays with its row
         "search-vectors",
     )
     sample = usable.orderBy(F.xxhash64("id"), "v").limit(routes).select("dim", "v").collect()
@@ -239,16 +244,13 @@ def top_k(
         .count()
         .select("dim", "route", F.ceil(F.col("count") / part).cast("int").alias("parts"))
     )
-    queries = (
-        usable.filter(F.col("id") % query_every == 0)
-        .groupBy(F.col("id").alias("query_id"))
-        .agg(F.min("v").alias("v"))
-        .withColumn("dim", F.size("v"))
+    queries = usable.filter(F.col("id") % query_every == 0).select(
+        F.col("row").alias("query_row"), F.col("id").alias("query_id"), "v", "dim"
     )
     blocks = queries.groupBy("dim").count().select(
         "dim", F.ceil(F.col("count") / block).cast("int").alias("blocks")
     )
-    hashed = F.xxhash64("id")
+    hashed = F.xxhash64("row")
     cells = (
         routed.join(parts, ["dim", "route"])
         .join(blocks, "dim")
@@ -257,32 +259,34 @@ def top_k(
             "route",
             F.pmod(hashed, F.col("parts")).cast("int").alias("part"),
             F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+            "row",
             "id",
             "v",
         )
     )
     asked = (
         queries.join(blocks, "dim")
-        .withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("query_row"), F.col("blocks")).cast("int"))
         .join(parts, "dim")
         .select(
             "dim",
             "route",
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
             "block",
+            "query_row",
             "query_id",
             "v",
         )
     )
     keys = ["dim", "route", "part", "block"]
     # Fresh names, as both sides come from the same columns.
-    asked = asked.toDF(*[f"asked_{c}" for c in keys], "query_id", "v")
+    asked = asked.toDF(*[f"asked_{c}" for c in keys], "query_row", "query_id", "v")
     found = (
         cells.groupBy(*keys)
         .cogroup(asked.groupBy(*[f"asked_{c}" for c in keys]))
-        .applyInArrow(_search_cell(k), "query_id long, vec_id long, score long")
+        .applyInArrow(_search_cell(k), "query_row long, query_id long, vec_id long, score long")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
@@ -296,17 +300,17 @@ def op5_mtree(spark, sf_dir):
 
 
 OP5_SQL = f"""
-WITH usable AS (
-  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(x * {SCALE}) AS BIGINT)) AS v
+WITH usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(x * {SCALE}) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.row, q.vec_id AS query_id, c.vec_id,
     CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  FROM usable q JOIN usable c ON q.row <> c.row AND len(q.v) = len(c.v)
   WHERE q.vec_id % {QUERY_EVERY} = 0),
 ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {K}"""
