@@ -53,6 +53,7 @@ def worker_state(kind: str, shared, build):
     key = (kind, id(shared.value))
     if key not in _worker_state:
         _worker_state.clear()
+        pa.default_memory_pool().release_unused()  # what the batches of an earlier stage left over
         _worker_state[key] = build(shared.value)
     return _worker_state[key]
 

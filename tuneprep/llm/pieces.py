@@ -31,7 +31,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁"
 _SEGMENT = re.compile(f"{_MARK}*[^{_MARK}\n]+|{_MARK}+|\n")
 _PROBES = ("", " ", "  a  b ", "x\ty\n\nz", "é①ﬁ", "The quick brown fox, 12345!")
-_KEPT = 150_000
+_KEPT = 75_000
 _TEXT_CHUNK = 1 << 20
 _CACHE_BITS = 20
 _NEVER = np.iinfo(np.int64).max
