@@ -62,7 +62,7 @@ def documents():
     return rows + [(3, "a b c"), (3, "a b c"), (None, "a new word"), (400, None), (401, ""), (402, "b " * 3000)]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_scores_are_those_of_a_traversal_by_hand(spark, order, monkeypatch):
     rows = documents()
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA).repartition(3)
@@ -100,12 +100,50 @@ def test_chunks_change_nothing(monkeypatch):
     assert lengths == [len(tokens(t)) for _, t in rows]
 
 
-def test_probabilities_of_a_context_sum_to_one():
+def chunk_of(texts, hold):
+    """A chunk with its n-grams as counted by itself alone."""
     import numpy as np
 
-    base = np.array([0.5, 0.3, 0.2])
-    log = ngram_lm.traverse(base, [np.array([4, 0, 1])], [np.array([5, 5, 5])], 2.0)
-    assert np.exp(log).sum() == pytest.approx(1)
+    words = ["\n", *sorted({w for t in texts for w in tokens(t)[:-1]})]
+    flat = [words.index(w) for t in texts for w in tokens(t)]
+    lengths = np.array([len(tokens(t)) for t in texts])
+    hashes = np.array([zlib.crc32(w.encode()) + 7 for w in words], np.uint64)
+    chunk = ngram_lm.Chunk(hashes, np.array(flat, np.int32), lengths, np.array(hold))
+    grams = []
+    for own in chunk.grams(3):
+        keys, places, number = np.unique(own, return_index=True, return_inverse=True)
+        grams.append((np.bincount(number[chunk.trained], minlength=len(keys)), places, number))
+    known = grams[0][0]
+    return chunk, ngram_lm.Automaton(chunk, grams, int(known.sum()), int((known > 0).sum()), 2.0)
+
+
+def test_probabilities_of_every_state_sum_to_one():
+    import numpy as np
+
+    # One word of the held-out text is unknown: its probability is that of all unknown words.
+    chunk, model = chunk_of(["a b c a b", "b c", "", "c a b d"], [False, False, False, False])
+    held, model_held = chunk_of(["a b c a b", "b c", "", "c a b new"], [False, False, False, True])
+    tokens = np.arange(model_held.words)
+    for state in np.unique(model_held.targets):
+        log, _ = model_held.step(np.full(len(tokens), state), tokens)
+        assert np.exp(log).sum() == pytest.approx(1)
+    # Without an unknown word the share of one is missing.
+    log, _ = model.step(np.zeros(model.words, np.int64), np.arange(model.words))
+    assert np.exp(log).sum() < 1
+
+
+def test_lanes_change_nothing():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdef", k=rng.choice([0, 1, 2, 3, 40]))) for _ in range(40)]
+    chunk, model = chunk_of(texts, [i % 5 == 0 for i in range(len(texts))])
+    want = model.walk(chunk, lanes=1)
+    for lanes in (2, 3, 7, 50, 10_000):
+        assert model.walk(chunk, lanes=lanes) == pytest.approx(want, abs=0)
+
+
+def test_hash_ranges_grow_with_the_tokens():
+    assert ngram_lm.hash_ranges(0) == ngram_lm.BUCKETS
+    assert ngram_lm.hash_ranges(1 << 40) == (1 << 40) // ngram_lm.BUCKET_GRAMS
 
 
 def test_empty_table(spark):

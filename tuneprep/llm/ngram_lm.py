@@ -4,14 +4,16 @@ The model is an n-gram model over words with Dirichlet smoothing: with counts c
 tokens, P(w | h) = (c(hw) + m P(w | h')) / (c(h) + m), where h' is h without its first word and the
 last P is that of the base, (c(w) + 0.1) / (N + 0.1 (V + 1)). As an automaton: every context h that
 occurs is a state, every n-gram that occurs is an arc with its probability, and a failure arc with
-weight m / (c(h) + m) leads from h to h'. A text is read once from left to right; each token is
-taken by the arc of the deepest state that has one, after the failure arcs down to it.
+weight m / (c(h) + m) leads from h to h'. A text is read once from left to right, a state carried from
+token to token: failure arcs lead down to a state with an arc for the token, that arc leads to the
+next state, and the log-probabilities of all arcs taken add up.
 
 Neither the vocabulary nor the n-grams fit a broadcast, so the automaton stays distributed. The
 documents become chunks of token numbers, at most ``CHUNK`` tokens each. A chunk sends the distinct
 n-grams it has, once each with its own counts and packed by ranges of their hash, to be summed; the
-sums come back in the same order, so they need no keys. Then the chunk holds all states and arcs its
-own texts can meet, and is traversed. Frequent n-grams are one entry per chunk, never a hot key.
+sums come back in the same order, so they need no keys, less what the chunk counted itself. Then the states,
+arcs and failure arcs that the texts of the chunk can meet are built, and its texts are walked.
+Frequent n-grams are one entry per chunk, never a hot key.
 
 N-grams are known by 64-bit hashes. With V n-grams the chance that any two collide is about
 V**2 / 2**65.
@@ -31,11 +33,16 @@ from pyspark.sql import functions as F
 from tuneprep.llm.common import as_bytes, id_remainder, prepare_workers, table
 from tuneprep.runtime import column, materialize
 
-ORDER = 2
+ORDER = 3
 STRENGTH = 100.0
 FOLDS = 10
+#: Hash ranges are at least so many, and as many more as keep their n-grams of one order, each counted
+#: once per chunk, at about ``BUCKET_GRAMS``.
 BUCKETS = 128
+BUCKET_GRAMS = 1 << 21
 CHUNK = 1 << 20
+#: Stretches of a chunk walked side by side.
+LANES = 4096
 
 _END = b"\n"  # no word has white space
 _EXTRA = 0.1
@@ -187,13 +194,17 @@ def _requests(order, buckets):
 
 
 def _sum_bucket(rows: pa.Table) -> pa.Table:
-    """Totals of one hash range and order, sent back to each chunk in the order of its request."""
+    """Sums of one hash range and order, sent back to each chunk in the order of its request.
+
+    A chunk gets what the others counted: mostly zeros, which compress, for n-grams that occur once.
+    """
     packed = [np.cumsum(_unpack(x.as_py(), np.uint64), dtype=np.uint64) for x in rows.column("keys")]
     counts = np.concatenate([_unpack(x.as_py(), np.uint32) for x in rows.column("counts")])
     sizes = [len(x) for x in packed]
     distinct, back = np.unique(np.concatenate(packed), return_inverse=True)
     totals = np.bincount(back, counts, len(distinct)).astype(np.int64)
-    answers = np.split(totals[back], np.cumsum(sizes)[:-1])
+    others = totals[back] - counts
+    answers = np.split(others, np.cumsum(sizes)[:-1])
     first = [1] + [0] * (len(sizes) - 1)
     unigram = rows.column("k")[0].as_py() == 0
     return pa.table(
@@ -201,27 +212,99 @@ def _sum_bucket(rows: pa.Table) -> pa.Table:
             "bucket": rows.column("bucket"),
             "chunk_id": rows.column("chunk_id"),
             "k": rows.column("k"),
-            "totals": pa.array([_pack_counts(x) for x in answers], pa.binary()),
+            "others": pa.array([_pack_counts(x) for x in answers], pa.binary()),
             "n_tokens": pa.array([x * unigram * int(totals.sum()) for x in first], pa.int64()),
             "n_types": pa.array([x * unigram * int((totals > 0).sum()) for x in first], pa.int64()),
         }
     )
 
 
-def traverse(base, arcs, states, strength) -> np.ndarray:
-    """Natural log-probability of every token.
+class Automaton:
+    """States, arcs and failure arcs of the n-grams that the texts of a chunk can meet.
 
-    ``base`` are the probabilities at the root; ``arcs[k]`` and ``states[k]`` are, for each token,
-    the counts of the (k + 2)-gram that ends there and of the context before it. Going up from the
-    root, a state that has an arc for the token gives its probability; one that lacks it is left by
-    its failure arc; a context that never occurs is no state, and the traversal is at a lower one.
+    State 0 is the root, states 1 .. order - 1 are the contexts of so many ends, with which a text
+    starts, then come the n-grams of the chunk by length. Arcs are sorted by (state, token).
+    ``grams[k - 1]`` are the training counts of the distinct k-grams, a place where each ends, and
+    the number of the k-gram that ends at each token.
     """
-    log = np.log(base)
-    for arc, state in zip(arcs, states, strict=True):
-        fail = np.log(strength / (state + strength))
-        taken = np.log((arc + strength * np.exp(log)) / (state + strength))
-        log = np.where(arc > 0, taken, log + fail)
-    return log
+
+    def __init__(self, chunk: Chunk, grams: list, n_tokens: int, n_types: int, strength: float):
+        self.order, self.words = len(grams), len(chunk.hashes)
+        unigrams, places, number = grams[0]
+        texts = int(unigrams[number[chunk.tokens == 0][0]])  # each text has one end
+        self.start = self.order - 1 if texts else 0
+        sizes = [len(counts) for counts, *_ in grams[:-1]]
+        offsets = self.order + np.cumsum([0, *sizes])
+        # Failure arcs: from each state to the one without its first word.
+        met = np.concatenate([[0], np.full(self.order - 1, texts), *(c for c, *_ in grams[:-1])])
+        self.fail = np.log(strength / (met + strength))
+        self.down = np.concatenate([[0], np.arange(self.order - 1)] + [np.zeros(n, np.int64) for n in sizes])
+        for j in range(1, self.order - 1):
+            lower = grams[j - 1][2][grams[j][1]]
+            self.down[offsets[j] : offsets[j + 1]] = offsets[j - 1] + lower
+        # Arcs: an n-gram leads from its context to its longest ending that is a state.
+        opening = np.zeros(len(chunk.tokens), bool)
+        opening[chunk.starts] = True
+        logs = np.log((unigrams + _EXTRA) / (n_tokens + _EXTRA * (n_types + 1)))
+        keys, weights, targets = [], [], []
+        for k, (counts, places, _) in enumerate(grams):
+            if k == 0:
+                source, known = np.zeros(len(places), np.int64), np.ones(len(places), bool)
+            else:
+                before = offsets[k - 1] + grams[k - 1][2][places - 1]
+                source, known = np.where(opening[places], k, before), counts > 0
+                lower = np.exp(logs[grams[k - 1][2][places]])
+                logs = np.log((counts + strength * lower) / (met[source] + strength))
+            depth = min(k + 1, self.order - 1)
+            target = offsets[depth - 1] + grams[depth - 1][2][places] if depth else source
+            target = np.where(counts > 0, target, 0)
+            target[chunk.tokens[places] == 0] = self.start
+            keys.append((source * self.words + chunk.tokens[places])[known])
+            weights.append(logs[known])
+            targets.append(target[known])
+        arcs = np.concatenate(keys)
+        by_key = np.argsort(arcs)
+        self.arcs = arcs[by_key]
+        self.weights = np.concatenate(weights)[by_key]
+        self.targets = np.concatenate(targets)[by_key]
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of a token in each state, and the states after it."""
+        state, log, after = state.copy(), np.zeros(len(state)), np.zeros(len(state), np.int64)
+        todo = np.arange(len(state))
+        while len(todo):
+            key = state[todo] * self.words + token[todo]
+            arc = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
+            taken = self.arcs[arc] == key
+            done, arc, todo = todo[taken], arc[taken], todo[~taken]
+            log[done] += self.weights[arc]
+            after[done] = self.targets[arc]
+            log[todo] += self.fail[state[todo]]
+            state[todo] = self.down[state[todo]]
+        return log, after
+
+    def walk(self, chunk: Chunk, lanes: int = 0) -> np.ndarray:
+        """Natural log-probability of every token, from left to right.
+
+        A state tells the last order - 1 tokens at most. So a stretch can be walked beside the others
+        once that many tokens before it have been read from the root: its state is then the one that
+        a walk from the start of the text carries. An end leads to the state that starts a text.
+        """
+        n = len(chunk.tokens)
+        width = -(-n // (lanes or LANES))
+        first = np.arange(0, n, width)
+        warm = self.order - 1
+        opening = np.zeros(n, bool)
+        opening[chunk.starts] = True
+        state = np.where(opening[np.maximum(first - warm, 0)], self.start, 0)
+        out = np.zeros(n)
+        for off in range(-warm, width):
+            place = first + off
+            live = np.flatnonzero((place >= 0) & (place < n))
+            log, state[live] = self.step(state[live], chunk.tokens[place[live]].astype(np.int64))
+            if off >= 0:
+                out[place[live]] = log
+        return out
 
 
 def _score(order, strength, n_tokens, n_types):
@@ -229,32 +312,28 @@ def _score(order, strength, n_tokens, n_types):
         row = {name: chunks.column(name)[0].as_py() for name in chunks.schema.names}
         chunk = _opened(row)
         at = np.lexsort((answers.column("bucket").to_numpy(), answers.column("k").to_numpy()))
-        totals = {k: [] for k in range(order)}
+        others = {k: [] for k in range(order)}
         for i in at.tolist():
-            totals[answers.column("k")[i].as_py()].append(
-                _unpack_counts(answers.column("totals")[i].as_py())
+            others[answers.column("k")[i].as_py()].append(
+                _unpack_counts(answers.column("others")[i].as_py())
             )
-        counted = []
+        trained, grams = chunk.trained, []
         for k, own in enumerate(chunk.grams(order)):
-            back = np.unique(own, return_inverse=True)[1]
-            counted.append(np.concatenate(totals.pop(k))[back])
-        # The count of a context is that of the gram one token earlier. At the start of a text it is
-        # ends only, met once in every text.
-        first = np.zeros(len(chunk.tokens), bool)
-        first[chunk.starts] = True
-        texts = counted[0][chunk.tokens == 0][0]
-        states = [np.where(first, texts, np.roll(c, 1)) for c in counted[:-1]]
-        base = (counted[0] + _EXTRA) / (n_tokens + _EXTRA * (n_types + 1))
-        log = traverse(base, counted[1:], states, strength)
+            keys, places, number = np.unique(own, return_index=True, return_inverse=True)
+            counts = np.bincount(number[trained], minlength=len(keys)) + np.concatenate(others.pop(k))
+            grams.append((counts, places, number))
+        known = grams[0][0][grams[0][2]]
+        base = np.log10((known + _EXTRA) / (n_tokens + _EXTRA * (n_types + 1)))
+        log = Automaton(chunk, grams, n_tokens, n_types, strength).walk(chunk)
         n = len(chunk.lengths)
         return pa.table(
             {
                 "id": pa.array(row["ids"], pa.int64()),
                 "held_out": pa.array(chunk.held, pa.bool_()),
                 "n_tokens": pa.array(chunk.lengths, pa.int64()),
-                "n_known": pa.array(np.add.reduceat((counted[0] > 0).astype(np.int64), chunk.starts)),
+                "n_known": pa.array(np.add.reduceat((known > 0).astype(np.int64), chunk.starts)),
                 "train_tokens": pa.array(np.full(n, n_tokens), pa.int64()),
-                "base_score": pa.array(np.add.reduceat(np.log10(base), chunk.starts)),
+                "base_score": pa.array(np.add.reduceat(base, chunk.starts)),
                 "score": pa.array(np.add.reduceat(log, chunk.starts) / np.log(10)),
             }
         )
@@ -262,6 +341,11 @@ def _score(order, strength, n_tokens, n_types):
     return run
 
 
+def hash_ranges(n_tokens: int) -> int:
+    """Hash ranges for so many tokens."""
+    return max(BUCKETS, -(-n_tokens // BUCKET_GRAMS))
+
+
 def score(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -269,7 +353,7 @@ def score(
     order: int = ORDER,
     strength: float = STRENGTH,
     folds: int = FOLDS,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score``, ``score`` (log10 probabilities of the whole text, its end included).
@@ -277,7 +361,8 @@ def score(
     The model learns from all rows whose id is not held out (crc32 of the id mod ``folds`` is not
     0; a null id is held out). Null and empty texts are one token, the end. Repeated rows count each
     time; an empty table gives no rows; other columns are not read. Ids must be whole numbers.
-    ``buckets`` bounds what one task sums: raise it with the data.
+    ``buckets`` hash ranges bound what one task sums; unless given, they follow from the number of
+    tokens (``hash_ranges``).
     """
     if order < 1:
         raise ValueError("order must be 1 or more")
@@ -294,6 +379,9 @@ def score(
         ),
         "chunks",
     )
+    if buckets is None:
+        size = F.aggregate("lengths", F.lit(0).cast("long"), lambda total, n: total + n)
+        buckets = hash_ranges(chunks.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0])
     answers = materialize(
         chunks.mapInArrow(
             _requests(order, buckets), "bucket int, chunk_id long, k int, keys binary, counts binary"
@@ -301,7 +389,7 @@ def score(
         .groupBy("bucket", "k")
         .applyInArrow(
             _sum_bucket,
-            "bucket int, chunk_id long, k int, totals binary, n_tokens long, n_types long",
+            "bucket int, chunk_id long, k int, others binary, n_tokens long, n_types long",
         ),
         "answers",
     )
