@@ -109,10 +109,7 @@ def chunk_of(texts, hold):
     lengths = np.array([len(tokens(t)) for t in texts])
     hashes = np.array([zlib.crc32(w.encode()) + 7 for w in words], np.uint64)
     chunk = ngram_lm.Chunk(hashes, np.array(flat, np.int32), lengths, np.array(hold))
-    grams = []
-    for own in chunk.grams(3):
-        keys, places, number = np.unique(own, return_index=True, return_inverse=True)
-        grams.append((np.bincount(number[chunk.trained], minlength=len(keys)), places, number))
+    grams = [chunk.numbered(own)[1:] for own in chunk.grams(3)]
     known = grams[0][0]
     return chunk, ngram_lm.Automaton(chunk, grams, int(known.sum()), int((known > 0).sum()), 2.0)
 

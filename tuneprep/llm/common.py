@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,23 @@ def prepare_workers(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
 
+_FREED_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffle_files_freed(spark: SparkSession):
+    """Let Spark delete a query's shuffle files when the query ends, as for a table that is stored then.
+
+    Without it they stay until the driver collects its garbage, beside those of the queries after it.
+    """
+    before = spark.conf.get(_FREED_SETTING, "false")
+    spark.conf.set(_FREED_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED_SETTING, before)
+
+
 def fresh(name: str) -> str:
     """A column name that no input can clash with."""
     return f"_{name}_{uuid.uuid4().hex[:8]}"

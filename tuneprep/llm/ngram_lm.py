@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import as_bytes, id_remainder, prepare_workers, table
+from tuneprep.llm.common import as_bytes, id_remainder, prepare_workers, shuffle_files_freed, table
 from tuneprep.runtime import column, materialize
 
 ORDER = 3
@@ -40,7 +40,7 @@ FOLDS = 10
 #: once per chunk, at about ``BUCKET_GRAMS``.
 BUCKETS = 128
 BUCKET_GRAMS = 1 << 21
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Stretches of a chunk walked side by side.
 LANES = 4096
 
@@ -83,20 +83,22 @@ class Chunk:
         self.hashes, self.tokens, self.lengths, self.held = hashes, tokens, lengths, held
         self.starts = np.cumsum(lengths) - lengths
 
-    def grams(self, order: int) -> list[np.ndarray]:
+    def grams(self, order: int) -> Iterator[np.ndarray]:
         """Hash of the k-gram that ends at each token, k = 1 .. order; a text follows upon ends."""
         at = self.hashes[self.tokens]
         place = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
-        end, found, own = self.hashes[0], [at], at
+        end, own = self.hashes[0], at
+        yield own
         for k in range(1, order):
-            before = np.where(place >= k, np.roll(at, k), end)
-            own = _mix(own, before)
-            found.append(own)
-        return found
+            own = _mix(own, np.where(place >= k, np.roll(at, k), end))
+            yield own
 
-    @property
-    def trained(self) -> np.ndarray:
-        return ~np.repeat(self.held, self.lengths)
+    def numbered(self, own: np.ndarray):
+        """Of the n-grams that end at each token: the distinct ones, their counts in training texts, a
+        place where each ends, and the number of the one at each token."""
+        keys, places, number = np.unique(own, return_index=True, return_inverse=True)
+        counts = np.bincount(number[~np.repeat(self.held, self.lengths)], minlength=len(keys))
+        return keys, counts, places.astype(np.int32), number.astype(np.int32)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,30 +167,31 @@ def _bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def _requests(order, buckets):
+def _requests(k, buckets):
+    """The distinct (k + 1)-grams of each chunk with their counts, by hash range."""
+
     def run(batches):
         for row in _rows(batches):
             chunk = _opened(row)
-            trained = chunk.trained
-            for k, own in enumerate(chunk.grams(order)):
-                keys, back = np.unique(own, return_inverse=True)
-                counts = np.bincount(back[trained], minlength=len(keys)).astype(np.uint32)
-                cuts = _bucket_cuts(keys, buckets)
-                pieces = [
-                    (b, keys[i:j], counts[i:j])
-                    for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
-                    if j > i
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([b for b, *_ in pieces], pa.int32()),
-                        pa.array([row["chunk_id"]] * len(pieces), pa.int64()),
-                        pa.array([k] * len(pieces), pa.int32()),
-                        pa.array([_pack(np.diff(x, prepend=np.uint64(0))) for _, x, _ in pieces], pa.binary()),
-                        pa.array([_pack(c) for *_, c in pieces], pa.binary()),
-                    ],
-                    ["bucket", "chunk_id", "k", "keys", "counts"],
-                )
+            *_, own = chunk.grams(k + 1)
+            keys, counts, *_ = chunk.numbered(own)
+            counts = counts.astype(np.uint32)
+            cuts = _bucket_cuts(keys, buckets)
+            pieces = [
+                (b, keys[i:j], counts[i:j])
+                for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
+                if j > i
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([b for b, *_ in pieces], pa.int32()),
+                    pa.array([row["chunk_id"]] * len(pieces), pa.int64()),
+                    pa.array([k] * len(pieces), pa.int32()),
+                    pa.array([_pack(np.diff(x, prepend=np.uint64(0))) for _, x, _ in pieces], pa.binary()),
+                    pa.array([_pack(c) for *_, c in pieces], pa.binary()),
+                ],
+                ["bucket", "chunk_id", "k", "keys", "counts"],
+            )
 
     return run
 
@@ -309,6 +312,7 @@ class Automaton:
 
 def _score(order, strength, n_tokens, n_types):
     def run(key, chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         row = {name: chunks.column(name)[0].as_py() for name in chunks.schema.names}
         chunk = _opened(row)
         at = np.lexsort((answers.column("bucket").to_numpy(), answers.column("k").to_numpy()))
@@ -317,11 +321,10 @@ def _score(order, strength, n_tokens, n_types):
             others[answers.column("k")[i].as_py()].append(
                 _unpack_counts(answers.column("others")[i].as_py())
             )
-        trained, grams = chunk.trained, []
-        for k, own in enumerate(chunk.grams(order)):
-            keys, places, number = np.unique(own, return_index=True, return_inverse=True)
-            counts = np.bincount(number[trained], minlength=len(keys)) + np.concatenate(others.pop(k))
-            grams.append((counts, places, number))
+        grams = [
+            (counts + np.concatenate(others.pop(k)), places, number)
+            for k, (_, counts, places, number) in enumerate(map(chunk.numbered, chunk.grams(order)))
+        ]
         known = grams[0][0][grams[0][2]]
         base = np.log10((known + _EXTRA) / (n_tokens + _EXTRA * (n_types + 1)))
         log = Automaton(chunk, grams, n_tokens, n_types, strength).walk(chunk)
@@ -382,17 +385,22 @@ def score(
     if buckets is None:
         size = F.aggregate("lengths", F.lit(0).cast("long"), lambda total, n: total + n)
         buckets = hash_ranges(chunks.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0])
-    answers = materialize(
-        chunks.mapInArrow(
-            _requests(order, buckets), "bucket int, chunk_id long, k int, keys binary, counts binary"
+    # One order after the other, so that the scratch disk holds the requests of one at a time.
+    answers = None
+    for k in range(order):
+        summed = (
+            chunks.mapInArrow(
+                _requests(k, buckets), "bucket int, chunk_id long, k int, keys binary, counts binary"
+            )
+            .groupBy("bucket")
+            .applyInArrow(
+                _sum_bucket,
+                "bucket int, chunk_id long, k int, others binary, n_tokens long, n_types long",
+            )
         )
-        .groupBy("bucket", "k")
-        .applyInArrow(
-            _sum_bucket,
-            "bucket int, chunk_id long, k int, others binary, n_tokens long, n_types long",
-        ),
-        "answers",
-    )
+        with shuffle_files_freed(docs.sparkSession):
+            stored = materialize(summed, "answers")
+        answers = stored if answers is None else answers.union(stored)
     n_tokens, n_types = answers.agg(
         F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))
     ).first()
