@@ -48,6 +48,14 @@ def test_pairs_are_formatted_as_by_hand(spark):
         assert got == brute(*PAIRS[r.pair_id])
 
 
+def test_very_many_turns(spark):
+    for n in (2, 3, 4, 5, 10, 17, 20_000):
+        turns = [((U, A, None)[i % 3], "ab" * (i % 5)) for i in range(n)]
+        df = spark.createDataFrame([(0, turns, [(U, "other")], None, None)], SCHEMA)
+        r = chat.format_preferences(df).first()
+        assert (r.chosen, [tuple(s) for s in r.chosen_spans]) == brute(turns, [(U, "other")])[1:3]
+
+
 def test_pairs_of_conversations_and_odd_turns(spark):
     turns = [(0, 0, U, "q"), (0, 1, A, "r0"), (1, 0, U, "q1"), (1, 1, A, "r1"), (1, 2, U, "end"), (2, 0, U, "alone"), (4, 1, A, "r4"), (4, 0, None, None), (None, 0, A, None)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")

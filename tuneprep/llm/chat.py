@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tuneprep.functions.binding import bind
 from tuneprep.llm.common import fresh, table
 from tuneprep.runtime import column
 
 ASSISTANT = "assistant"
 TURNS = "array<struct<role string, text string>>"
+SPANS = "array<struct<start: int, end: int>>"
 
 
 def _head(role: Column) -> Column:
@@ -38,20 +40,49 @@ def trained_spans(turns: Column) -> Column:
 
     Code points, end exclusive; the line break that ends a turn is trained on as its stop mark.
     """
-    spans = "array<struct<start: int, end: int>>"
+    lengths = F.transform(
+        turns,
+        lambda t: F.struct(
+            F.length(_head(t["role"])).alias("head"),
+            F.length(_body(t["text"])).alias("body"),
+            F.coalesce(t["role"] == ASSISTANT, F.lit(False)).alias("mine"),
+        ),
+    )
+    return bind({"lengths": lengths}, lambda get: _spans(get("lengths")))
+
+
+def _spans(lengths: Column) -> Column:
+    """Spans from the lengths of the turns.
+
+    Each append copies the array before it, so turns are taken in blocks of about the square root of
+    their number: spans are appended within a block, then blocks to each other, moved by their start.
+    """
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
 
-    def step(so_far, turn):
-        start = so_far["at"] + F.length(_head(turn["role"]))
-        end = start + F.length(_body(turn["text"]))
+    def turn(so_far, t):
+        start = so_far["at"] + t["head"]
+        end = start + t["body"]
         own = F.array(F.struct(start.alias("start"), end.alias("end")))
-        mine = F.coalesce(turn["role"] == ASSISTANT, F.lit(False))
         return F.struct(
             end.alias("at"),
-            F.when(mine, F.concat(so_far["spans"], own)).otherwise(so_far["spans"]).alias("spans"),
+            F.when(t["mine"], F.concat(so_far["spans"], own)).otherwise(so_far["spans"]).alias("spans"),
+        )
+
+    def block(so_far, part):
+        moved = F.transform(
+            part["spans"],
+            lambda s: F.struct(
+                (s["start"] + so_far["at"]).alias("start"), (s["end"] + so_far["at"]).alias("end")
+            ),
+        )
+        return F.struct(
+            (so_far["at"] + part["at"]).alias("at"), F.concat(so_far["spans"], moved).alias("spans")
         )
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans"))
-    return F.aggregate(turns, none, step, lambda x: x["spans"])
+    size = F.greatest(F.ceil(F.sqrt(F.size(lengths))), F.lit(1)).cast("int")
+    first = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), size)
+    parts = F.transform(first, lambda i: F.aggregate(F.slice(lengths, i, size), none, turn))
+    return F.aggregate(parts, none, block, lambda x: x["spans"])
 
 
 def common_turns(chosen: Column, rejected: Column) -> Column:
