@@ -50,6 +50,29 @@ def test_bounds_of_parts_and_of_what_is_kept_change_nothing(vocabulary, library,
     assert [g.tolist() for g in got] == library.encode(given)
 
 
+def unbroken():
+    rng = random.Random(4)
+    out = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", k=n)) for n in (129, 1000, 5000)]
+    out += ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000)), "x" * 3001, "ab" * 900, "no" * 700 + "\n" + "é" * 999]
+    out += ["".join(rng.choices(["the", "tion", "ing", "str", "あ", "\U0001f600", "="], k=2000)), "a b\n" + "y\n" * 400 + "z" * 300]
+    return out + ["a " + "\n".join("".join(rng.choices("aeinrst", k=rng.randint(0, 90))) for _ in range(200))]
+
+
+@pytest.mark.parametrize("block, at_once", [(64, 3), (96, 256)])
+def test_texts_without_blanks_in_blocks(vocabulary, library, monkeypatch, block, at_once):
+    monkeypatch.setattr(pieces, "_BLOCK", block)
+    monkeypatch.setattr(pieces, "_BLOCKS_AT_ONCE", at_once)
+    monkeypatch.setattr(pieces, "_TEXT_CHUNK", 2500)
+    got = pieces.Encoder(vocabulary).encode(unbroken())
+    assert [g.tolist() for g in got] == library.encode(unbroken())
+
+
+def test_a_long_text_without_blanks(vocabulary, library):
+    rng = random.Random(6)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", k=150_000))
+    assert pieces.Encoder(vocabulary).encode([text])[0].tolist() == library.encode(text)
+
+
 def test_round_trip_and_edge_cases(spark, library):
     rows = [(1, "two  words \n é ①"), (1, "two  words \n é ①"), (2, None), (3, ""), (None, "x" * 20000), (4, "▁")]
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)

@@ -9,7 +9,9 @@ merging would have left just these two: then the last piece of the encoding of e
 unique, and following it from the end gives the encoding that merging by rank gives.
 
 The vocabulary is read once on the driver, from a file whose path is a parameter, and sent to the
-workers; it has a fixed size. What segments encode to is kept per worker up to a bound.
+workers; it has a fixed size. What segments encode to is kept per worker up to a bound. A long segment
+(text without blanks or line breaks) is relaxed in blocks side by side, which are joined where the
+last pieces agree.
 """
 
 from __future__ import annotations
@@ -30,10 +32,14 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
 _MARK = "▁"
 _SEGMENT = re.compile(f"{_MARK}*[^{_MARK}\n]+|{_MARK}+|\n")
+_BORDER = re.compile(f"\n|[^{_MARK}]{_MARK}")
 _PROBES = ("", " ", "  a  b ", "x\ty\n\nz", "é①ﬁ", "The quick brown fox, 12345!")
 _KEPT = 75_000
 _TEXT_CHUNK = 1 << 20
 _CACHE_BITS = 20
+_KEPT_IDS = 1 << 21
+_BLOCK = 1 << 10
+_BLOCKS_AT_ONCE = 256
 _NEVER = np.iinfo(np.int64).max
 
 
@@ -138,6 +144,7 @@ class Encoder:
         texts = [v.pieces[i] for i in v.found]
         alphabet = np.array(sorted({ord(c) for t in texts for c in t}), np.int64)
         self.alphabet, self.longest = alphabet, max(map(len, texts))
+        self.warm = max(_BLOCK // 4, self.longest)
         self.lengths = np.ones(v.size + 1, np.int64)
         self.lengths[v.found] = [len(t) for t in texts]
         levels, parents = [], {"": 0}
@@ -256,8 +263,8 @@ class Encoder:
 
     # --- segments
 
-    def _learn(self, segments: list[str]):
-        """Encode new segments and keep the result."""
+    def _relax(self, segments: list[str]):
+        """The matched segments: code points, first places, and the last piece of every prefix."""
         lengths = np.array([len(s) for s in segments], np.int64)
         text = "".join(segments)
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
@@ -273,12 +280,16 @@ class Encoder:
         segment = np.repeat(np.arange(len(segments)), lengths + 1)[start]
         inside = start < base[segment] + lengths[segment]
         start, piece, segment = start[inside], piece[inside], segment[inside]
-        end = start + self.lengths[piece]
-        step = end - base[segment]
+        step = start + self.lengths[piece] - base[segment]
         order = np.argsort(step)
-        start, piece, end, step = start[order], piece[order], end[order], step[order]
-        first = start == base[segment[order]]
+        start, piece, segment, step = start[order], piece[order], segment[order], step[order]
         last = np.full(len(codes) + 1, -1, np.int64)
+        self._extend(last, start, piece, step, start == base[segment])
+        return _Relaxed(points, base, lengths, last, (start, piece, segment, step))
+
+    def _extend(self, last, start, piece, step, first):
+        """Relax the edges, which are in the order of ``step``; ``first`` ones begin a segment."""
+        end = start + self.lengths[piece]
         cuts = np.flatnonzero(np.diff(step)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(step)], strict=True):
             good = first[a:b].copy()
@@ -286,8 +297,21 @@ class Encoder:
             before = last[start[a:b][rest]]
             good[rest] = self._adjacent(before, piece[a:b][rest])
             last[end[a:b][good]] = piece[a:b][good]
+
+    def _learn(self, segments: list[str]):
+        """Encode new segments and keep the result."""
+        short = [s for s in segments if len(s) <= 2 * _BLOCK]
+        if short:
+            self._learn_short(short)
+        for s in segments:
+            if len(s) > 2 * _BLOCK:
+                self._learn_long(s)
+
+    def _learn_short(self, segments: list[str]):
+        found = self._relax(segments)
+        base, last = found.base, found.last
         # Follow the last pieces back from each segment's end.
-        position, alive = base + lengths, np.arange(len(segments))
+        position, alive = base + found.lengths, np.arange(len(segments))
         owners, ids, places = [], [], []
         while len(alive):
             own = last[position[alive]]
@@ -299,7 +323,42 @@ class Encoder:
         owner, own, place = (np.concatenate(x) for x in (owners, ids, places))
         order = np.argsort(place)
         owner, own, place = owner[order], own[order], place[order]
-        self._keep(segments, owner, own, points, place - 1 - owner)
+        self._keep(segments, owner, own, found.points, place - 1 - owner)
+
+    def _learn_long(self, segment: str):
+        """A segment of any length, in blocks that are relaxed side by side.
+
+        Each block begins some pieces early, as if a segment began there. What it finds is right if
+        the last pieces found at the end of the block before agree over the length of the longest
+        piece, as no edge reaches further back; else the block is relaxed again from those.
+        """
+        n, warm, longest = len(segment), self.warm, self.longest
+        last = np.full(n + 1, -1, np.int32)
+        begins = range(0, n, _BLOCK)
+        for group in range(0, len(begins), _BLOCKS_AT_ONCE):
+            own = begins[group : group + _BLOCKS_AT_ONCE]
+            early = [max(0, b - warm) for b in own]
+            found = self._relax([segment[e : b + _BLOCK] for e, b in zip(early, own, strict=True)])
+            for i, (e, b) in enumerate(zip(early, own, strict=True)):
+                at, size = int(found.base[i]), min(_BLOCK, n - b)
+                here = at + b - e  # the place of the block's first character
+                if e:
+                    carried = last[b - longest + 1 : b + 1]
+                    if not np.array_equal(found.last[here - longest + 1 : here + 1], carried):
+                        found.last[here - longest + 1 : here + 1] = carried
+                        start, piece, of, step = found.edges
+                        mine = np.flatnonzero((of == i) & (step > b - e))
+                        none = np.zeros(len(mine), bool)
+                        self._extend(found.last, start[mine], piece[mine], step[mine], none)
+                last[b + 1 : b + size + 1] = found.last[here + 1 : here + size + 1]
+        places, length = [], self.lengths.tolist()
+        place, ids = n, last.tolist()
+        while place:
+            places.append(place)
+            place -= length[ids[place]]
+        place = np.array(places[::-1], np.int64)
+        points = np.frombuffer(segment.encode("utf-32-le", "surrogatepass"), "<u4")
+        self._keep([segment], np.zeros(len(place), np.int64), last[place], points, place - 1)
 
     def _keep(self, segments, owner, own, points, point_at):
         unknown = np.flatnonzero(own == self.unknown)
@@ -346,7 +405,7 @@ class Encoder:
         ]
 
     def _encode(self, waiting, out):
-        if len(self.known) > _KEPT:
+        if len(self.known) > _KEPT or self.used > _KEPT_IDS:
             self._reset()
         known = self.known
         new = dict.fromkeys(
@@ -362,18 +421,37 @@ class Encoder:
             out[i].append(self.flat[at])
 
 
+@dataclass
+class _Relaxed:
+    points: np.ndarray
+    base: np.ndarray
+    lengths: np.ndarray
+    last: np.ndarray
+    edges: tuple[np.ndarray, ...]
+
+
 def _parts(text: str):
-    """The text in parts of bounded length, cut before a mark that follows another character."""
+    """The text in parts of bounded length, cut where segments end: at a line break, or before a
+    mark that follows another character. A segment that is longer than a part stays whole."""
     at = 0
     while len(text) - at > _TEXT_CHUNK:
-        cut = text.rfind(_MARK, at + 1, at + _TEXT_CHUNK)
-        while cut > at and text[cut - 1] == _MARK:
-            cut -= 1
+        cut = _last_border(text, at, at + _TEXT_CHUNK)
         if cut <= at:
-            break
+            ahead = _BORDER.search(text, at + _TEXT_CHUNK)
+            if ahead is None:
+                break
+            cut = ahead.end() - (ahead.group()[-1] == _MARK)
         yield text[at:cut]
         at = cut
-    yield text[at:]
+    if at < len(text):
+        yield text[at:]
+
+
+def _last_border(text: str, low: int, high: int) -> int:
+    cut = text.rfind(_MARK, low + 1, high)
+    while cut > low and text[cut - 1] == _MARK:
+        cut -= 1
+    return max(cut, text.rfind("\n", low, high) + 1)
 
 
 def _id_lists(lists: pa.Array):
