@@ -81,6 +81,14 @@ def test_one_document_of_each_component_stays(spark):
     assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "lone"), (3, "a b c d"), (8, "")]
 
 
+def test_one_of_rows_that_repeat_an_id_stays_whatever_their_order(spark):
+    rows = [(1, "a b c d", "x", 1), (1, "a b c d", "y", 1), (1, "a b c d", None, 2), (1, "a b c d", "x", 1), (2, "z" * 300_000, "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    runs = [sorted(map(tuple, simhash.keep_one(x, "doc_id", "text").collect())) for x in (df, df.repartition(3), df.orderBy("bits"))]
+    assert runs[0] == runs[1] == runs[2]
+    assert [r[0] for r in runs[0]] == [1, 2] and set(runs[0]) <= set(rows)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.groups(empty, "doc_id", "text").count() == 0

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuneprep.runtime import materialize, ship_package
+from tuneprep.runtime import column, materialize, ship_package
 
 #: Longest run of star contractions; each halves the longest path at least, so 60 exceeds any graph.
 MAX_ROUNDS = 60
@@ -50,6 +50,13 @@ def fresh(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
+def row_hashes(df: DataFrame) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of all columns; rows are equal if both are."""
+    values = [column(c) for c in df.columns]
+    given = [v.isNotNull() for v in values]  # the hash itself passes nulls over
+    return F.xxhash64(*values, *given), F.xxhash64(F.lit("row"), *values, *given)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import as_bytes, components, fresh, prepare_workers, table
+from tuneprep.llm.common import as_bytes, components, fresh, prepare_workers, row_hashes, table
 from tuneprep.runtime import column, materialize
 
 SEED = 42
@@ -138,18 +138,9 @@ def groups(
     0; repeated rows and repeated ids stay as they are; an empty table gives no rows. Other columns
     of ``docs`` are not read, whatever their names.
     """
-    prepare_workers(docs.sparkSession)
-    rows = materialize(
-        docs.select(
-            column(id_col).alias("_id"), fingerprint_column(column(text_col), shingle).alias("bits")
-        ),
-        "fingerprints",
-    )
+    rows = _fingerprinted(docs, text_col, shingle, column(id_col).alias("_id"))
     least = rows.groupBy("bits").agg(F.min("_id").alias("least"))
-    linked = components(near_fingerprints(least.select("bits"), "bits", max_bits), "a", "b")
-    labelled = least.join(linked, least["bits"] == linked["node"], "left").select(
-        "bits", "least", F.coalesce("component", "bits").alias("component")
-    )
+    labelled = _labelled(least, max_bits)
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_bits = labelled.join(smallest, "component").select("bits", "component_id", "component")
     return rows.join(by_bits, "bits", "left").select(
@@ -157,6 +148,21 @@ def groups(
     )
 
 
+def _fingerprinted(docs: DataFrame, text_col: str, shingle: int, *keys: Column) -> DataFrame:
+    """``keys`` and fingerprint ``bits`` of every row, stored: texts are read once."""
+    prepare_workers(docs.sparkSession)
+    bits = fingerprint_column(column(text_col), shingle).alias("bits")
+    return materialize(docs.select(*keys, bits), "fingerprints")
+
+
+def _labelled(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct``, which has each fingerprint once, with its ``component``."""
+    linked = components(near_fingerprints(distinct.select("bits"), "bits", max_bits), "a", "b")
+    return distinct.join(linked, distinct["bits"] == linked["node"], "left").select(
+        *distinct.columns, F.coalesce("component", "bits").alias("component")
+    )
+
+
 def keep_one(
     docs: DataFrame,
     id_col: str,
@@ -167,29 +173,34 @@ def keep_one(
     """The rows of ``docs`` that remain if one document of each component stays.
 
     That is the one with the smallest id (ids that are null come last); of rows that repeat that id
-    and fingerprint one stays, the same at each run. All columns are kept.
+    the smallest fingerprint stays, then the smallest hash of all columns, the same at each run. All
+    columns are kept. Documents are found again by id and 128 bits of hash, so fingerprints are
+    computed once and whole rows are shuffled once, to meet the rows that stay.
     """
-    bits, place = fresh("bits"), fresh("place")
-    found = groups(docs, id_col, text_col, shingle, max_bits)
-    first = F.struct(column(id_col).isNull(), column(id_col).alias("id"), "bits")
-    keepers = materialize(
-        found.groupBy("component")
-        .agg(F.min(first).alias("first"))
-        .select(F.col("first.id").alias(place), F.col("first.bits").alias(f"{bits}_k")),
-        "keepers",
+    hashes = row_hashes(docs)
+    rows = _fingerprinted(
+        docs, text_col, shingle, column(id_col).alias("id"), *[h.alias(f"h{i}") for i, h in enumerate(hashes)]
+    )
+    # Copies of a text are folded map-side before any of their rows meet.
+    least = rows.groupBy("bits").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h0", "h1")).alias("least")
     )
-    marked = docs.withColumn(bits, fingerprint_column(column(text_col), shingle))
-    kept = marked.join(
-        keepers,
-        column(id_col).eqNullSafe(column(place)) & (column(bits) == column(f"{bits}_k")),
-        "left_semi",
+    first = F.struct("least.none", "least.id", "bits", "least.h0", "least.h1")
+    kept = (
+        _labelled(least, max_bits)
+        .groupBy("component")
+        .agg(F.min(first).alias("first"))
+        .select("first.h0", "first.h1")
     )
-    others = [F.xxhash64(column(c)) for c in docs.columns]
-    one = Window.partitionBy(column(id_col), column(bits)).orderBy(*others)
+    one, two, place = fresh("one"), fresh("two"), fresh("place")
+    keepers = materialize(kept.toDF(one, two), "keepers")
+    same = Window.partitionBy(column(one), column(two)).orderBy(column(one))  # rows equal throughout
     return (
-        kept.withColumn(place, F.row_number().over(one))
+        docs.withColumns({one: hashes[0], two: hashes[1]})
+        .join(keepers, [one, two], "left_semi")
+        .withColumn(place, F.row_number().over(same))
         .filter(column(place) == 1)
-        .drop(bits, place)
+        .drop(one, two, place)
     )
 
 
