@@ -57,6 +57,23 @@ def test_targets_and_copies(spark):
     )
 
 
+def test_many_sources_give_the_same_as_few(spark, monkeypatch):
+    rows = documents()
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
+    few = sorted(map(tuple, mixing.copies(df).collect()), key=repr)
+    monkeypatch.setattr(mixing, "HOT_SHARE", 0.3)  # at most 3 hot sources; the table has more
+    assert sorted(map(tuple, mixing.copies(df).collect()), key=repr) == few
+
+
+def test_repeated_rows_share_their_copies_alike_in_each_run(spark):
+    rows = [(7, "w w", "a", f"other {i}", i) for i in range(5)] + [(8, "w " * 9, "b", "x", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    runs = [sorted(map(tuple, mixing.mix(x).collect())) for x in (df, df.repartition(4))]
+    assert runs[0] == runs[1]
+    total = sum(r.copies for r in mixing.copies(df).collect() if r.id == 7)
+    assert sum(r[0] == 7 for r in runs[0]) == total
+
+
 def test_mix_emits_each_row_as_often(spark):
     rows = documents()
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneprep.llm.common import fresh, table
+from tuneprep.llm.common import fresh, row_hashes, table
 from tuneprep.operators.indexing import index_keys
 from tuneprep.runtime import column, materialize
 
@@ -22,6 +22,9 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = 42
 
+#: Sources with more than this share of the rows are at most 1,000, so they may be broadcast.
+HOT_SHARE = 0.001
+
 _UNIT_BITS = 20
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -72,10 +75,30 @@ def targets(
                 F.col("_weight") * F.max("_level").over(everything),
             ),
         )
-        .select("source", "source_size", "target", "source_rank")
+        .select(*sources.columns, "target", "source_rank")
     )
 
 
+def _key_hashes(id_col: str, text_col: str, source_col: str) -> tuple[Column, Column]:
+    """Two 64-bit hashes; rows of one id, text and source have both in common, and no others do."""
+    values = [column(c) for c in (id_col, text_col, source_col)]
+    return F.xxhash64(*values), F.xxhash64(F.lit("row"), *values)
+
+
+def _join_sources(rows: DataFrame, sources: DataFrame, same, hot: Column, few: bool) -> DataFrame:
+    """Every row with what is known of its source, no task having all rows of a hot one.
+
+    ``few``: there are no more sources than may be hot, so all are broadcast. Else the hot ones are,
+    and the rows of the others, none of which has many, are shuffled by source.
+    """
+    if few:
+        return rows.join(F.broadcast(sources), same(rows, sources))
+    top, others = sources.filter(hot), sources.filter(~hot)
+    near = rows.join(F.broadcast(top), same(rows, top))
+    far = rows.join(F.broadcast(top), same(rows, top), "left_anti")
+    return near.unionByName(far.join(others, same(far, others)))
+
+
 def copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -85,32 +108,45 @@ def copies(
     max_repeats: int = MAX_REPEATS,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per document: ``id, row_hash, size, source_size, target, copies, taken``.
+    """One row per document: ``id, row_hash, row_hash_2, size, source_size, target, copies, taken``.
 
     Null and empty texts have size 0 and take no words; a null source is a source of its own. Ids
     may be null or repeat: every row counts for itself, and rows equal in id, text and source are
-    interchangeable. An empty table gives no rows. Other columns are not read. Only narrow rows are
+    interchangeable. A text of any length is one number here. An empty table gives no rows. Other columns are not read. Only narrow rows are
     ordered, by ranges of (source, size, hash), so a source of any size is spread over all tasks.
     """
+    one, two = _key_hashes(id_col, text_col, source_col)
     rows = materialize(
         docs.select(
             column(id_col).alias("id"),
             column(source_col).alias("source"),
             word_count(column(text_col)).alias("size"),
-            F.xxhash64(column(id_col), column(text_col), column(source_col)).alias("row_hash"),
+            one.alias("row_hash"),
+            two.alias("row_hash_2"),
         ),
         "sizes",
     )
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    aimed = materialize(targets(sizes, weights, max_repeats), "targets")
-    known = rows.join(aimed, rows["source"].eqNullSafe(aimed["source"])).select(
-        "id", "size", "row_hash", "source_rank"
+    sizes = rows.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows")
     )
+    aimed = materialize(targets(sizes, weights, max_repeats), "targets")
+    n_sources, n_rows = aimed.agg(F.count(F.lit(1)), F.sum("source_rows")).first()
+    hot = F.col("source_rows") > HOT_SHARE * (n_rows or 0)
+    few = n_sources <= 1 / HOT_SHARE
+    known = _join_sources(
+        rows,
+        aimed.select("source", "source_rank", "source_rows").withColumnRenamed("source", "_source"),
+        lambda x, y: x["source"].eqNullSafe(y["_source"]),
+        hot,
+        few,
+    ).select("id", "size", "row_hash", "row_hash_2", "source_rank")
     tie = _md5_bits(
         F.concat(F.lit(f"mix:{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 15
     )
     placed = index_keys(
-        known.withColumn("tie", tie), ["source_rank", "size", "tie", "row_hash"], {"id": F.col("id")}
+        known.withColumn("tie", tie),
+        ["source_rank", "size", "tie", "row_hash", "row_hash_2"],
+        {"id": F.col("id")},
     )
     # The index runs through all sources in order, so a source begins where those before it end.
     firsts = placed.groupBy("source_rank").agg(F.min("idx").alias("first"))
@@ -120,7 +156,8 @@ def copies(
     ).cast("long")
     offset = _md5_bits(F.concat(F.lit(f"offset:{seed}:"), F.coalesce("source", F.lit(""))), 5)
     steps = aimed.join(firsts, "source_rank").select(
-        "source_rank",
+        F.col("source_rank").alias("_rank"),
+        "source_rows",
         "source_size",
         "target",
         "first",
@@ -133,11 +170,12 @@ def copies(
         return F.shiftright(F.col("offset") + F.col("step") * upto, _UNIT_BITS)
 
     return (
-        placed.join(steps, "source_rank")
+        _join_sources(placed, steps, lambda x, y: x["source_rank"] == y["_rank"], hot, few)
         .withColumn("copies", crossed(place + 1) - crossed(place))
         .select(
             "id",
             "row_hash",
+            "row_hash_2",
             "size",
             "source_size",
             "target",
@@ -156,24 +194,26 @@ def mix(
 ) -> DataFrame:
     """The rows of the mixture, all columns kept, each as often as ``copies`` says.
 
-    Rows equal in id, text and source share their copies evenly. Whole rows move once, by the join
-    on the row hash.
+    Rows equal in id, text and source share their copies evenly, in the order of a hash of all
+    columns. Nulls, empty texts and an empty table are as in ``copies``. Whole rows move once, by the
+    join on 128 bits of hash.
     """
-    row_hash, place, total, among = (fresh(x) for x in ("hash", "place", "total", "among"))
+    one, two, place, total, among = (fresh(x) for x in ("one", "two", "place", "total", "among"))
+    keys = [column(one), column(two)]
     taken = (
         copies(docs, id_col, text_col, source_col, **options)
-        .groupBy("row_hash")
+        .groupBy(F.col("row_hash").alias(one), F.col("row_hash_2").alias(two))
         .agg(F.sum("copies").alias(total), F.count(F.lit(1)).alias(among))
-        .withColumnRenamed("row_hash", row_hash)
     )
-    equal = Window.partitionBy(column(row_hash)).orderBy(column(row_hash))
+    equal = Window.partitionBy(*keys).orderBy(*row_hashes(docs))
     share = F.floor(column(total) * column(place) / column(among)) - F.floor(
         column(total) * (column(place) - 1) / column(among)
     )
+    hashes = _key_hashes(id_col, text_col, source_col)
     return (
-        docs.withColumn(row_hash, F.xxhash64(*[column(c) for c in (id_col, text_col, source_col)]))
+        docs.withColumns({one: hashes[0], two: hashes[1]})
         .withColumn(place, F.row_number().over(equal))
-        .join(taken.filter(column(total) > 0), row_hash)
+        .join(taken.filter(column(total) > 0), [one, two])
         .withColumn(place, F.explode(F.array_repeat(F.lit(0), share.cast("int"))))
         .select(*[column(c) for c in docs.columns])
     )
