@@ -163,6 +163,24 @@ def test_missing_reference_is_an_error(spark, cache):
         scoring.lookup_reference(pairs.limit(1), one_sided, "a").collect()
 
 
+def test_a_side_without_a_score_needs_no_reference(spark, tmp_path):
+    """An odd number of sequences leaves the last pair with its chosen side only."""
+    sides = spark.createDataFrame(
+        [(0, "chosen", -1.0), (0, "rejected", -2.0), (1, "chosen", -3.0)], "idx bigint, side string, logp double"
+    )
+    cache = scoring.precompute_reference(sides, "odd", str(tmp_path / "odd"))
+    schema = "idx bigint, logp_chosen double, logp_rejected double"
+    pairs = spark.createDataFrame([(0, -1.5, -2.5), (1, -3.5, None)], schema)
+    found = scoring.lookup_reference(pairs, cache, "odd")
+    assert sorted(tuple(r)[3:] for r in found.collect()) == [(-3.0, None), (-1.0, -2.0)]
+    losses = {r["idx"]: r["loss"] for r in scoring.dpo_loss(found).collect()}
+    assert losses[1] is None and math.isclose(losses[0], loss(0.0, 0.1, 0.0))
+    assert math.isclose(scoring.mean_dpo_loss(scoring.dpo_loss(found)).first()["mean_loss"], losses[0])
+    for rows in ([(1, -3.5, -4.5)], [(2, None, None)]):  # a score that is needed; a pair that is not stored
+        with pytest.raises(Exception, match="no reference score"):
+            scoring.lookup_reference(spark.createDataFrame(rows, schema), cache, "odd").collect()
+
+
 def test_score_pairs(spark, cache):
     stored, _, _ = cache
     pairs = spark.createDataFrame([(1, -3.0, -4.0)], "idx bigint, logp_chosen double, logp_rejected double")

@@ -172,22 +172,30 @@ def precompute_reference(
 def lookup_reference(pairs: DataFrame, cache: DataFrame, dataset_id: str) -> DataFrame:
     """Add the stored reference scores by ``idx``; a pair without both of them is an error.
 
-    Catalyst picks the join from the sizes it measures: broadcast for a small cache, else a merge.
+    A side whose own ``logp_<side>`` is null, such as that of a last pair left without a partner,
+    needs no reference: its score may be null, as its loss is. Catalyst picks the join from the sizes
+    it measures: broadcast for a small cache, else a merge.
     """
     stored = cache.filter(F.col("dataset_id") == dataset_id).select(
         "idx",
+        F.lit(True).alias("_tp_stored"),
         F.col("ref_logp_chosen").alias("_tp_chosen"),
         F.col("ref_logp_rejected").alias("_tp_rejected"),
     )
 
-    def found(score):
+    def found(side):
         message = F.concat(F.lit("no reference score for idx "), F.col("idx").cast("string"))
-        return F.coalesce(F.col(score), F.raise_error(message).cast("double"))
+        wrong = F.raise_error(message).cast("double")
+        score, own = F.col(f"_tp_{side}"), f"logp_{side}"
+        if own not in pairs.columns:
+            return F.coalesce(score, wrong)
+        unscored = F.col("_tp_stored").isNotNull() & column(own).isNull()
+        return F.when(score.isNull() & ~unscored, wrong).otherwise(score)
 
     return pairs.join(stored, "idx", "left").select(
         *[column(c) for c in pairs.columns],
-        found("_tp_chosen").alias("ref_logp_chosen"),
-        found("_tp_rejected").alias("ref_logp_rejected"),
+        found("chosen").alias("ref_logp_chosen"),
+        found("rejected").alias("ref_logp_rejected"),
     )
 
 
