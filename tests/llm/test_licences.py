@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tuneprep.llm import licences
 
@@ -60,3 +61,20 @@ def test_plan_has_no_python(scanned):
 
 def test_empty_table(spark):
     assert licences.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_paragraph_trains_or_calibrates(spark):
+    """Numbers of all paragraphs, far more than a sample held, and a model that follows them."""
+    lines = [f"word{i} {'licensed' if i % 3 else 'the'} thing" for i in range(9000)]
+    df = spark.createDataFrame([(i, "\n".join(lines[i::3000]), "", "", 0) for i in range(3000)], SCHEMA)
+    vectorizer = licences.fit_vectorizer(spark)
+    stored = licences.paragraph_vectors(df, vectorizer, "text", F.col("doc_id"))
+    assert stored.count() == 9000 and stored.filter("line IS NOT NULL").count() == 0
+    vectors = stored.groupBy("counts").agg(
+        F.count_if("trains").alias("n_train"), F.count_if(~F.col("trains")).alias("n_rest")
+    )
+    n_train, n_rest = vectors.agg(F.sum("n_train"), F.sum("n_rest")).first()
+    assert n_train + n_rest == 9000 and min(n_train, n_rest) > 4000
+    strict = licences.train(vectors, vectorizer, 0.0)
+    assert strict.predict(vectors).filter("family IS NOT NULL AND n_rest > 0").count() == 0
+    assert licences.scan(df).filter("n_paragraphs > 0").count() == 0

@@ -2,9 +2,11 @@
 
 Paragraphs are lines. Their word 1- and 2-grams feed a sparse multinomial logistic regression with
 one class per licence family and one for anything else (unknown). It is trained on windows of the
-templates and on a bounded sample of paragraphs of the documents; an L1 penalty leaves few weights.
-The bar of the unknown class is calibrated on another part of that sample. A prediction counts once
-a template of the family agrees. All of it is DataFrame functions and Spark's own ML stages.
+templates and on all paragraphs of the documents; an L1 penalty leaves few weights. Every other
+paragraph trains the unknown class, the others calibrate its bar. One pass stores the paragraphs as
+vectors over the templates' grams; training and prediction go over the distinct vectors and their
+numbers. A prediction counts once a template of the family agrees. All of it is DataFrame functions
+and Spark's own ML stages.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from tuneprep.llm.common import table
 from tuneprep.runtime import column, materialize
 
 UNKNOWN = "unknown"
-SAMPLE_DOCUMENTS = 2000
-SAMPLE_PARAGRAPHS = 4000
 FALSE_RATE = 0.0005
+#: Weight of a paragraph of the unknown class, and of all of them together at most.
+UNKNOWN_SHARE, UNKNOWN_WEIGHT = 0.2, 400.0
+#: The bar is a multiple of this, so that the margins to choose it from are few whatever the data.
+_BAR_STEP = 0.001
 AGREEMENT = 0.5
 
 #: Notices and key sentences of public licences by family.
@@ -104,12 +108,9 @@ def words(text: Column) -> Column:
 
 def grams(tokens: Column) -> Column:
     """1- and 2-grams of words, repeats included; the ends of the paragraph count as words."""
-    ended = F.concat(F.array(F.lit("^")), tokens, F.array(F.lit("$")))
-    following = F.slice(ended, F.lit(2), F.size(ended))
-    pairs = F.filter(
-        F.zip_with(ended, following, lambda x, y: F.concat(x, F.lit(" "), y)), lambda g: g.isNotNull()
-    )
-    return F.concat(tokens, pairs)
+    before = F.concat(F.array(F.lit("^")), tokens)
+    after = F.concat(tokens, F.array(F.lit("$")))
+    return F.concat(tokens, F.zip_with(before, after, lambda x, y: F.concat(x, F.lit(" "), y)))
 
 
 def paragraphs(docs: DataFrame, text_col: str, *others: Column) -> DataFrame:
@@ -130,19 +131,15 @@ def _template_rows(spark: SparkSession) -> DataFrame:
 
 @dataclass
 class Classifier:
-    """Fitted stages, the families in order of their classes, and the bar of the unknown class."""
+    """Fitted regression, the families in order of their classes, and the bar of the unknown class."""
 
-    vectorizer: object
     regression: object
     classes: list[str]
     bar: float
 
-    def predict(self, lines: DataFrame) -> DataFrame:
+    def predict(self, vectors: DataFrame) -> DataFrame:
         """Add ``family`` (null: unknown) and ``margin`` above the unknown class."""
-        scored = self.regression.transform(
-            self.vectorizer.transform(lines.withColumn("_grams", grams(words(F.col("line")))))
-        )
-        return _with_margin(scored, self.classes).withColumn(
+        return _with_margin(self.regression.transform(vectors), self.classes).withColumn(
             "family", F.when(F.col("margin") > self.bar, F.col("family"))
         )
 
@@ -162,118 +159,144 @@ def _with_margin(scored: DataFrame, classes: list[str]) -> DataFrame:
     )
 
 
-def train(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    sample_documents: int = SAMPLE_DOCUMENTS,
-    sample_paragraphs: int = SAMPLE_PARAGRAPHS,
-    false_rate: float = FALSE_RATE,
-) -> Classifier:
-    """Fit on the templates and on a sample of paragraphs (both sizes bounded).
-
-    The sample has the documents with the smallest hash of their id, and of their paragraphs those
-    with the smallest hash that share no word pair with a template. Every other one trains the
-    unknown class; of the rest at most ``false_rate`` may pass the bar, which is never below zero.
-    """
-    spark = docs.sparkSession
+def _template_windows(spark: SparkSession) -> DataFrame:
+    """``family, _grams`` of the templates and of their windows."""
     templates = _template_rows(spark)
     span = F.size("_words") - F.lit(_WINDOW - 1)
     starts = F.sequence(F.lit(1), F.greatest(span, F.lit(1)), F.lit(2))
-    windows = (
+    return (
         templates.withColumn("_words", words(F.col("line")))
         .select("family", F.explode(starts).alias("_at"), "_words")
         .select("family", grams(F.slice("_words", F.col("_at"), F.lit(_WINDOW))).alias("_grams"))
         .union(templates.select("family", grams(words(F.col("line"))).alias("_grams")))
     )
-    pairs_of = F.filter(F.col("_grams"), lambda g: F.contains(g, F.lit(" ")) & ~g.rlike(r"[\^$]"))
-    known = templates.select(grams(words(F.col("line"))).alias("_grams")).agg(
-        F.array_distinct(F.flatten(F.collect_list(pairs_of)))
+
+
+def fit_vectorizer(spark: SparkSession):
+    """The grams of the templates: no other gram gets a weight, whatever the documents hold."""
+    return CountVectorizer(
+        inputCol="_grams", outputCol="counts", binary=True, vocabSize=1 << 15
+    ).fit(_template_windows(spark))
+
+
+def paragraph_vectors(docs: DataFrame, vectorizer, text_col: str, *others: Column) -> DataFrame:
+    """Stored paragraphs: ``others, place, trains, counts`` and ``line``, which is null without a word
+    pair of a template."""
+    templates = _template_rows(docs.sparkSession)
+    known = templates.select(_pairs(words(F.col("line"))).alias("pairs")).agg(
+        F.array_distinct(F.flatten(F.collect_list("pairs")))
     )
     known = F.array(*[F.lit(pair) for pair in known.first()[0]])  # of a fixed list
-    chosen = docs.select(F.xxhash64(column(id_col)).alias("_h")).orderBy("_h").limit(sample_documents)
-    sampled = paragraphs(
-        docs.withColumn("_h", F.xxhash64(column(id_col))).join(
-            F.broadcast(chosen.distinct()), "_h", "left_semi"
-        ),
-        text_col,
-    )
-    sample = materialize(
-        sampled.select(grams(words(F.col("line"))).alias("_grams"), F.xxhash64("line").alias("_hash"))
-        .filter(~F.arrays_overlap(pairs_of, known))
-        .orderBy("_hash")
-        .limit(sample_paragraphs)
-        .select("_grams", (F.col("_hash") % 2 == 0).alias("_trains")),
-        "licence-sample",
+    lines = paragraphs(docs, text_col, *others).withColumn("_grams", grams(words(F.col("line"))))
+    trains = F.xxhash64("line") % 2 == 0
+    narrow = lines.withColumn("trains", trains).withColumn(
+        "line", F.when(F.arrays_overlap("_grams", known), F.col("line"))
     )
+    return materialize(vectorizer.transform(narrow).drop("_grams"), "licence-paragraphs")
+
+
+def train(vectors: DataFrame, vectorizer, false_rate: float = FALSE_RATE) -> Classifier:
+    """Fit on the templates and on all paragraphs, given as ``counts`` with ``n_train`` and ``n_rest``.
+
+    These are the numbers of paragraphs with that vector that share no word pair with a template:
+    ``n_train`` of them train the unknown class, of the ``n_rest`` others at most ``false_rate`` may
+    pass the bar, which is never below zero.
+    """
+    spark = vectors.sparkSession
     classes = [UNKNOWN, *sorted(TEMPLATES)]
     number = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")) - 1
-    unknown = sample.filter("_trains").select(F.lit(UNKNOWN).alias("family"), "_grams")
-    share = F.when(F.col("family") == UNKNOWN, F.lit(0.2)).otherwise(F.lit(1.0))
-    # A paragraph without any known word is unknown, whatever the sample holds.
-    blank = templates.limit(1).select(F.lit(UNKNOWN), F.array().cast("array<string>"))
-    learned = materialize(
-        windows.union(unknown)
-        .union(blank)
-        .select(number.cast("double").alias("label"), "_grams", share.alias("_weight")),
-        "licence-windows",
+    n = vectors.agg(F.sum("n_train")).first()[0] or 0
+    share = min(UNKNOWN_SHARE, UNKNOWN_WEIGHT / n) if n else UNKNOWN_SHARE
+    # A paragraph without any known word is unknown, whatever the documents hold.
+    blank = spark.range(1).select(
+        F.lit(UNKNOWN).alias("family"), F.array().cast("array<string>").alias("_grams")
+    )
+    fixed = vectorizer.transform(_template_windows(spark).union(blank)).select(
+        number.cast("double").alias("label"),
+        "counts",
+        F.when(F.col("family") == UNKNOWN, F.lit(UNKNOWN_SHARE)).otherwise(F.lit(1.0)).alias("_weight"),
+    )
+    unknown = vectors.filter("n_train > 0").select(
+        F.lit(0.0).alias("label"), "counts", F.col("n_train") * F.lit(share)
     )
-    vectorizer = CountVectorizer(
-        inputCol="_grams", outputCol="_counts", binary=True, vocabSize=1 << 15
-    ).fit(learned.filter("label > 0"))
+    learned = materialize(fixed.union(unknown), "licence-training")
     regression = LogisticRegression(
-        featuresCol="_counts", labelCol="label", weightCol="_weight", rawPredictionCol="_score",
+        featuresCol="counts", labelCol="label", weightCol="_weight", rawPredictionCol="_score",
         probabilityCol="_probability", predictionCol="_prediction", family="multinomial",
         regParam=0.002, elasticNetParam=0.9, maxIter=60,
-    ).fit(vectorizer.transform(learned))
-    rest = regression.transform(vectorizer.transform(sample.filter("not _trains")))
-    bar = _with_margin(rest, classes).agg(F.percentile("margin", 1 - false_rate)).first()[0]
-    return Classifier(vectorizer, regression, classes, max(0.0, bar or 0.0))
+    ).fit(learned)
+    rest = _with_margin(regression.transform(vectors.filter("n_rest > 0")), classes)
+    margin = F.ceil(F.greatest(F.col("margin"), F.lit(0.0)) / _BAR_STEP) * _BAR_STEP
+    bar = rest.agg(F.percentile(margin, 1 - false_rate, F.col("n_rest"))).first()[0]
+    return Classifier(regression, classes, bar or 0.0)
 
 
-def _agreement(tokens: Column, template: Column) -> Column:
-    """Share of word pairs that the shorter of paragraph and template has in common with the other."""
+def _pairs(tokens: Column) -> Column:
+    """Distinct pairs of neighbouring words."""
+    following = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(1)))
+    both = F.zip_with(tokens, following, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_distinct(F.filter(both, lambda g: g.isNotNull()))
 
-    def pairs(x):
-        following = F.slice(x, F.lit(2), F.greatest(F.size(x), F.lit(1)))
-        both = F.zip_with(x, following, lambda a, b: F.concat(a, F.lit(" "), b))
-        return F.array_distinct(F.filter(both, lambda g: g.isNotNull()))
 
-    a, b = pairs(tokens), pairs(template)
+def _agreement(tokens: Column, template: Column) -> Column:
+    """Share of word pairs that the shorter of paragraph and template has in common with the other."""
+    a, b = _pairs(tokens), _pairs(template)
     return F.size(F.array_intersect(a, b)) / F.greatest(F.least(F.size(a), F.size(b)), F.lit(1))
 
 
-def scan_paragraphs(docs: DataFrame, model: Classifier, text_col: str, *others: Column) -> DataFrame:
-    """Predicted paragraphs: ``others, place, line, family, margin, agreement, confirmed``."""
-    found = model.predict(paragraphs(docs, text_col, *others)).filter(F.col("family").isNotNull())
+def scan_paragraphs(
+    docs: DataFrame, text_col: str, *others: Column, false_rate: float = FALSE_RATE
+) -> DataFrame:
+    """Predicted paragraphs: ``others, place, line, family, margin, agreement, confirmed``.
+
+    ``line`` is null where no template has a word pair of it: nothing agrees there.
+    """
+    spark = docs.sparkSession
+    vectorizer = fit_vectorizer(spark)
+    stored = paragraph_vectors(docs, vectorizer, text_col, *others)
+    other = F.col("line").isNull()
+    vectors = materialize(
+        stored.groupBy("counts").agg(
+            F.count_if(other & F.col("trains")).alias("n_train"),
+            F.count_if(other & ~F.col("trains")).alias("n_rest"),
+        ),
+        "licence-vectors",
+    )
+    model = train(vectors, vectorizer, false_rate)
+    predicted = materialize(
+        model.predict(vectors).filter(F.col("family").isNotNull()).select("counts", "family", "margin"),
+        "licence-predictions",
+    )
     # Templates are a fixed list of a few dozen lines.
     templates = (
-        _template_rows(docs.sparkSession)
+        _template_rows(spark)
         .groupBy("family")
         .agg(F.collect_list(words(F.col("line"))).alias("_templates"))
     )
     tokens = words(F.col("line"))
     best = F.array_max(F.transform("_templates", lambda t: _agreement(tokens, t)))
     return (
-        found.join(F.broadcast(templates), "family")
-        .withColumn("agreement", best)
+        stored.join(predicted, "counts")
+        .join(F.broadcast(templates), "family")
+        .withColumn("agreement", F.when(F.col("line").isNull(), 0.0).otherwise(best))
         .withColumn("confirmed", F.col("agreement") >= AGREEMENT)
-        .drop("_templates")
+        .drop("_templates", "counts", "trains")
     )
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
+def scan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_rate: float = FALSE_RATE
+) -> DataFrame:
     """One row per document: id, ``families``, ``n_paragraphs``, ``n_unconfirmed``.
 
     ``families`` lists the confirmed families in order; the counts are of paragraphs whose family a
     template confirms, and of those it does not. Null and empty texts have none. Ids may be null or
-    repeat; an empty table gives no rows; other columns are not read. Only the few paragraphs found
-    and narrow keys are shuffled.
+    repeat; an empty table gives no rows; other columns are not read. Only the few paragraphs found,
+    distinct vectors and narrow keys are shuffled.
     """
-    model = train(docs, id_col, text_col, **training)
     key = F.xxhash64(column(id_col), column(text_col))
     hits = (
-        scan_paragraphs(docs, model, text_col, key.alias("key"))
+        scan_paragraphs(docs, text_col, key.alias("key"), false_rate=false_rate)
         .select("key", "place", "family", "confirmed")
         .distinct()  # a repeated row finds the same again
         .groupBy("key")
