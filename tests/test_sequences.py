@@ -257,3 +257,28 @@ def test_full_vocabulary_ranks_every_token(spark, corpus):
     twice = tokens.full_vocab(corpus, "t").union(spark.createDataFrame([(whole[5][0], 99, 1)], "token string, token_id int, n bigint"))
     with pytest.raises(Exception, match="lists a token twice"):
         tokens.encode_by_join(corpus, "t", twice, 9, "i").collect()
+
+
+def test_long_texts_are_split_a_few_megabytes_at_a_time(spark, monkeypatch):
+    """A worker holds the words of a bounded stretch of a batch, and the rows stay as they are."""
+    texts = ["a b a"] * 2000 + ["", None] + ["b " * 300_000] * 24 + ["c"] * 7
+    sizes, split = [], tokens._split
+    monkeypatch.setattr(tokens, "_split", lambda t: sizes.append(t.slice(0).nbytes) or split(t))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    counts = {}
+    for out in tokens._count_words(iter([batch])):
+        for word, n in zip(*(c.to_pylist() for c in out.columns)):
+            counts[word] = counts.get(word, 0) + n
+    assert {w: n for w, n in counts.items() if w} == {"a": 4000, "b": 2000 + 24 * 300_000, "c": 7}
+    assert len(sizes) > 1 and max(sizes) < 2 * tokens._BLOCK_BYTES < batch.nbytes
+    monkeypatch.undo()
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    vocab = tokens.build_vocab(df, "text", 10)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
+    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+    for out in (
+        tokens.encode(df, "text", tokens.WordEncoder(vocab), 4, "i"),
+        tokens.encode_by_join(df, "text", tokens.full_vocab(df, "text"), 4, "i"),
+    ):
+        got = [r["input_ids"] for r in out.orderBy("i").collect()]
+        assert got == [[ids[w] for w in (t or "").split()[:4]] for t in texts]

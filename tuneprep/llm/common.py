@@ -9,25 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuneprep.runtime import column, materialize, ship_package
+from tuneprep.runtime import column, materialize, prepare_workers  # noqa: F401
 
 #: Longest run of star contractions; each halves the longest path at least, so 60 exceeds any graph.
 MAX_ROUNDS = 60
 
 
-#: Rows of one Arrow batch, where the session leaves Spark's default: texts may be long, and a worker
-#: holds a batch of them several times over.
-BATCH_ROWS = 1000
-_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def prepare_workers(spark: SparkSession) -> None:
-    """Ship the package and bound the batches; a session's own batch size is left alone."""
-    ship_package(spark)
-    if spark.conf.get(_BATCH_SETTING) == "10000":
-        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
-
-
 _FREED_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -15,7 +16,7 @@ from tuneprep.functions.binding import bind
 from tuneprep.functions.sequences import attention_mask, keep_first
 from tuneprep.operators.indexing import index_keys
 from tuneprep.operators.mapping import carried_columns
-from tuneprep.runtime import column, materialize, ship_package
+from tuneprep.runtime import column, materialize, prepare_workers
 
 # Reserved ids 0..3, in this order.
 SPECIAL_TOKENS = ("<pad>", "<unk>", "<bos>", "<eos>")
@@ -24,6 +25,9 @@ PAD_ID, UNK_ID, BOS_ID, EOS_ID = range(4)
 # A vocabulary that travels to every worker is limited and checked; larger ones are joined.
 MAX_VOCABULARY = 1_000_000
 
+# Text that a worker splits at a time: the words and their places take several times as much.
+_BLOCK_BYTES = 1 << 22
+
 Encoder = Callable[[pa.Array], pa.Array]
 
 
@@ -32,8 +36,26 @@ def _split(texts: pa.Array) -> pa.Array:
     return pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.fill_null(texts, "")))
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and number of rows of stretches with about ``_BLOCK_BYTES`` of text, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + _BLOCK_BYTES, "right")))
+        yield start, end - start
+        start = end
+
+
+def _cut(batches: Iterator[pa.RecordBatch], place: int = -1) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of a bounded size of the text column at ``place``."""
     for batch in batches:
+        for start, n in _blocks(batch.column(place % batch.num_columns)):
+            yield batch.slice(start, n)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _cut(batches):
         counted = pc.value_counts(pc.list_flatten(_split(batch.column(0))))
         yield pa.RecordBatch.from_arrays(
             [counted.field("values"), counted.field("counts")], ["token", "n"]
@@ -68,7 +90,7 @@ def build_vocab(df: DataFrame, text_col: str, size: int) -> DataFrame:
     """
     if not 0 < size <= MAX_VOCABULARY:
         raise ValueError(f"size must be in 1..{MAX_VOCABULARY}, got {size}")
-    ship_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
     top = _token_counts(df, text_col).orderBy(F.desc("n"), "token").limit(size)
     # At most ``size`` rows are left to number.
     by_rank = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "token")
@@ -83,7 +105,7 @@ def full_vocab(df: DataFrame, text_col: str) -> DataFrame:
 
     The ranks come from a distributed sort of the counts, not from one task. For ``encode_by_join``.
     """
-    ship_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
     counts = _token_counts(df, text_col).withColumn("_tp_less", -F.col("n"))
     ranked = index_keys(counts, ["_tp_less", "token"], index_col="token_id").select(
         "token",
@@ -122,12 +144,13 @@ class WordEncoder:
 
 
 def _token_ids(df: DataFrame, encoder: Encoder):
-    ship_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield encoder(texts)
+            parts = [encoder(texts.slice(start, n)) for start, n in _blocks(texts)]
+            yield pa.concat_arrays(parts) if parts else encoder(texts)
 
     return token_ids
 
@@ -164,9 +187,7 @@ def _packer(identity: list[str], most: int):
     """Rows of an Arrow batch as numbers within it, and one row with the batch's distinct words."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _cut(batches):
             words = _split(batch.column(batch.num_columns - 1))
             flat = pc.list_flatten(words)
             first = pc.list_element(words, 0)
@@ -209,7 +230,7 @@ def encode_by_join(
     and, once, the cut token arrays. Unknown words are ``<unk>``; a word that the vocabulary lists
     twice is an error.
     """
-    ship_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
     identity = [*carried_columns(df, order_col), *keep]
     room = max(0, max_len - (0 if bos_id is None else 1))
     source = df.select(*[column(c) for c in identity], column(text_col).cast("string").alias("_tp_text"))
