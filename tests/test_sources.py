@@ -284,3 +284,19 @@ def test_exactly_the_mapped_columns_in_dataset_order(spark, tmp_path):
         lines = [json.loads(x) for f in files for x in f.read_text().split("\n") if x]
         wanted = [(q, a) for s, _, q, a in sorted(rows, key=lambda r: r[1]) if s == split]
         assert lines == [{"prompt": q, "response": a} for q, a in wanted]
+
+
+def test_compressed_preparation_reads_back(spark, tmp_path):
+    from tuneprep.plans import instruction
+
+    rows = [("train", i, f"question {i} é " + "again and again " * 200) for i in range(50)]
+    raw = spark.createDataFrame(rows, "split string, i bigint, text string").coalesce(1)
+    sizes = {}
+    for codec in (None, "gzip"):
+        path = tmp_path / str(codec)
+        instruction.prepare_instructions(raw, {"prompt": "text"}, "i", ["train"], str(path), compression=codec)
+        files = list(path.glob("split=train/version=*/part-*"))
+        sizes[codec] = sum(f.stat().st_size for f in files)
+        assert files and all(f.name.endswith(".json.gz" if codec else ".json") for f in files)
+        assert contents(spark, str(path)) == sorted((s, i, t.strip()) for s, i, t in rows)
+    assert sizes["gzip"] * 10 < sizes[None]

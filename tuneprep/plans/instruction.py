@@ -69,12 +69,14 @@ def prepare_instructions(
     fmt: str = "json",
     if_exists: str = "skip",
     only_mapped: bool = False,
+    compression: str | None = None,
 ) -> Written:
     """Clean the splits that are not written yet and write them. Returns the splits written.
 
     Their ``counts`` (rows in, dropped by reason, out) are taken on the way and kept in the manifest.
     Order columns are written along, as later steps need an order; with ``only_mapped`` the files
-    have exactly the mapped columns, one row after the other in dataset order.
+    have exactly the mapped columns, one row after the other in dataset order. ``compression`` as in
+    ``write_prepared``.
     """
     todo = pending_splits(df.sparkSession, path, splits, if_exists)
     if not todo:
@@ -85,7 +87,8 @@ def prepare_instructions(
         clean = clean_instructions(raw, column_map, order_col, deduplicate, counts)
         if only_mapped:
             clean = in_order(clean, order_col, list(column_map))
-        written = write_prepared(counts.rows_out(clean), path, todo, fmt, if_exists, counts.by_split)
+        rows = counts.rows_out(clean)
+        written = write_prepared(rows, path, todo, fmt, if_exists, counts.by_split, compression)
         return Written(written, counts.by_split())
 
 

@@ -102,6 +102,7 @@ def write_prepared(
     fmt: str = "json",
     if_exists: str = "skip",
     counts: Callable[[], Mapping[str, dict]] | None = None,
+    compression: str | None = None,
 ) -> list[str]:
     """Write each split of ``df`` to a folder of its own and return the splits written.
 
@@ -110,6 +111,7 @@ def write_prepared(
     whatever the arguments say by now; with ``error`` none may be there; with ``overwrite`` the old
     data stay readable until the new are complete. What an interrupted job left behind is never
     read; ``vacuum`` deletes it. ``counts``, asked once the data are written, goes into the manifest.
+    ``compression`` names a codec of the format, such as ``gzip``; without one JSON lines are plain.
     """
     _checked_mode(if_exists)
     spark = df.sparkSession
@@ -121,7 +123,9 @@ def write_prepared(
         return []
     version = uuid.uuid4().hex
     staging = f"{path}/_staging-{version}"
-    df.filter(column(SPLIT).isin(*todo)).write.partitionBy(SPLIT).format(fmt).save(staging)
+    options = {"compression": compression} if compression else {}
+    wanted = df.filter(column(SPLIT).isin(*todo))
+    wanted.write.partitionBy(SPLIT).format(fmt).options(**options).save(staging)
     counted = counts() if counts else {}
     written = {}
     for split in todo:
