@@ -3,6 +3,7 @@ import re
 
 import pytest
 import xxhash
+from conftest import executed_plan
 
 from tuneprep.llm import simhash
 from tuneprep.llm.common import components
@@ -101,3 +102,27 @@ def test_components_of_long_paths_and_stars(spark):
     assert all(got[i] == 100 for i in range(100, 161))
     assert all(got[i] == 7 for i in [7, *range(200, 260)])
     assert len(got) == 61 + 61
+
+
+def plans_of_pairs(monkeypatch, job):
+    """Physical plans that ``job`` finds near fingerprints with."""
+    plans, found = [], simhash.near_fingerprints
+
+    def near(*args):
+        pairs = found(*args)
+        plans.append(executed_plan(pairs))
+        return pairs
+
+    monkeypatch.setattr(simhash, "near_fingerprints", near)
+    job()
+    return plans
+
+
+def assert_cells_meet_by_shuffle(plans):
+    (plan,) = plans
+    assert "Generate explode" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_cells_are_not_broadcast_for_groups(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t, None, 1) for i, t in enumerate(texts())], SCHEMA)
+    assert_cells_meet_by_shuffle(plans_of_pairs(monkeypatch, lambda: simhash.groups(df, "doc_id", "text")))

@@ -117,7 +117,8 @@ def near_fingerprints(distinct: DataFrame, bits: str, max_bits: int = MAX_BITS)
 
     left, right = cells(max_bits // 2, "a"), cells(max_bits - max_bits // 2, "b")
     ordered = F.col("a") < F.col("b") if max_bits % 2 == 0 else F.col("a") != F.col("b")
-    pairs = left.join(right, "cell").filter(
+    # Spark sizes an exploded table like the one before it, 33 times too low, and would broadcast it.
+    pairs = left.hint("merge").join(right, "cell").filter(
         ordered & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
