@@ -126,3 +126,8 @@ def assert_cells_meet_by_shuffle(plans):
 def test_cells_are_not_broadcast_for_groups(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, None, 1) for i, t in enumerate(texts())], SCHEMA)
     assert_cells_meet_by_shuffle(plans_of_pairs(monkeypatch, lambda: simhash.groups(df, "doc_id", "text")))
+
+
+def test_cells_are_not_broadcast_when_one_document_stays(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t, None, 1) for i, t in enumerate(texts())], SCHEMA)
+    assert_cells_meet_by_shuffle(plans_of_pairs(monkeypatch, lambda: simhash.keep_one(df, "doc_id", "text")))
